@@ -12,19 +12,28 @@ from leadlake.functions.categories import one_hot
 from leadlake.functions.text import clean_text, safe_name
 
 
-def column_means(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+def column_means(df: DataFrame, cols: Sequence[str], exact: bool = True) -> DataFrame:
     """One row: the mean of each column over the whole set (NULLs ignored).
-    A partial + final aggregate: map tasks pre-sum, one tiny row is merged."""
+
+    A partial + final aggregate: map tasks pre-sum, one tiny row is merged.
+    With ``exact`` the sums are accumulated in DECIMAL(38,18), so the mean
+    does not depend on how rows were partitioned or in which order partial
+    sums were merged (a DOUBLE sum does, in the last bits); the magnitude of
+    a column's total must then stay below 1e20.
+    """
+    if exact:
+        return df.agg(*[F.avg(F.col(c).cast("decimal(38,18)")).cast("double").alias(c)
+                        for c in cols])
     return df.agg(*[F.avg(F.col(c)).alias(c) for c in cols])
 
 
-def impute_mean(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+def impute_mean(df: DataFrame, cols: Sequence[str], exact: bool = True) -> DataFrame:
     """``coalesce(x, avg(x) over ())`` for each column, without the
     single-partition window: the means are one aggregate evaluated as a
     scalar subquery (Catalyst merges the per-column subqueries into one), and
     its value is inlined into the projection of the big side -- no join, no
     shuffle of the rows being imputed."""
-    means = column_means(df, cols)
+    means = column_means(df, cols, exact)
     return df.withColumns({
         c: F.coalesce(F.col(c), means.select(F.col(c)).scalar()) for c in cols
     })

@@ -30,15 +30,20 @@ def _typed(text: Column, kind: str) -> Column:
 def parse_messages(bronze: DataFrame, mode: str = "FAILFAST") -> DataFrame:
     """Extract and type the lead fields of ``raw_json`` with a single parse.
 
+    The parsed struct is expanded with ``inline`` (a ``Generate`` node): a
+    filter on a parsed field (such as the web-time filter of ``clean_leads``)
+    then stays above the parse instead of being pushed below it with the
+    ``from_json`` call inlined, which would parse every message twice.
+
     ``mode="FAILFAST"`` raises on malformed JSON (as the warehouse SQL does);
     ``"PERMISSIVE"`` turns such rows into NULL fields instead.
     """
     doc = F.from_json(F.col("raw_json"), _TEXT_SCHEMA, {"mode": mode})
-    staged = bronze.select("kafka_key", "kafka_timestamp", "ingestion_date", doc.alias("_doc"))
+    staged = bronze.select("kafka_key", "kafka_timestamp", "ingestion_date",
+                           F.inline(F.array(doc)))
     return staged.select(
         "kafka_key", "kafka_timestamp", "ingestion_date",
-        *[_typed(F.col("_doc").getField(key), kind).alias(name)
-          for key, name, kind in MESSAGE_FIELDS],
+        *[_typed(F.col(f"`{key}`"), kind).alias(name) for key, name, kind in MESSAGE_FIELDS],
     )
 
 

@@ -23,8 +23,8 @@ from leadlake.sources.lake import read_partitioned, trailing_window
 RUN_DATE = dt.date(2024, 1, 30)
 LOOKBACK_DAYS = 365
 
-_lock = threading.Lock()
-_bronze_paths: dict[tuple[str, str], str] = {}
+_lock = threading.RLock()
+_tables: dict[tuple[str, str, str], str] = {}
 
 
 def new_table_path(spark: SparkSession, kind: str) -> str:
@@ -32,29 +32,51 @@ def new_table_path(spark: SparkSession, kind: str) -> str:
     return os.path.join(warehouse_dir(spark), kind, uuid.uuid4().hex)
 
 
-def ensure_bronze(spark: SparkSession, sf_dir: str) -> str:
-    """Batch-ingest the fixture messages into a date-partitioned bronze table
-    (once per source folder and application) and return its path."""
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+def _once(spark: SparkSession, kind: str, sf_dir: str, build) -> str:
+    """Write a derived table once per (application, source folder) and return
+    its path; ``build(path)`` performs the write."""
+    key = (spark.sparkContext.applicationId, kind, os.path.abspath(sf_dir))
     with _lock:
-        path = _bronze_paths.get(key)
+        path = _tables.get(key)
         if path is None:
-            path = new_table_path(spark, "bronze")
-            bronze = transform_to_bronze(fixtures.lead_messages(spark, sf_dir))
-            write_partitioned(bronze, path, "ingestion_date")
-            _bronze_paths[key] = path
+            path = new_table_path(spark, kind)
+            build(path)
+            _tables[key] = path
     return path
 
 
+def ensure_bronze(spark: SparkSession, sf_dir: str) -> str:
+    """Batch-ingest the fixture messages into a date-partitioned bronze table
+    and return its path."""
+    def build(path):
+        bronze = transform_to_bronze(fixtures.lead_messages(spark, sf_dir))
+        write_partitioned(bronze, path, "ingestion_date")
+    return _once(spark, "bronze", sf_dir, build)
+
+
 def bronze_table(spark: SparkSession, sf_dir: str, start=None, end=None) -> DataFrame:
     return read_partitioned(spark, ensure_bronze(spark, sf_dir), start, end)
 
 
 def silver(spark: SparkSession, sf_dir: str, run_date: dt.date = RUN_DATE,
            lookback_days: int = LOOKBACK_DAYS) -> DataFrame:
+    """The silver relation over the run window (computed from bronze)."""
     start, end = trailing_window(run_date, lookback_days)
     return build_silver(bronze_table(spark, sf_dir), start, end)
 
 
+def silver_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver written once as a parquet table and read back.
+
+    The gold models read silver twice (the rows and the whole-set means);
+    reading a written table costs a scan, recomputing silver would repeat the
+    JSON parse and the de-duplication shuffle. It also cuts the lineage, so a
+    lost executor re-reads files instead of recomputing bronze -> silver.
+    """
+    path = _once(spark, "silver", sf_dir,
+                 lambda p: silver(spark, sf_dir).write.mode("errorifexists").parquet(p))
+    return spark.read.parquet(path)
+
+
 def gold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold_features(silver(spark, sf_dir))
+    return gold_features(silver_table(spark, sf_dir))

@@ -60,23 +60,23 @@ def q_dedup_latest(spark, sf):
 
 
 def q_impute_mean(spark, sf):
-    s = lh.silver(spark, sf).select("lead_number", *NUMERIC)
+    s = lh.silver_table(spark, sf).select("lead_number", *NUMERIC)
     return impute_mean(s, NUMERIC)
 
 
 def q_clean_text(spark, sf):
-    s = lh.silver(spark, sf).select("lead_number", *TEXT)
+    s = lh.silver_table(spark, sf).select("lead_number", *TEXT)
     return clean_text_columns(s, TEXT)
 
 
 def q_bucket_tags(spark, sf):
-    return (gold_base(lh.silver(spark, sf))
+    return (gold_base(lh.silver_table(spark, sf))
             .select("lead_number", "tags",
                     bucket_categories("tags", TAGS_KEEP, TAGS_OTHER, UNKNOWN).alias("tags_bucket")))
 
 
 def q_bucket_occupation(spark, sf):
-    return (gold_base(lh.silver(spark, sf))
+    return (gold_base(lh.silver_table(spark, sf))
             .select("lead_number", "current_occupation",
                     bucket_categories("current_occupation", OCCUPATION_KEEP, OCCUPATION_OTHER,
                                       UNKNOWN).alias("current_occupation_bucket")))
@@ -87,7 +87,7 @@ def q_gold_features(spark, sf):
 
 
 def q_gold_typed(spark, sf):
-    return gold_typed(lh.silver(spark, sf))
+    return gold_typed(lh.silver_table(spark, sf))
 
 
 def q_gold_inference(spark, sf):
