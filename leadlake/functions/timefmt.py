@@ -39,4 +39,4 @@ def epoch_ms_to_timestamp(ms: Column | str) -> Column:
 
 def add_seconds(ts: Column | str, seconds: Column | str | int) -> Column:
     n = F.lit(seconds) if isinstance(seconds, int) else _c(seconds)
-    return F.timestampadd("SECOND", n, _c(ts))
+    return F.timestamp_add("SECOND", n, _c(ts))

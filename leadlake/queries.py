@@ -4,20 +4,32 @@ Spark derives from them) in full."""
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leadlake import fixtures
-from leadlake.functions.categories import bucket_categories
+from leadlake.functions.categories import bucket_categories, weighted_category
+from leadlake.functions.numeric import clamp
+from leadlake.functions.text import safe_name_col
+from leadlake.functions.timefmt import add_seconds, iso_utc
+from leadlake.operators import ml, quality, reporting
 from leadlake.operators.bronze import transform_to_bronze
-from leadlake.operators.features import clean_text_columns, impute_mean
+from leadlake.operators.features import (clean_text_columns, feature_profile, impute_mean,
+                                        one_hot_dynamic)
 from leadlake.operators.silver import dedup_latest, parse_messages
 from leadlake.plans import lakehouse as lh
+from leadlake.plans import streaming as stream_plan
+from leadlake.plans import training
 from leadlake.plans.gold import NUMERIC, TEXT, gold_base, gold_inference, gold_typed
-from leadlake.schemas import OCCUPATION_KEEP, OCCUPATION_OTHER, TAGS_KEEP, TAGS_OTHER, UNKNOWN
-from leadlake.sources.lake import trailing_window
+from leadlake.schemas import (CITY_WEIGHTS, CONVERTED_WEIGHTS, GOLD_DUMMIES, GOLD_FEATURES,
+                              GOLD_ID, GOLD_LABEL, GOLD_NUMERIC, LEAD_ORIGIN_WEIGHTS,
+                              OCCUPATION_KEEP, OCCUPATION_OTHER, TAGS_KEEP, TAGS_OTHER, UNKNOWN)
+from leadlake.sinks.lake import export_with_run_date
+from leadlake.sources.lake import read_partition, trailing_window
 
 Query = Callable[[SparkSession, str], DataFrame]
 BRONZE_COLS = ["kafka_key", "raw_json", "kafka_timestamp", "ingestion_date"]
@@ -94,6 +106,200 @@ def q_gold_inference(spark, sf):
     return gold_inference(lh.gold(spark, sf))
 
 
+# ---------------------------------------------------------------- quality
+
+def _silver_gold(spark, sf):
+    silver = lh.silver_table(spark, sf)
+    gold = lh.gold(spark, sf)
+    return silver, gold, gold_inference(gold)
+
+
+SILVER_NOT_NULL = ["lead_number", "lead_origin", "converted", "total_visits",
+                   "total_time_spent_on_website"]
+GOLD_NOT_NULL = [GOLD_ID, GOLD_LABEL] + [n for _, n in GOLD_NUMERIC] + [n for n, _, _ in GOLD_DUMMIES]
+INFERENCE_NOT_NULL = [GOLD_ID, "Total Time Spent on Website", "Tags_Ringing"]
+MODELS = ("leads_silver", "leads_gold_features", "leads_gold_sin_converted")
+
+
+def q_dq_not_null(spark, sf):
+    silver, gold, inference = _silver_gold(spark, sf)
+    return reduce(DataFrame.unionByName, [
+        quality.not_null_report(silver, MODELS[0], SILVER_NOT_NULL),
+        quality.not_null_report(gold, MODELS[1], GOLD_NOT_NULL),
+        quality.not_null_report(inference, MODELS[2], INFERENCE_NOT_NULL)])
+
+
+def q_dq_unique(spark, sf):
+    silver, gold, inference = _silver_gold(spark, sf)
+    return reduce(DataFrame.unionByName, [
+        quality.unique_report(silver, MODELS[0], ["lead_number"]),
+        quality.unique_report(gold, MODELS[1], [GOLD_ID]),
+        quality.unique_report(inference, MODELS[2], [GOLD_ID])])
+
+
+def q_dq_accepted_values(spark, sf):
+    silver, gold, inference = _silver_gold(spark, sf)
+    gold_spec = {GOLD_LABEL: [0, 1], **{n: [0, 1] for n, _, _ in GOLD_DUMMIES}}
+    return reduce(DataFrame.unionByName, [
+        quality.accepted_values_report(silver, MODELS[0], {"converted": [0, 1]}),
+        quality.accepted_values_report(gold, MODELS[1], gold_spec),
+        quality.accepted_values_report(inference, MODELS[2], {"Tags_Ringing": [0, 1]})])
+
+
+def q_row_count_report(spark, sf):
+    return quality.row_count_report({"leads_silver": lh.silver_table(spark, sf),
+                                     "leads_gold_features": lh.gold(spark, sf)})
+
+
+def q_partition_report(spark, sf):
+    return quality.partition_report(lh.bronze_table(spark, sf)).select(
+        "ingestion_date", "n_rows", "partition_exists")
+
+
+def q_parity_check(spark, sf):
+    return quality.parity_report(fixtures.lead_messages(spark, sf), lh.bronze_table(spark, sf))
+
+
+def q_table_sample(spark, sf):
+    return lh.gold(spark, sf).orderBy(F.col(f"`{GOLD_ID}`")).limit(5)
+
+
+def q_gold_export(spark, sf):
+    base = lh.new_table_path(spark, "gold_export")
+    export_with_run_date(lh.gold(spark, sf), base, lh.RUN_DATE)
+    return read_partition(spark, base, lh.RUN_DATE)
+
+
+# ------------------------------------------------------------ categorical
+
+def q_distinct_categories(spark, sf):
+    part = fixtures.table(spark, sf, "part")
+    return part.where(F.col("p_type").isNotNull()).select(F.col("p_type").alias("v")).distinct()
+
+
+def q_one_hot_dynamic(spark, sf):
+    part = fixtures.table(spark, sf, "part")
+    return one_hot_dynamic(part, "p_type", "p_type", keep=["p_partkey"])
+
+
+def q_safe_names(spark, sf):
+    part = fixtures.table(spark, sf, "part")
+    return part.select("p_partkey", "p_brand",
+                       safe_name_col("brand", "p_brand").alias("safe_name"))
+
+
+def q_clamp_round(spark, sf):
+    c = fixtures.table(spark, sf, "customer")
+    return c.select(
+        "c_custkey",
+        clamp((F.col("c_acctbal") / 100).cast("int"), 0, 60).alias("visits_like"),
+        F.round(clamp("c_acctbal", 0.0, 5000.0), 2).alias("balance_clamped"))
+
+
+def q_weighted_category(spark, sf):
+    c = fixtures.table(spark, sf, "customer")
+    return c.select(
+        "c_custkey",
+        weighted_category("c_custkey", CITY_WEIGHTS, 42).alias("city"),
+        weighted_category("c_custkey", LEAD_ORIGIN_WEIGHTS, 43).alias("lead_origin"),
+        weighted_category("c_custkey", CONVERTED_WEIGHTS, 44).cast("int").alias("converted"))
+
+
+def q_encode_messages(spark, sf):
+    msgs = fixtures.lead_messages(spark, sf)
+    return msgs.select(F.col("key").cast("string").alias("key"),
+                       F.col("value").cast("string").alias("value"), "timestamp")
+
+
+def q_shift_event_time(spark, sf):
+    ev = fixtures.table(spark, sf, "events")
+    shifted = add_seconds("ts", (F.col("event_id") % 3600).cast("int"))
+    return ev.select("event_id", shifted.alias("event_time"),
+                     iso_utc(shifted).alias("event_time_iso"))
+
+
+# --------------------------------------------------------------- reporting
+
+TARGET_SYNC = dt.datetime(2024, 1, 31)
+BATCH_SYNC = dt.datetime(2024, 2, 1)
+
+
+def _pivot(spark, sf):
+    return reporting.pivot_run_metrics(fixtures.tracking_runs(spark, sf),
+                                       fixtures.tracking_experiments(spark, sf),
+                                       fixtures.tracking_metrics(spark, sf))
+
+
+def q_metrics_pivot(spark, sf):
+    return _pivot(spark, sf)
+
+
+def _upserted(spark, sf):
+    rows = _pivot(spark, sf)
+    run_key = F.col("run_uuid").cast("bigint")
+    base = lh.new_table_path(spark, "reporting")
+    reporting.upsert_table(spark, base, reporting.to_reporting_rows(
+        rows.where(run_key % 2 == 0), TARGET_SYNC))
+    return reporting.upsert_table(spark, base, reporting.to_reporting_rows(
+        rows.where(run_key % 3 == 0), BATCH_SYNC))
+
+
+def q_upsert_metrics(spark, sf):
+    return _upserted(spark, sf)
+
+
+def q_dashboard_view(spark, sf):
+    return reporting.dashboard_view(_upserted(spark, sf))
+
+
+# ---------------------------------------------------------------------- ml
+
+def q_feature_profile(spark, sf):
+    return feature_profile(lh.gold(spark, sf), GOLD_FEATURES)
+
+
+def q_training_matrix(spark, sf):
+    return ml.training_matrix(lh.gold(spark, sf), GOLD_ID, GOLD_LABEL)
+
+
+def q_train_test_split(spark, sf):
+    split = ml.hash_split(lh.gold(spark, sf), GOLD_ID, {"train": 80, "test": 20}, seed=42)
+    return split.select(GOLD_ID, "split")
+
+
+def q_confusion_metrics(spark, sf):
+    labels = fixtures.table(spark, sf, "labels")
+    scored = labels.select(F.col("quality").alias("label"),
+                           F.when(F.col("toxic").cast("double") > 0.5, 1).otherwise(0)
+                           .alias("prediction"))
+    return ml.confusion_metrics(scored, "label", "prediction")
+
+
+def q_auc_by_group(spark, sf):
+    li = fixtures.table(spark, sf, "lineitem")
+    scored = li.select("l_linestatus", (F.col("l_returnflag") == "R").cast("int").alias("label"),
+                       F.col("l_discount").alias("score"))
+    return ml.auc_by_group(scored, "label", "score", "l_linestatus")
+
+
+def q_train_eval(spark, sf):
+    return training.train_and_evaluate(spark, sf).run_metrics
+
+
+def q_score_leads(spark, sf):
+    return training.score_inference(spark, sf)
+
+
+def q_feature_importance(spark, sf):
+    return training.train_and_evaluate(spark, sf).importance
+
+
+# --------------------------------------------------------------- streaming
+
+def q_bronze_stream_ingest(spark, sf):
+    return stream_plan.ingest_fixture_stream(spark, sf).select(*BRONZE_COLS)
+
+
 QUERIES: dict[str, Query] = {
     "bronze_transform": q_bronze_transform,
     "bronze_transform_override": q_bronze_transform_override,
@@ -110,4 +316,31 @@ QUERIES: dict[str, Query] = {
     "gold_features": q_gold_features,
     "gold_typed": q_gold_typed,
     "gold_inference": q_gold_inference,
+    "dq_not_null": q_dq_not_null,
+    "dq_unique": q_dq_unique,
+    "dq_accepted_values": q_dq_accepted_values,
+    "row_count_report": q_row_count_report,
+    "partition_report": q_partition_report,
+    "parity_check": q_parity_check,
+    "table_sample": q_table_sample,
+    "gold_export": q_gold_export,
+    "distinct_categories": q_distinct_categories,
+    "one_hot_dynamic": q_one_hot_dynamic,
+    "safe_names": q_safe_names,
+    "clamp_round": q_clamp_round,
+    "weighted_category": q_weighted_category,
+    "encode_messages": q_encode_messages,
+    "shift_event_time": q_shift_event_time,
+    "metrics_pivot": q_metrics_pivot,
+    "upsert_metrics": q_upsert_metrics,
+    "dashboard_view": q_dashboard_view,
+    "feature_profile": q_feature_profile,
+    "training_matrix": q_training_matrix,
+    "train_test_split": q_train_test_split,
+    "confusion_metrics": q_confusion_metrics,
+    "auc_by_group": q_auc_by_group,
+    "bronze_stream_ingest": q_bronze_stream_ingest,
+    "train_eval": q_train_eval,
+    "score_leads": q_score_leads,
+    "feature_importance": q_feature_importance,
 }
