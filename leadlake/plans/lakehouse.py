@@ -32,7 +32,7 @@ def new_table_path(spark: SparkSession, kind: str) -> str:
     return os.path.join(warehouse_dir(spark), kind, uuid.uuid4().hex)
 
 
-def _once(spark: SparkSession, kind: str, sf_dir: str, build) -> str:
+def once(spark: SparkSession, kind: str, sf_dir: str, build) -> str:
     """Write a derived table once per (application, source folder) and return
     its path; ``build(path)`` performs the write."""
     key = (spark.sparkContext.applicationId, kind, os.path.abspath(sf_dir))
@@ -51,7 +51,7 @@ def ensure_bronze(spark: SparkSession, sf_dir: str) -> str:
     def build(path):
         bronze = transform_to_bronze(fixtures.lead_messages(spark, sf_dir))
         write_partitioned(bronze, path, "ingestion_date")
-    return _once(spark, "bronze", sf_dir, build)
+    return once(spark, "bronze", sf_dir, build)
 
 
 def bronze_table(spark: SparkSession, sf_dir: str, start=None, end=None) -> DataFrame:
@@ -73,10 +73,18 @@ def silver_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     JSON parse and the de-duplication shuffle. It also cuts the lineage, so a
     lost executor re-reads files instead of recomputing bronze -> silver.
     """
-    path = _once(spark, "silver", sf_dir,
+    path = once(spark, "silver", sf_dir,
                  lambda p: silver(spark, sf_dir).write.mode("errorifexists").parquet(p))
     return spark.read.parquet(path)
 
 
 def gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold_features(silver_table(spark, sf_dir))
+
+
+def materialize(spark: SparkSession, df: DataFrame, kind: str) -> DataFrame:
+    """Write ``df`` as a parquet table under the warehouse and read it back
+    (cuts the lineage; later readers scan files instead of recomputing)."""
+    path = new_table_path(spark, kind)
+    df.write.parquet(path)
+    return spark.read.parquet(path)

@@ -13,16 +13,18 @@ from leadlake.functions.timefmt import parse_date
 
 
 def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str] | str,
-                      mode: str = "append", cluster_by_partition: bool = True) -> None:
+                      mode: str = "append", rebalance: bool = True) -> None:
     """Write parquet partitioned by ``partition_by``.
 
-    With ``cluster_by_partition`` the rows are first hash-repartitioned on the
-    partition columns, so each date is written by few tasks (few files per
-    folder) instead of every task writing a small file into every folder.
-    AQE coalesces / splits these partitions by size.
+    With ``rebalance`` the rows are first clustered on the partition columns
+    with the ``REBALANCE`` hint: AQE then splits a date that holds a large
+    share of the rows over several tasks and merges small dates, so a folder
+    gets a few files of the advisory size instead of either one task writing
+    a whole hot date (``repartition(col)``) or every task writing a small file
+    into every folder (no shuffle).
     """
     cols = [partition_by] if isinstance(partition_by, str) else list(partition_by)
-    out = df.repartition(*[F.col(c) for c in cols]) if cluster_by_partition else df
+    out = df.hint("rebalance", *cols) if rebalance else df
     out.write.mode(mode).partitionBy(*cols).parquet(path)
 
 
@@ -36,7 +38,8 @@ def export_with_run_date(df: DataFrame, base: str, run_date: str | dt.date,
     previous = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
-        (df.withColumn(column, F.lit(d))
+        # One folder receives everything: rebalance to advisory-size files.
+        (df.withColumn(column, F.lit(d)).hint("rebalance")
            .write.mode("overwrite").partitionBy(column).parquet(base))
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", previous)
