@@ -47,21 +47,29 @@ def export_with_run_date(df: DataFrame, base: str, run_date: str | dt.date,
 
 
 def write_table_version(df: DataFrame, base: str) -> str:
-    """Full refresh without overwriting the folder being read: write a new
-    version folder, then point ``_current`` at it. Returns the version path."""
-    version = f"{base.rstrip('/')}/version={dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
+    """Full refresh without overwriting the folder being read.
+
+    The rows go to a new ``version=<utc time>-<id>`` folder; only after that
+    write has committed is the folder name appended to ``_log`` (an
+    append-only list, never rewritten). A job that dies half-way leaves an
+    unreferenced folder and the previous version stays current. Single writer
+    per table. Returns the version path.
+    """
+    stamp = dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f")
+    version = f"{base.rstrip('/')}/version={stamp}-{uuid.uuid4().hex[:8]}"
     df.write.mode("errorifexists").parquet(version)
     spark = df.sparkSession
     spark.createDataFrame([(version,)], "path string").coalesce(1) \
-        .write.mode("overwrite").text(f"{base.rstrip('/')}/_current")
+        .write.mode("append").text(f"{base.rstrip('/')}/_log")
     return version
 
 
 def current_table_version(spark: SparkSession, base: str) -> str | None:
-    """The version folder ``_current`` points at, or None when never written."""
-    pointer = f"{base.rstrip('/')}/_current"
+    """The newest committed version folder, or None when never written.
+    Version names start with a UTC timestamp, so the greatest name wins."""
+    log = f"{base.rstrip('/')}/_log"
     try:
-        rows = spark.read.text(pointer).limit(1).collect()
-    except Exception:  # noqa: BLE001 - a missing pointer means "no table yet"
+        rows = spark.read.text(log).agg(F.max("value").alias("v")).collect()
+    except Exception:  # noqa: BLE001 - no log yet means "no table yet"
         return None
-    return rows[0][0] if rows else None
+    return rows[0]["v"] if rows else None
