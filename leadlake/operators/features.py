@@ -30,13 +30,15 @@ def column_means(df: DataFrame, cols: Sequence[str], exact: bool = True) -> Data
 def impute_mean(df: DataFrame, cols: Sequence[str], exact: bool = True) -> DataFrame:
     """``coalesce(x, avg(x) over ())`` for each column, without the
     single-partition window: the means are one aggregate evaluated as a
-    scalar subquery (Catalyst merges the per-column subqueries into one), and
-    its value is inlined into the projection of the big side -- no join, no
-    shuffle of the rows being imputed."""
+    scalar subquery evaluated once, and its value is inlined into the
+    projection of the big side -- no join, no shuffle of the rows imputed."""
     means = column_means(df, cols, exact)
-    return df.withColumns({
-        c: F.coalesce(F.col(c), means.select(F.col(c)).scalar()) for c in cols
-    })
+    # One subquery returning a struct of all means: every reference is the
+    # same expression, so it runs once and the others are ReusedSubquery.
+    m = means.select(F.struct(*[F.col(c) for c in cols]).alias("m")).scalar()
+    bound = df.withColumn("_means", m)
+    return bound.withColumns(
+        {c: F.coalesce(F.col(c), F.col("_means").getField(c)) for c in cols}).drop("_means")
 
 
 def clean_text_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
