@@ -22,6 +22,7 @@ from leadlake.operators.features import (clean_text_columns, feature_profile, im
                                         one_hot_dynamic)
 from leadlake.operators.silver import dedup_latest, parse_messages
 from leadlake.plans import lakehouse as lh
+from leadlake.plans.checks import check_parity
 from leadlake.plans import streaming as stream_plan
 from leadlake.plans import training
 from leadlake.plans.gold import NUMERIC, TEXT, gold_base, gold_inference, gold_typed
@@ -157,7 +158,7 @@ def q_partition_report(spark, sf):
 
 
 def q_parity_check(spark, sf):
-    return quality.parity_report(fixtures.lead_messages(spark, sf), lh.bronze_table(spark, sf))
+    return check_parity(spark, fixtures.lead_messages(spark, sf), lh.ensure_bronze(spark, sf))
 
 
 def q_table_sample(spark, sf):

@@ -71,3 +71,20 @@ def test_retry_until_visible():
     assert waits == [5, 5]
     with pytest.raises(OSError):
         with_retry(lambda: (_ for _ in ()).throw(OSError("never")), tries=2, sleep=lambda s: None)
+
+
+def test_check_parity_and_validate_partition(spark, tmp_path):
+    from leadlake.plans.checks import check_parity, validate_partition
+    from leadlake.schemas import MESSAGE_SCHEMA
+    from leadlake.operators.bronze import transform_to_bronze
+    msgs = spark.createDataFrame(
+        [(b"k", b"{}", dt.datetime(2024, 1, d, 9)) for d in (1, 1, 2)], MESSAGE_SCHEMA)
+    base = str(tmp_path / "bronze")
+    transform_to_bronze(msgs).write.partitionBy("ingestion_date").parquet(base)
+    one = check_parity(spark, msgs, base, "2024-01-01", wait_seconds=0).collect()
+    assert [(r["source_rows"], r["bronze_rows"], r["status"]) for r in one] == [(2, 2, "ok")]
+    ok = validate_partition(spark, base, "2024-01-02")
+    assert ok["exists"] and ok["n_rows"] == 1 and ok["n_files"] >= 1 and ok["schema_ok"]
+    assert validate_partition(spark, base, "2024-02-01")["exists"] is False
+    with pytest.raises(Exception):
+        check_parity(spark, msgs, str(tmp_path / "missing"), tries=2, wait_seconds=0)
