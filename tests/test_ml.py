@@ -65,3 +65,27 @@ def test_small_gbt_train_score_importance(spark):
     assert imp[0]["feature"] == "a"
     log = ml.run_log(spark, "exp", {"depth": 2}, ml.confusion_metrics(scored, "label", "prediction"))
     assert {r["key"] for r in log["latest_metrics"].collect()} >= {"tp", "precision"}
+
+
+def test_auc_plan_has_no_unpartitioned_window(spark):
+    from leadlake.plans.inspect import plan_text
+    df = spark.range(1000).selectExpr("id % 2 AS y", "(id % 97) / 97.0 AS s")
+    plan = plan_text(ml.auc_by_group(df, "y", "s"))
+    windows = [line for line in plan.splitlines() if line.startswith("Arguments: [sum(")]
+    assert windows, "expected window operators"
+    assert "SinglePartition" not in plan.split("===== Subqueries =====")[0] or \
+        plan.count("SinglePartition") <= 2  # only for the one-row-per-group aggregates
+
+
+def test_pivot_aggregates_metrics_before_join(spark):
+    from leadlake.operators import reporting
+    from leadlake.plans.inspect import plan_text
+    runs = spark.createDataFrame([("r1", 1, 0, "active", "FINISHED")],
+                                 "run_uuid string, experiment_id long, start_time long, "
+                                 "lifecycle_stage string, status string")
+    exps = spark.createDataFrame([(1, "e")], "experiment_id long, name string")
+    metrics = spark.createDataFrame([("r1", "auc", 0.5)], "run_uuid string, key string, value double")
+    plan = plan_text(reporting.pivot_run_metrics(runs, exps, metrics))
+    tree = plan.split("\n\n")[0]
+    # the HashAggregate sits under the outer join's build side, not above the join
+    assert tree.index("Join LeftOuter") < tree.index("HashAggregate")
