@@ -22,8 +22,11 @@ def column_means(df: DataFrame, cols: Sequence[str], exact: bool = True) -> Data
     a column's total must then stay below 1e20.
     """
     if exact:
-        return df.agg(*[F.avg(F.col(c).cast("decimal(38,18)")).cast("double").alias(c)
-                        for c in cols])
+        # Exact DECIMAL sum, rounded to double once, then one division: the
+        # correctly rounded mean in practice (AVG over DECIMAL would round the
+        # quotient to a fixed scale first). Empty input -> NULL.
+        return df.agg(*[F.try_divide(F.sum(F.col(c).cast("decimal(38,18)")).cast("double"),
+                                     F.count(F.col(c))).alias(c) for c in cols])
     return df.agg(*[F.avg(F.col(c)).alias(c) for c in cols])
 
 
