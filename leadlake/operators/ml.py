@@ -73,7 +73,11 @@ def train_gbt(train: DataFrame, label: str = "label", features: str = "features"
     gbt = GBTClassifier(labelCol=label, featuresCol=features, maxIter=max_iter,
                         maxDepth=max_depth, stepSize=step_size,
                         subsamplingRate=subsampling_rate, seed=seed, lossType="logistic",
-                        validationTol=validation_tol)
+                        validationTol=validation_tol,
+                        # keep each row's node ids instead of re-descending all
+                        # trees every round; checkpointed every 10 rounds into
+                        # spark.checkpoint.dir, which also cuts the lineage
+                        cacheNodeIds=True, checkpointInterval=10)
     if validation_col:
         gbt = gbt.setValidationIndicatorCol(validation_col)
     return gbt.fit(train)
