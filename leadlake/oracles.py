@@ -324,9 +324,9 @@ REPORT_COLS = ("run_uuid AS run_id, start_time AS run_timestamp, experiment_name
                "recall, tp, tn, fp, fn, best_iter, stopped_iter")
 UPSERTED = f"""{TRACKING},
 target AS (SELECT {REPORT_COLS}, TIMESTAMP '2024-01-31 00:00:00' AS sync_timestamp
-           FROM pivoted WHERE CAST(run_uuid AS BIGINT) % 2 = 0),
+           FROM pivoted WHERE start_time < TIMESTAMP '1999-01-01 00:00:00'),
 batch AS (SELECT {REPORT_COLS}, TIMESTAMP '2024-02-01 00:00:00' AS sync_timestamp
-          FROM pivoted WHERE CAST(run_uuid AS BIGINT) % 3 = 0),
+          FROM pivoted WHERE start_time >= TIMESTAMP '1998-01-01 00:00:00'),
 reporting AS (
   SELECT * FROM target WHERE run_id NOT IN (SELECT run_id FROM batch)
   UNION ALL SELECT * FROM batch

@@ -235,16 +235,20 @@ def q_metrics_pivot(spark, sf):
     return _pivot(spark, sf)
 
 
+FIRST_SYNC_BEFORE = dt.datetime(1999, 1, 1)
+SECOND_SYNC_FROM = dt.datetime(1998, 1, 1)
+
+
 def upsert_run_metrics(spark, sf, base: str) -> DataFrame:
-    """Two syncs into the reporting table at ``base``: first the runs with an
-    even id, then the runs with an id divisible by 3 (some replaced, some
-    added, some kept)."""
+    """Two incremental syncs into the reporting table at ``base``: first the
+    runs started before 1999, then the runs started from 1998 on. Runs of
+    1998 are replaced, earlier ones kept, later ones added."""
     rows = lh.materialize(spark, _pivot(spark, sf), "run_pivot")
-    run_key = F.col("run_uuid").cast("bigint")
+    started = F.col("start_time")
     reporting.upsert_table(spark, base, reporting.to_reporting_rows(
-        rows.where(run_key % 2 == 0), TARGET_SYNC))
+        rows.where(started < F.lit(FIRST_SYNC_BEFORE)), TARGET_SYNC))
     return reporting.upsert_table(spark, base, reporting.to_reporting_rows(
-        rows.where(run_key % 3 == 0), BATCH_SYNC))
+        rows.where(started >= F.lit(SECOND_SYNC_FROM)), BATCH_SYNC))
 
 
 def q_upsert_metrics(spark, sf):
