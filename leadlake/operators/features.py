@@ -81,14 +81,32 @@ def one_hot_dynamic(df: DataFrame, col: str, prefix: str, drop_first: bool = Fal
     return df.select(*base, *one_hot_columns(col, levels, prefix, drop_first))
 
 
-def feature_profile(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+def feature_profile(df: DataFrame, cols: Sequence[str], approx: bool = False,
+                    rsd: float = 0.01) -> DataFrame:
     """Per feature: min, max, number of distinct non-NULL non-NaN values and a
     constant flag (distinct <= 1).
 
-    Unpivot to (feature, value), de-duplicate (feature, value) with a partial
-    aggregate, then aggregate per feature. Low-cardinality features collapse
-    map-side; no per-column COUNT(DISTINCT) expansion.
+    Exact (default): unpivot to (feature, value), de-duplicate (feature,
+    value) with a partial aggregate, then aggregate per feature.
+    Low-cardinality features collapse map-side; no per-column COUNT(DISTINCT)
+    expansion. ``approx=True``: one pass with a HyperLogLog++ sketch per
+    column (relative error ``rsd``) and no shuffle beyond the one-row
+    partials -- for very wide or very large tables. A constant column still
+    reports 1 there.
     """
+    if approx:
+        valid = {c: F.when(~F.isnan(F.col(f"`{c}`").cast("double")),
+                           F.col(f"`{c}`").cast("double")) for c in cols}
+        aggs = []
+        for i, c in enumerate(cols):
+            aggs += [F.min(valid[c]).alias(f"_mn{i}"), F.max(valid[c]).alias(f"_mx{i}"),
+                     F.approx_count_distinct(valid[c], rsd).alias(f"_nd{i}")]
+        entries = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"_mn{i}").alias("min_value"),
+                                     F.col(f"_mx{i}").alias("max_value"),
+                                     F.col(f"_nd{i}").alias("n_distinct"))
+                            for i, c in enumerate(cols)])
+        return (df.agg(*aggs).select(F.inline(entries))
+                .withColumn("is_constant", F.col("n_distinct") <= 1))
     long = (df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in cols])
               .unpivot([], list(cols), "feature", "value")
               .where(F.col("value").isNotNull() & ~F.isnan(F.col("value"))))

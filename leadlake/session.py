@@ -10,17 +10,30 @@ from pyspark.sql import SparkSession
 WAREHOUSE_CONF = "leadlake.warehouse.dir"
 
 
+def shuffle_partitions_for(input_bytes: int, target_bytes: int = 256 * 1024 * 1024,
+                           minimum: int = 200, expansion: float = 1.0) -> int:
+    """Initial shuffle partition count for an input of ``input_bytes``.
+
+    AQE can merge small shuffle partitions afterwards but cannot split large
+    ones (skew joins aside), so the initial count must be big enough that a
+    partition fits an executor's memory: input size x expansion / target size,
+    e.g. ~400k for 100 TB at 256 MB."""
+    return max(minimum, int(input_bytes * expansion // target_bytes) + 1)
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "leadlake",
     shuffle_partitions: int | None = None,
     extra_conf: dict[str, str] | None = None,
+    input_bytes: int | None = None,
 ) -> SparkSession:
     """A session configured the way the lakehouse jobs expect.
 
     UTC session zone (``to_date`` of a timestamp depends on it), ANSI on,
     AQE with partition coalescing and skew-join splitting, dynamic partition
-    overwrite for exports, no UI server.
+    overwrite for exports, no UI server. ``input_bytes`` (the size of the data
+    a job reads) sizes the shuffle partitions when no count is given.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -38,6 +51,8 @@ def build_session(
         "spark.sql.parquet.filterPushdown": "true",
         "spark.ui.enabled": "false",
     }
+    if shuffle_partitions is None and input_bytes is not None:
+        shuffle_partitions = shuffle_partitions_for(input_bytes)
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra_conf or {})

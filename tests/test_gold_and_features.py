@@ -68,3 +68,18 @@ def test_feature_profile(spark):
     assert not math.isnan(out["c"]["max_value"])
     assert set(out) == {"a", "b", "c"}
     assert len(GOLD_FEATURES) == 11
+
+
+def test_feature_profile_approx_agrees_on_small_data(spark):
+    df = spark.createDataFrame([(1.0, 0, float("nan")), (2.0, 0, None), (2.0, 0, 5.0)],
+                               "a double, b int, c double")
+    exact = {r["feature"]: tuple(r) for r in feature_profile(df, ["a", "b", "c"]).collect()}
+    approx = {r["feature"]: tuple(r) for r in
+              feature_profile(df, ["a", "b", "c"], approx=True).collect()}
+    assert exact == approx
+
+
+def test_shuffle_partitions_for():
+    from leadlake.session import shuffle_partitions_for
+    assert shuffle_partitions_for(10) == 200
+    assert shuffle_partitions_for(100 * 1024 ** 4) == 409601
