@@ -251,14 +251,18 @@ def upsert_run_metrics(spark, sf, base: str) -> DataFrame:
         rows.where(started >= F.lit(SECOND_SYNC_FROM)), BATCH_SYNC))
 
 
+def reporting_table(spark, sf) -> str:
+    """The reporting table after the two syncs (built once per application)."""
+    return lh.once(spark, "reporting", sf, lambda p: upsert_run_metrics(spark, sf, p))
+
+
 def q_upsert_metrics(spark, sf):
-    return upsert_run_metrics(spark, sf, lh.new_table_path(spark, "reporting"))
+    return reporting.read_reporting_table(spark, reporting_table(spark, sf))
 
 
 def q_dashboard_view(spark, sf):
-    """The view over the reporting table (synced once per application)."""
-    base = lh.once(spark, "reporting", sf, lambda p: upsert_run_metrics(spark, sf, p))
-    return reporting.dashboard_view(reporting.read_reporting_table(spark, base))
+    """The view over the reporting table."""
+    return reporting.dashboard_view(reporting.read_reporting_table(spark, reporting_table(spark, sf)))
 
 
 # ---------------------------------------------------------------------- ml
