@@ -19,20 +19,26 @@ def _bool_as_number(s: Column, otherwise: Column) -> Column:
     return F.when(s == "true", F.lit(1)).when(s == "false", F.lit(0)).otherwise(otherwise)
 
 
-def json_integer(s: Column, type_name: str = "int") -> Column:
-    """JSON text -> integral type (``int`` or ``bigint``)."""
+def _cast(s: Column, type_name: str, strict: bool) -> Column:
+    return s.cast(type_name) if strict else s.try_cast(type_name)
+
+
+def json_integer(s: Column, type_name: str = "int", strict: bool = True) -> Column:
+    """JSON text -> integral type (``int`` or ``bigint``). ``strict=False``
+    gives NULL instead of an error for text that is not a number."""
     # Fast path for integer text; the decimal route only runs for fractions.
     rounded = F.coalesce(
         s.try_cast("bigint"),
-        F.bround(s.cast("decimal(38,10)"), 0).cast("bigint"),
+        F.bround(_cast(s, "decimal(38,10)", strict), 0).cast("bigint"),
     )
-    return _bool_as_number(s, rounded).cast(type_name)
+    typed = _bool_as_number(s, rounded)
+    return typed.cast(type_name) if strict else typed.try_cast(type_name)
 
 
-def json_double(s: Column) -> Column:
-    return _bool_as_number(s, s.cast("double")).cast("double")
+def json_double(s: Column, strict: bool = True) -> Column:
+    return _bool_as_number(s, _cast(s, "double", strict)).cast("double")
 
 
-def json_timestamp(s: Column) -> Column:
+def json_timestamp(s: Column, strict: bool = True) -> Column:
     """ISO-8601 text with offset -> instant (``TimestampType``)."""
-    return s.cast("timestamp")
+    return _cast(s, "timestamp", strict)

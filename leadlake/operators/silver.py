@@ -17,14 +17,14 @@ from leadlake.sources.lake import filter_date_window
 _TEXT_SCHEMA = StructType([StructField(k, StringType()) for k, _, _ in MESSAGE_FIELDS])
 
 
-def _typed(text: Column, kind: str) -> Column:
+def _typed(text: Column, kind: str, strict: bool = True) -> Column:
     if kind == "string":
         return text
     if kind == "timestamp":
-        return json_timestamp(text)
+        return json_timestamp(text, strict)
     if kind == "double":
-        return json_double(text)
-    return json_integer(text, kind)
+        return json_double(text, strict)
+    return json_integer(text, kind, strict)
 
 
 def parse_messages(bronze: DataFrame, mode: str = "FAILFAST") -> DataFrame:
@@ -47,6 +47,46 @@ def parse_messages(bronze: DataFrame, mode: str = "FAILFAST") -> DataFrame:
     )
 
 
+_CORRUPT = "_corrupt_record"
+
+
+def annotate_messages(bronze: DataFrame) -> DataFrame:
+    """Parse without failing: the columns of ``parse_messages`` plus
+    ``raw_json`` and ``parse_error`` -- NULL for a good message,
+    ``malformed_json`` when the text is not a JSON object, ``bad_value:<field>``
+    when a field cannot be typed (e.g. a non-number where a number belongs).
+
+    Lets a job at scale keep going past bad messages and route them to a
+    quarantine table instead of dropping them (``split_parsed``). Write the
+    annotated rows once (e.g. partitioned by a good/bad flag) when both sides
+    are consumed, so the messages are parsed once.
+    """
+    schema = StructType(_TEXT_SCHEMA.fields + [StructField(_CORRUPT, StringType())])
+    doc = F.from_json(F.col("raw_json"), schema,
+                      {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
+    staged = bronze.select("kafka_key", "raw_json", "kafka_timestamp", "ingestion_date",
+                           F.inline(F.array(doc)))
+    typed = {name: _typed(F.col(f"`{key}`"), kind, strict=False)
+             for key, name, kind in MESSAGE_FIELDS}
+    error = F.when(F.col(_CORRUPT).isNotNull(), F.lit("malformed_json"))
+    for key, name, kind in MESSAGE_FIELDS:
+        if kind != "string":
+            error = error.when(F.col(f"`{key}`").isNotNull() & typed[name].isNull(),
+                               F.lit(f"bad_value:{name}"))
+    return staged.select("kafka_key", "kafka_timestamp", "ingestion_date",
+                         *[c.alias(n) for n, c in typed.items()], "raw_json",
+                         error.alias("parse_error"))
+
+
+def split_parsed(annotated: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(good rows in the ``parse_messages`` shape, bad rows with their raw
+    text and reason) from ``annotate_messages``."""
+    good = annotated.where(F.col("parse_error").isNull()).drop("raw_json", "parse_error")
+    bad = annotated.where(F.col("parse_error").isNotNull()).select(
+        "kafka_key", "kafka_timestamp", "ingestion_date", "raw_json", "parse_error")
+    return good, bad
+
+
 def clean_leads(parsed: DataFrame) -> DataFrame:
     """Fill visits/country, derive time per visit, drop rows without web time."""
     return (parsed

@@ -86,3 +86,17 @@ def test_silver_plan_parses_once_and_prunes_partitions(spark, tmp_path):
     assert "WindowGroupLimit" in plan
     assert silver.count() == 4
     assert silver.groupBy("lead_number").count().where(F.col("count") > 1).count() == 0
+
+
+def test_annotate_routes_bad_messages(spark):
+    from leadlake.operators.silver import annotate_messages, split_parsed
+    docs = [{"Lead Number": 7, "Total Time Spent on Website": 3},
+            "{not json",
+            {"Lead Number": "abc", "Total Time Spent on Website": 3},
+            {"Lead Number": 8, "event_time": "yesterday"}]
+    good, bad = split_parsed(annotate_messages(bronze_rows(spark, docs)))
+    assert [r["lead_number"] for r in good.collect()] == [7]
+    reasons = {r["kafka_key"]: r["parse_error"] for r in bad.collect()}
+    assert reasons == {"1": "malformed_json", "2": "bad_value:lead_number",
+                       "3": "bad_value:event_time"}
+    assert good.columns == parse_messages(bronze_rows(spark, docs[:1])).columns
