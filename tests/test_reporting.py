@@ -51,3 +51,18 @@ def test_dashboard_view(spark):
     out = {r["run_id"]: r for r in reporting.dashboard_view(rows).collect()}
     assert out["r1"]["f1"] == 0.5 and out["r1"]["accuracy"] is None
     assert out["r2"]["f1"] is None
+
+
+def test_failed_version_write_keeps_previous_version(spark, tmp_path):
+    import pytest
+    from pyspark.sql import functions as F
+    from leadlake.sinks.lake import current_table_version, write_table_version
+    base = str(tmp_path / "t")
+    first = write_table_version(spark.range(3), base)
+    assert current_table_version(spark, base) == first
+    broken = spark.range(10).select(F.when(F.col("id") == 7, F.raise_error(F.lit("boom")))
+                                    .otherwise(F.col("id")).alias("id"))
+    with pytest.raises(Exception):
+        write_table_version(broken, base)
+    assert current_table_version(spark, base) == first
+    assert spark.read.parquet(current_table_version(spark, base)).count() == 3
