@@ -13,11 +13,25 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from leadlake.functions.categories import hash_bucket
+from leadlake.functions.literal import literal_rows
 from leadlake.functions.numeric import ratio_or_zero
 
 
+_IMPORTANCE = StructType([StructField("feature", StringType()),
+                          StructField("importance", DoubleType())])
+_RUNS = StructType([StructField("run_uuid", StringType()), StructField("experiment_id", LongType()),
+                    StructField("start_time", LongType()),
+                    StructField("lifecycle_stage", StringType()),
+                    StructField("status", StringType())])
+_EXPERIMENTS = StructType([StructField("experiment_id", LongType()),
+                           StructField("name", StringType())])
+_PARAMS = StructType([StructField("run_uuid", StringType()), StructField("key", StringType()),
+                      StructField("value", StringType())])
+
+
 def _q(name: str):
     return F.col(f"`{name}`")
 
@@ -156,7 +170,7 @@ def feature_importance(spark: SparkSession, model: GBTClassificationModel,
     not of the data)."""
     imp = model.featureImportances.toArray().tolist()
     rows = [(n, float(v)) for n, v in zip(names, imp, strict=True)]
-    df = spark.createDataFrame(rows, "feature string, importance double")
+    df = literal_rows(spark, _IMPORTANCE, rows)
     return df.orderBy(F.col("importance").desc(), F.col("feature")).limit(k)
 
 
@@ -169,17 +183,14 @@ def run_log(spark: SparkSession, experiment: str, params: Mapping[str, object],
     run_id = run_id or uuid.uuid4().hex
     start = start or dt.datetime.now(dt.timezone.utc)
     exp_id = zlib.crc32(experiment.encode("utf-8"))
-    runs = spark.createDataFrame(
-        [(run_id, exp_id, int(start.timestamp() * 1000), "active", "FINISHED")],
-        "run_uuid string, experiment_id long, start_time long, lifecycle_stage string, "
-        "status string")
-    experiments = spark.createDataFrame([(exp_id, experiment)], "experiment_id long, name string")
+    runs = literal_rows(spark, _RUNS, [(run_id, exp_id, int(start.timestamp() * 1000), "active",
+                                         "FINISHED")])
+    experiments = literal_rows(spark, _EXPERIMENTS, [(exp_id, experiment)])
     numeric = [c for c, t in metrics.dtypes if t in ("int", "bigint", "double", "float")]
     entries = F.array(*[F.struct(F.lit(c).alias("key"), F.col(c).cast("double").alias("value"))
                         for c in numeric])
     latest = metrics.select(F.lit(run_id).alias("run_uuid"), F.inline(entries))
-    param_rows = spark.createDataFrame([(run_id, k, str(v)) for k, v in params.items()],
-                                       "run_uuid string, key string, value string")
+    param_rows = literal_rows(spark, _PARAMS, [(run_id, k, str(v)) for k, v in params.items()])
     return {"runs": runs, "experiments": experiments, "latest_metrics": latest,
             "params": param_rows}
 

@@ -9,6 +9,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from leadlake.functions.literal import literal_rows
 from leadlake.functions.numeric import accuracy, f1_score
 from leadlake.functions.timefmt import epoch_ms_to_timestamp
 from leadlake.schemas import METRIC_MAP, REPORTING_SCHEMA
@@ -55,7 +56,7 @@ def read_reporting_table(spark: SparkSession, base: str) -> DataFrame:
     """The current reporting table, or an empty typed one when none exists."""
     version = current_table_version(spark, base)
     if version is None:
-        return spark.createDataFrame([], REPORTING_SCHEMA)
+        return literal_rows(spark, REPORTING_SCHEMA, [])
     return spark.read.schema(REPORTING_SCHEMA).parquet(version)
 
 

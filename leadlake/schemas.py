@@ -82,7 +82,7 @@ GOLD_LABEL = "Converted"
 GOLD_FEATURES = [n for _, n in GOLD_NUMERIC] + [n for n, _, _ in GOLD_DUMMIES]
 
 REPORTING_SCHEMA = StructType([
-    StructField("run_id", StringType(), False),
+    StructField("run_id", StringType()),  # unique by the upsert, checked by tests
     StructField("run_timestamp", TimestampType()),
     StructField("experiment_name", StringType()),
     StructField("auc", DoubleType()),

@@ -59,7 +59,7 @@ def write_table_version(df: DataFrame, base: str) -> str:
     version = f"{base.rstrip('/')}/version={stamp}-{uuid.uuid4().hex[:8]}"
     df.write.mode("errorifexists").parquet(version)
     spark = df.sparkSession
-    spark.createDataFrame([(version,)], "path string").coalesce(1) \
+    spark.range(1).select(F.lit(version).alias("path")) \
         .write.mode("append").text(f"{base.rstrip('/')}/_log")
     return version
 
@@ -69,7 +69,8 @@ def current_table_version(spark: SparkSession, base: str) -> str | None:
     Version names start with a UTC timestamp, so the greatest name wins."""
     log = f"{base.rstrip('/')}/_log"
     try:
-        rows = spark.read.text(log).agg(F.max("value").alias("v")).collect()
+        # top-1 per task, merged on the driver: one job, one row back
+        rows = spark.read.text(log).orderBy(F.col("value").desc()).limit(1).collect()
     except Exception:  # noqa: BLE001 - no log yet means "no table yet"
         return None
-    return rows[0]["v"] if rows else None
+    return rows[0]["value"] if rows else None
