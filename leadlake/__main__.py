@@ -8,10 +8,11 @@
     python -m leadlake test    --silver /lake/silver --gold /lake/gold
     python -m leadlake train   --gold /lake/gold --tracking /lake/tracking
     python -m leadlake sync-metrics --tracking /lake/tracking --reporting /lake/reporting
+    python -m leadlake verify  --reporting /lake/reporting
 
 Versioned outputs (silver, gold, reporting) are written as new version
 folders; readers take the latest committed one. Exit codes: 0 ok, 1 failed
-tests, 2 data loss (parity).
+tests, 2 data loss (parity) or no table (``verify``).
 """
 
 from __future__ import annotations
@@ -127,6 +128,20 @@ def cmd_sync_metrics(spark, args) -> int:
     return 0
 
 
+def cmd_verify(spark, args) -> int:
+    """Existence, row count and a 5-row sample of the dashboard view."""
+    base = args.reporting.rstrip("/")
+    if current_table_version(spark, base) is None:
+        print(f"ERROR: missing table {base}", file=sys.stderr)
+        return 2
+    view = reporting.dashboard_view(reporting.read_reporting_table(spark, base))
+    check = quality.relation_check(view, ["run_id"], n=5)
+    print(f"OK: v_dashboard_model_metrics rows={check['count']}")
+    for r in check["sample"]:
+        print("  ", tuple(r))
+    return 0
+
+
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="leadlake")
     sub = p.add_subparsers(dest="cmd", required=True)
@@ -166,11 +181,14 @@ def parser() -> argparse.ArgumentParser:
     s = sub.add_parser("sync-metrics")
     s.add_argument("--tracking", required=True)
     s.add_argument("--reporting", required=True)
+    s = sub.add_parser("verify")
+    s.add_argument("--reporting", required=True)
     return p
 
 
 COMMANDS = {"ingest": cmd_ingest, "parity": cmd_parity, "silver": cmd_silver, "gold": cmd_gold,
-            "test": cmd_test, "train": cmd_train, "sync-metrics": cmd_sync_metrics}
+            "test": cmd_test, "train": cmd_train, "sync-metrics": cmd_sync_metrics,
+            "verify": cmd_verify}
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:

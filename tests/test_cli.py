@@ -16,6 +16,9 @@ def test_cli_end_to_end(spark, sf_small, tmp_path):
     # total_visits has NULLs in silver: the not-null test fails, as in the original
     assert main(["test", "--silver", p["silver"], "--gold", p["gold"]], spark) == 1
     assert main(["train", "--gold", p["gold"], "--tracking", p["tracking"]], spark) == 0
+    assert main(["verify", "--reporting", p["reporting"]], spark) == 2  # not synced yet
     assert main(["sync-metrics", "--tracking", p["tracking"], "--reporting", p["reporting"]],
                 spark) == 0
+    assert main(["verify", "--reporting", p["reporting"]], spark) == 0
+    assert main(["verify", "--reporting", str(tmp_path / "nowhere" / "reporting")], spark) == 2
     assert spark.read.parquet(f"{p['export']}/ingestion_date=2024-01-30").count() > 0
