@@ -29,10 +29,15 @@ def encode_messages(df: DataFrame, key: str | Column, timestamp: str | Column |
     return df.select(*cols)
 
 
+# Producer settings of the original publisher: wait for all replicas, retry 8 times.
+PRODUCER_DEFAULTS = {"kafka.acks": "all", "kafka.retries": "8"}
+
+
 def publish_messages(df: DataFrame, topic: str, kafka_options: dict[str, str]) -> None:
     """Write encoded messages to a Kafka topic (needs the Kafka connector on
-    the classpath; acks/retries are producer options passed through)."""
+    the classpath). ``kafka_options`` (at least ``kafka.bootstrap.servers``)
+    override ``PRODUCER_DEFAULTS``."""
     writer = df.write.format("kafka").option("topic", topic)
-    for k, v in kafka_options.items():
+    for k, v in {**PRODUCER_DEFAULTS, **kafka_options}.items():
         writer = writer.option(k, v)
     writer.save()
