@@ -30,3 +30,17 @@ def test_available_now_restart_and_backfill(spark, tmp_path):
     out = spark.read.parquet(bronze)
     assert out.count() == 35
     assert out.where("ingestion_date = DATE'2023-12-31'").count() == 5
+
+
+def test_available_now_respects_batch_bound(spark, tmp_path):
+    from leadlake.streaming.ingest import start_bronze_ingest
+    landing, bronze, ckpt = (str(tmp_path / n) for n in ("landing", "bronze", "ckpt"))
+    for start in (0, 10, 20):  # three appends = at least three files
+        write_messages(spark, landing, start, 10)
+    src = MessageSource("files", path=landing, max_files_per_trigger=1)
+    query = start_bronze_ingest(spark, src, bronze, ckpt)
+    query.awaitTermination(120)
+    batches = [p for p in query.recentProgress if int(p.get("numInputRows", 0)) > 0]
+    assert len(batches) >= 3
+    assert sum(int(p["numInputRows"]) for p in batches) == 30
+    assert spark.read.parquet(bronze).count() == 30
