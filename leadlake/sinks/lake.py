@@ -34,15 +34,11 @@ def export_with_run_date(df: DataFrame, base: str, run_date: str | dt.date,
     replacing only that folder (dynamic partition overwrite). Returns the
     partition path."""
     d = parse_date(run_date)
-    spark = df.sparkSession
-    previous = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        # One folder receives everything: rebalance to advisory-size files.
-        (df.withColumn(column, F.lit(d)).hint("rebalance")
-           .write.mode("overwrite").partitionBy(column).parquet(base))
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", previous)
+    # One folder receives everything: rebalance to advisory-size files. The
+    # overwrite mode is a per-write option, not a session-wide setting.
+    (df.withColumn(column, F.lit(d)).hint("rebalance")
+       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+       .partitionBy(column).parquet(base))
     return f"{base.rstrip('/')}/{column}={d.isoformat()}"
 
 

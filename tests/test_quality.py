@@ -88,3 +88,19 @@ def test_check_parity_and_validate_partition(spark, tmp_path):
     assert validate_partition(spark, base, "2024-02-01")["exists"] is False
     with pytest.raises(Exception):
         check_parity(spark, msgs, str(tmp_path / "missing"), tries=2, wait_seconds=0)
+
+
+def test_export_replaces_only_its_date(spark, tmp_path):
+    from leadlake.sinks.lake import export_with_run_date
+    base = str(tmp_path / "export")
+    previous = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")  # the write must not rely on it
+    try:
+        export_with_run_date(spark.range(3), base, "2024-01-01")
+        export_with_run_date(spark.range(5), base, "2024-01-02")
+        export_with_run_date(spark.range(7), base, "2024-01-01")  # re-run of the first date
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", previous)
+    counts = {str(r["ingestion_date"]): r["count"] for r in
+              spark.read.parquet(base).groupBy("ingestion_date").count().collect()}
+    assert counts == {"2024-01-01": 7, "2024-01-02": 5}
