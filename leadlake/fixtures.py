@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 
 from leadlake.functions.timefmt import iso_utc
 from leadlake.sinks.messages import encode_messages
+from leadlake.sources.lake import read_immutable_parquet
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return read_immutable_parquet(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _pick(index, values):

@@ -17,7 +17,7 @@ from leadlake.operators.silver import build_silver
 from leadlake.plans.gold import gold_features
 from leadlake.session import warehouse_dir
 from leadlake.sinks.lake import write_partitioned
-from leadlake.sources.lake import read_partitioned, trailing_window
+from leadlake.sources.lake import filter_date_window, read_immutable_parquet, trailing_window
 
 # The run date of the fixture: messages span 2024-01-01 .. 2024-01-30.
 RUN_DATE = dt.date(2024, 1, 30)
@@ -55,7 +55,9 @@ def ensure_bronze(spark: SparkSession, sf_dir: str) -> str:
 
 
 def bronze_table(spark: SparkSession, sf_dir: str, start=None, end=None) -> DataFrame:
-    return read_partitioned(spark, ensure_bronze(spark, sf_dir), start, end)
+    # bronze folders are write-once (a fresh folder per application)
+    bronze = read_immutable_parquet(spark, ensure_bronze(spark, sf_dir))
+    return filter_date_window(bronze, "ingestion_date", start, end)
 
 
 def silver(spark: SparkSession, sf_dir: str, run_date: dt.date = RUN_DATE,
@@ -75,7 +77,7 @@ def silver_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     path = once(spark, "silver", sf_dir,
                  lambda p: silver(spark, sf_dir).write.mode("errorifexists").parquet(p))
-    return spark.read.parquet(path)
+    return read_immutable_parquet(spark, path)
 
 
 def gold(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,6 +14,24 @@ from leadlake.functions.timefmt import parse_date
 
 T = TypeVar("T")
 
+_schemas: dict[str, object] = {}
+
+
+def read_immutable_parquet(spark: SparkSession, path: str) -> DataFrame:
+    """Read a parquet path that never changes once written (read-only inputs,
+    write-once table folders), inferring its schema only on the first read.
+
+    Schema inference runs a footer-reading job on every ``read.parquet``;
+    later reads of the same folder pass the remembered schema instead
+    (partition columns included).
+    """
+    schema = _schemas.get(path)
+    if schema is not None:
+        return spark.read.schema(schema).parquet(path)
+    df = spark.read.parquet(path)
+    _schemas[path] = df.schema
+    return df
+
 
 def filter_date_window(df: DataFrame, column: str, start: str | dt.date | None = None,
                        end: str | dt.date | None = None) -> DataFrame:
