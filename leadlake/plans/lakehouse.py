@@ -45,12 +45,24 @@ def once(spark: SparkSession, kind: str, sf_dir: str, build) -> str:
     return path
 
 
+def message_topic(spark: SparkSession, sf_dir: str) -> str:
+    """The message log (``key, value, timestamp`` files) the producer side
+    publishes once; every consumer -- batch snapshot, stream, parity --
+    reads it. Returns its folder (the file stand-in for a Kafka topic)."""
+    return once(spark, "topic", sf_dir,
+                lambda p: fixtures.lead_messages(spark, sf_dir).write.parquet(p))
+
+
+def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batch snapshot of the whole message log."""
+    return read_immutable_parquet(spark, message_topic(spark, sf_dir))
+
+
 def ensure_bronze(spark: SparkSession, sf_dir: str) -> str:
-    """Batch-ingest the fixture messages into a date-partitioned bronze table
-    and return its path."""
+    """Batch-ingest the message log into a date-partitioned bronze table and
+    return its path."""
     def build(path):
-        bronze = transform_to_bronze(fixtures.lead_messages(spark, sf_dir))
-        write_partitioned(bronze, path, "ingestion_date")
+        write_partitioned(transform_to_bronze(messages(spark, sf_dir)), path, "ingestion_date")
     return once(spark, "bronze", sf_dir, build)
 
 

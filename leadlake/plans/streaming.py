@@ -1,11 +1,9 @@
-"""Streaming ingest of the fixture messages: publish them as message files,
-ingest with an available-now stream into bronze, read bronze back."""
+"""Streaming ingest of the message log into bronze, read back."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leadlake import fixtures
 from leadlake.plans import lakehouse as lh
 from leadlake.sources.messages import MessageSource
 from leadlake.streaming.ingest import run_bronze_ingest
@@ -13,8 +11,9 @@ from leadlake.streaming.ingest import run_bronze_ingest
 
 def ingest_fixture_stream(spark: SparkSession, sf_dir: str,
                           ingestion_date_override: str | None = None) -> DataFrame:
-    landing = lh.new_table_path(spark, "landing")
-    fixtures.lead_messages(spark, sf_dir).write.parquet(landing)
+    """Stream the message log into a fresh bronze folder (available-now, with
+    its own checkpoint) and read the result back."""
+    landing = lh.message_topic(spark, sf_dir)
     bronze = lh.new_table_path(spark, "bronze_stream")
     checkpoint = lh.new_table_path(spark, "checkpoints")
     run_bronze_ingest(spark, MessageSource("files", path=landing), bronze, checkpoint,

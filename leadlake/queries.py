@@ -37,11 +37,11 @@ BRONZE_COLS = ["kafka_key", "raw_json", "kafka_timestamp", "ingestion_date"]
 
 
 def q_bronze_transform(spark, sf):
-    return transform_to_bronze(fixtures.lead_messages(spark, sf))
+    return transform_to_bronze(lh.messages(spark, sf))
 
 
 def q_bronze_transform_override(spark, sf):
-    return transform_to_bronze(fixtures.lead_messages(spark, sf), "2024-01-15")
+    return transform_to_bronze(lh.messages(spark, sf), "2024-01-15")
 
 
 def q_scan_partitioned(spark, sf):
@@ -158,7 +158,7 @@ def q_partition_report(spark, sf):
 
 
 def q_parity_check(spark, sf):
-    return check_parity(spark, fixtures.lead_messages(spark, sf), lh.ensure_bronze(spark, sf))
+    return check_parity(spark, lh.messages(spark, sf), lh.ensure_bronze(spark, sf))
 
 
 def q_table_sample(spark, sf):
