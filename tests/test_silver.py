@@ -100,3 +100,12 @@ def test_annotate_routes_bad_messages(spark):
     assert reasons == {"1": "malformed_json", "2": "bad_value:lead_number",
                        "3": "bad_value:event_time"}
     assert good.columns == parse_messages(bronze_rows(spark, docs[:1])).columns
+
+
+def test_integer_overflow_is_an_error_not_a_wrap(spark):
+    from leadlake.operators.silver import annotate_messages, split_parsed
+    docs = [{"Lead Number": 1, "TotalVisits": 3_000_000_000}]
+    with pytest.raises(Exception):
+        parse_messages(bronze_rows(spark, docs)).collect()
+    _, bad = split_parsed(annotate_messages(bronze_rows(spark, docs)))
+    assert [r["parse_error"] for r in bad.collect()] == ["bad_value:total_visits"]
