@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +18,20 @@ from leadlake.session import checkpoint_dir
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+_PACKAGE = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+_shipped: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Gives the Python workers this package, once per application (a no-op where it came as a zip)."""
+    sc = spark.sparkContext
+    if sc.applicationId not in _shipped and os.path.isdir(_PACKAGE):
+        home, name = os.path.split(_PACKAGE)
+        archive = shutil.make_archive(os.path.join(tempfile.mkdtemp(), name), "zip", home, name)
+        sc.addPyFile(archive)
+        _shipped.add(sc.applicationId)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -51,3 +70,38 @@ def hex_long(text: Column, digits: int = 15) -> Column:
 def in_fold(column: str, folds: int, fold: int) -> Column:
     """Whether crc32(id as text) mod ``folds`` is ``fold``."""
     return F.crc32(id_text(column).cast("binary")) % F.lit(folds) == F.lit(fold)
+
+
+_ARROW = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(),
+          "boolean": pa.bool_(), "binary": pa.binary(), "array<int>": pa.list_(pa.int32())}
+
+
+def map_texts(df: DataFrame, make: Callable[[], Callable], fields: dict[str, str], text_col: str = "_text",
+              rows_at_once: int = 256, many: bool = False) -> DataFrame:
+    """``df`` without its text column, plus ``fields`` computed from the texts.
+
+    ``make()`` runs once per task and returns a function from a list of texts
+    (null: None) to a list of tuples, one per text; with ``many``, a list of
+    lists of tuples (a row for each). All other columns pass through as Arrow
+    arrays, untouched. Texts become Python strings ``rows_at_once`` at a time."""
+    ship_code(df.sparkSession)
+    kept = [c for c in df.columns if c != text_col]
+    names = [*kept, *fields]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fn = make()
+        for batch in batches:
+            for at in range(0, batch.num_rows, rows_at_once):
+                part = batch.slice(at, rows_at_once)
+                got = fn(part.column(text_col).to_pylist())
+                if many:
+                    place = pa.array([i for i, rows in enumerate(got) for _ in rows], pa.int64())
+                    got = [row for rows in got for row in rows]
+                columns = list(zip(*got)) if got else [()] * len(fields)
+                same = [part.column(c).take(place) if many else part.column(c) for c in kept]
+                new = [pa.array(x, _ARROW[t]) for x, t in zip(columns, fields.values())]
+                yield pa.RecordBatch.from_arrays([*same, *new], names)
+
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name != text_col),
+                        *(f"{n} {t}" for n, t in fields.items())])
+    return df.mapInArrow(run, schema)

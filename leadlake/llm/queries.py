@@ -9,14 +9,31 @@ from pyspark.sql import functions as F
 
 from leadlake.llm.common import table
 from leadlake.llm.exact_dedup import exact_dedup
+from leadlake.llm.langid import language_id
+from leadlake.llm.license_scan import license_scan
 from leadlake.llm.mixing import mix_plan
+from leadlake.llm.packing import best_fit_packing
+from leadlake.llm.quality import quality_classifier
 from leadlake.llm.sharding import interleaved_shards
+from leadlake.llm.topk_search import top_k_search
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"), keep="largest")
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id(table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit_packing(table(spark, sf_dir, "documents"))
+
+
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interleaved_shards(table(spark, sf_dir, "documents"), shards=16).select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
@@ -27,10 +44,23 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_plan(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k_search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_language_id": op3_language_id,
+    "op4_best_fit_packing": op4_best_fit_packing,
+    "op6_quality_classifier": op6_quality_classifier,
     "op7_sharding": op7_sharding,
+    "op8_topk_search": op8_topk_search,
     "op9_mixing": op9_mixing,
+    "op10_license_scan": op10_license_scan,
 }
 
 ORACLES: dict[str, str] = {
@@ -40,6 +70,18 @@ SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id IS NOT DISTINCT FROM g.keep_i
 FROM documents d
 JOIN (SELECT coalesce(text, '') AS body, max(doc_id) AS keep_id, count(*) AS group_size
       FROM documents GROUP BY 1) g ON coalesce(d.text, '') = g.body""",
+    "op8_topk_search": """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, v.vec_id, CAST(list_inner_product(q.e, v.e) AS BIGINT) AS score
+  FROM v AS q JOIN v ON q.vec_id % 100 = 0 AND v.vec_id <> q.vec_id),
+ranked AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+         vec_id, score FROM scored)
+SELECT * FROM ranked WHERE rank <= 10""",
     "op9_mixing": r"""
 WITH sized AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents),
