@@ -73,7 +73,7 @@ def in_fold(column: str, folds: int, fold: int) -> Column:
 
 
 _ARROW = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(),
-          "boolean": pa.bool_(), "binary": pa.binary(), "array<int>": pa.list_(pa.int32())}
+          "boolean": pa.bool_(), "binary": pa.binary(), "array<int>": pa.list_(pa.int32()), "array<long>": pa.list_(pa.int64())}
 
 
 def map_texts(df: DataFrame, make: Callable[[], Callable], fields: dict[str, str], text_col: str = "_text",
@@ -105,3 +105,22 @@ def map_texts(df: DataFrame, make: Callable[[], Callable], fields: dict[str, str
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name != text_col),
                         *(f"{n} {t}" for n, t in fields.items())])
     return df.mapInArrow(run, schema)
+
+
+def maybe_among(df: DataFrame, key, wanted: DataFrame, bits: int = 25) -> DataFrame:
+    """The rows of ``df`` whose ``key`` may be one of ``wanted``'s (a one-column table): a superset of them.
+
+    Wanted keys are hashed into a bitmap of 2 ** bits bits, 4 MB by default
+    whatever the number of keys, which is what gets broadcast; an exact join on
+    the rows left is up to the caller. Saves shuffling whole texts for a few."""
+    def places(k):
+        p = F.pmod(F.xxhash64(k), F.lit(1 << bits))
+        return F.floor(p / 32768).cast("long"), (p % 32768).cast("long")
+
+    group, bit = places(F.col(f"`{wanted.columns[0]}`"))
+    maps = wanted.groupBy(group.alias("_map_group")).agg(F.bitmap_construct_agg(bit).alias("_map"))
+    group, bit = places(key)
+    byte = F.expr("cast(conv(hex(substring(_map, cast(_map_bit div 8 as int) + 1, 1)), 16, 10) as int)")
+    there = byte.bitwiseAND(F.expr("shiftleft(1, cast(_map_bit % 8 as int))")) != 0
+    return (df.withColumn("_map_group", group).withColumn("_map_bit", bit)
+            .join(F.broadcast(maps), "_map_group").where(there).drop("_map_group", "_map_bit", "_map"))

@@ -11,6 +11,8 @@ from leadlake.llm.common import table
 from leadlake.llm.exact_dedup import exact_dedup
 from leadlake.llm.langid import language_id
 from leadlake.llm.license_scan import license_scan
+from leadlake.llm.line_dedup import line_dedup
+from leadlake.llm.minhash import near_duplicates
 from leadlake.llm.mixing import mix_plan
 from leadlake.llm.packing import best_fit_packing
 from leadlake.llm.quality import quality_classifier
@@ -18,6 +20,10 @@ from leadlake.llm.sharding import interleaved_shards
 from leadlake.llm.topk_search import top_k_search
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup(table(spark, sf_dir, "documents"), edits=2, least_chars=24)
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"), keep="largest")
 
@@ -30,6 +36,11 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing(table(spark, sf_dir, "documents"))
 
 
+def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80).select(
+        "doc_id", "n_shingles", "component_id", "kept")
+
+
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -53,9 +64,11 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_language_id": op3_language_id,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op6_quality_classifier": op6_quality_classifier,
     "op7_sharding": op7_sharding,
     "op8_topk_search": op8_topk_search,
@@ -64,6 +77,49 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    # DuckDB's levenshtein counts bytes, so letters beyond ASCII become single control bytes first. A pair
+    # within two edits has an unchanged first, last or middle third, which spares most distance computations.
+    "op1_line_dedup": """
+WITH RECURSIVE split AS (
+  SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+seen AS (
+  SELECT doc_id, unnest(range(0, len(l)))::INTEGER AS line_no, unnest(l) AS line FROM split),
+long AS MATERIALIZED (
+  SELECT line, length(line) AS n,
+         translate(line, 'éèÍÊñÄâÉßêçÇíÈÑîáóöüÖÓäÜú', '') AS b
+  FROM seen WHERE length(line) >= 24 GROUP BY line),
+links AS MATERIALIZED (
+  SELECT x.line AS u, y.line AS v FROM long x JOIN long y ON x.line <> y.line AND abs(x.n - y.n) <= 2
+  WHERE (starts_with(y.b, x.b[:x.n // 3]) OR ends_with(y.b, x.b[x.n - x.n // 3 + 1:])
+         OR contains(y.b, x.b[x.n // 3 + 1:x.n - x.n // 3]))
+    AND levenshtein(x.b, y.b) <= 2),
+reach(u, v) AS (SELECT u, v FROM links UNION SELECT r.u, k.v FROM reach r JOIN links k ON r.v = k.u),
+firsts AS (
+  SELECT line, min({'d': doc_id, 'n': line_no}) AS f, any_value(length(line)) AS n_chars FROM seen GROUP BY line),
+classed AS (
+  SELECT f.line, f.n_chars, least(f.f, coalesce(min(g.f), f.f)) AS c,
+         (SELECT count(*) FROM links k WHERE k.u = f.line) AS n_links
+  FROM firsts f LEFT JOIN reach r ON r.u = f.line LEFT JOIN firsts g ON g.line = r.v GROUP BY f.line, f.n_chars, f.f)
+SELECT s.doc_id, s.line_no, c.n_chars, c.c.d AS class_doc_id, c.c.n AS class_line_no, c.n_links,
+       s.doc_id = c.c.d AND s.line_no = c.c.n AS kept
+FROM seen s JOIN classed c USING (line)""",
+    "op5_minhash_near_dedup": r"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[ 	-]+'), lambda w: w <> '') AS w FROM documents),
+sets AS MATERIALIZED (
+  SELECT doc_id, CASE WHEN len(w) < 2 THEN w
+    ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS s FROM worded),
+posted AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+links AS MATERIALIZED (
+  SELECT a.doc_id AS u, b.doc_id AS v FROM posted a JOIN posted b ON a.g = b.g AND a.doc_id <> b.doc_id
+    AND 10 * least(a.n, b.n) >= 8 * greatest(a.n, b.n)
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+reach(u, v) AS (SELECT u, v FROM links UNION SELECT r.u, k.v FROM reach r JOIN links k ON r.v = k.u),
+low AS (SELECT u, min(v) AS m FROM reach GROUP BY u)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, least(s.doc_id, coalesce(low.m, s.doc_id)) AS component_id,
+       s.doc_id = least(s.doc_id, coalesce(low.m, s.doc_id)) AS kept
+FROM sets s LEFT JOIN low ON low.u = s.doc_id""",
     "op2_exact_dedup": """
 SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id IS NOT DISTINCT FROM g.keep_id AS kept,
        sha256(coalesce(d.text, '')) AS text_sha256
