@@ -25,13 +25,15 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 
 from leadlake.operators import quality, reporting
-from leadlake.operators.silver import build_silver
-from leadlake.plans.checks import check_parity
+from leadlake.operators.ml import append_run_log
+from leadlake.operators.silver import build_silver, silver_and_quarantine
+from leadlake.plans.checks import check_parity, verify_export
 from leadlake.plans.gold import gold_features, gold_inference
 from leadlake.plans.training import train_on_gold
-from leadlake.schemas import GOLD_DUMMIES, GOLD_ID, GOLD_LABEL, GOLD_NUMERIC
-from leadlake.session import build_session
-from leadlake.sinks.lake import current_table_version, export_with_run_date, write_table_version
+from leadlake.schemas import GOLD_ACCEPTED, GOLD_ID, GOLD_NOT_NULL, INFERENCE_NOT_NULL, SILVER_NOT_NULL
+from leadlake.session import build_session, checkpoint_dir
+from leadlake.sinks.lake import (current_table_version, export_with_run_date, read_if_there,
+                                 write_table_version)
 from leadlake.sources.lake import read_partitioned, trailing_window
 from leadlake.sources.messages import MessageSource, read_message_batch
 from leadlake.streaming.ingest import run_bronze_ingest
@@ -39,9 +41,12 @@ from leadlake.streaming.ingest import run_bronze_ingest
 
 def _source(args) -> MessageSource:
     if args.kafka:
-        return MessageSource("kafka", topic=args.topic,
-                             options={"kafka.bootstrap.servers": args.kafka})
-    return MessageSource("files", path=args.files)
+        options = {"kafka.bootstrap.servers": args.kafka}
+        if getattr(args, "max_offsets_per_trigger", None):
+            options["maxOffsetsPerTrigger"] = str(args.max_offsets_per_trigger)
+        return MessageSource("kafka", topic=args.topic, options=options)
+    return MessageSource("files", path=args.files,
+                         max_files_per_trigger=getattr(args, "max_files_per_trigger", None))
 
 
 def _latest(spark: SparkSession, base: str) -> DataFrame:
@@ -59,7 +64,7 @@ def cmd_ingest(spark, args) -> int:
 
 def cmd_parity(spark, args) -> int:
     report = check_parity(spark, read_message_batch(spark, _source(args)), args.bronze,
-                          args.date, args.scope).orderBy("ingestion_date")
+                          args.date, args.scope, date_override=args.date_override).orderBy("ingestion_date")
     rows = report.collect()
     for r in rows:
         print(r.asDict())
@@ -68,7 +73,12 @@ def cmd_parity(spark, args) -> int:
 
 def cmd_silver(spark, args) -> int:
     start, end = trailing_window(args.run_date, args.lookback_days)
-    silver = build_silver(read_partitioned(spark, args.bronze), start, end)
+    bronze = read_partitioned(spark, args.bronze)
+    if args.quarantine:
+        silver, bad = silver_and_quarantine(bronze, start, end)
+        print(write_table_version(bad, args.quarantine))
+    else:
+        silver = build_silver(bronze, start, end)
     print(write_table_version(silver, args.out))
     return 0
 
@@ -78,26 +88,25 @@ def cmd_gold(spark, args) -> int:
     version = write_table_version(gold, args.out)
     print(version)
     if args.export:
-        print(export_with_run_date(spark.read.parquet(version), args.export, args.run_date))
+        written = spark.read.parquet(version)
+        print(export_with_run_date(written, args.export, args.run_date))
+        check = verify_export(spark, written, args.export, args.run_date)
+        print(check)
+        return 0 if check["ok"] else 2
     return 0
 
 
 def cmd_test(spark, args) -> int:
     silver, gold = _latest(spark, args.silver), _latest(spark, args.gold)
     inference = gold_inference(gold)
-    gold_nn = [GOLD_ID, GOLD_LABEL] + [n for _, n in GOLD_NUMERIC] + [n for n, _, _ in GOLD_DUMMIES]
-    binary = {GOLD_LABEL: [0, 1], **{n: [0, 1] for n, _, _ in GOLD_DUMMIES}}
     reports = [
-        quality.not_null_report(silver, "leads_silver",
-                                ["lead_number", "lead_origin", "converted", "total_visits",
-                                 "total_time_spent_on_website"]),
+        quality.not_null_report(silver, "leads_silver", SILVER_NOT_NULL),
         quality.unique_report(silver, "leads_silver", ["lead_number"]),
         quality.accepted_values_report(silver, "leads_silver", {"converted": [0, 1]}),
-        quality.not_null_report(gold, "leads_gold_features", gold_nn),
+        quality.not_null_report(gold, "leads_gold_features", GOLD_NOT_NULL),
         quality.unique_report(gold, "leads_gold_features", [GOLD_ID]),
-        quality.accepted_values_report(gold, "leads_gold_features", binary),
-        quality.not_null_report(inference, "leads_gold_sin_converted",
-                                [GOLD_ID, "Total Time Spent on Website", "Tags_Ringing"]),
+        quality.accepted_values_report(gold, "leads_gold_features", GOLD_ACCEPTED),
+        quality.not_null_report(inference, "leads_gold_sin_converted", INFERENCE_NOT_NULL),
         quality.unique_report(inference, "leads_gold_sin_converted", [GOLD_ID]),
         quality.accepted_values_report(inference, "leads_gold_sin_converted",
                                        {"Tags_Ringing": [0, 1]}),
@@ -110,9 +119,9 @@ def cmd_test(spark, args) -> int:
 
 
 def cmd_train(spark, args) -> int:
+    checkpoint_dir(spark)  # boosting cuts its lineage there
     run = train_on_gold(spark, _latest(spark, args.gold))
-    for name, df in run.tracking.items():
-        df.write.mode("append").parquet(f"{args.tracking.rstrip('/')}/{name}")
+    append_run_log(run.tracking, args.tracking)
     for r in run.run_metrics.collect():
         print(r["key"], r["value"])
     return 0
@@ -120,9 +129,15 @@ def cmd_train(spark, args) -> int:
 
 def cmd_sync_metrics(spark, args) -> int:
     base = args.tracking.rstrip("/")
-    rows = reporting.pivot_run_metrics(spark.read.parquet(f"{base}/runs"),
-                                       spark.read.parquet(f"{base}/experiments"),
-                                       spark.read.parquet(f"{base}/latest_metrics"))
+    tables = [read_if_there(lambda t=t: spark.read.parquet(f"{base}/{t}"))
+              for t in ("runs", "experiments", "latest_metrics")]
+    if any(t is None for t in tables):  # nothing tracked yet: the table and its view exist, empty
+        reporting.ensure_reporting_table(spark, args.reporting)
+        print("reporting rows: 0")
+        return 0
+    rows = reporting.pivot_run_metrics(*tables)
+    for r in reporting.newest_first(rows).limit(20).collect():
+        print(r["start_time"], r["run_uuid"], r["experiment_name"], r["auc"])
     out = reporting.upsert_table(spark, args.reporting, reporting.to_reporting_rows(rows))
     print(f"reporting rows: {out.count()}")
     return 0
@@ -157,16 +172,20 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--bronze", required=True)
     s.add_argument("--checkpoint", required=True)
     s.add_argument("--date-override")
+    s.add_argument("--max-files-per-trigger", type=int, help="files per micro-batch")
+    s.add_argument("--max-offsets-per-trigger", type=int, help="Kafka offsets per micro-batch")
     s = sub.add_parser("parity")
     messages(s)
     s.add_argument("--bronze", required=True)
     s.add_argument("--date")
+    s.add_argument("--date-override", help="the date the messages were ingested under")
     s.add_argument("--scope", default="per_date", choices=["per_date", "whole_topic"])
     s = sub.add_parser("silver")
     s.add_argument("--bronze", required=True)
     s.add_argument("--out", required=True)
     s.add_argument("--run-date", default=dt.date.today().isoformat())
     s.add_argument("--lookback-days", type=int, default=365)
+    s.add_argument("--quarantine", help="table for messages that can't be parsed; without it they fail the job")
     s = sub.add_parser("gold")
     s.add_argument("--silver", required=True)
     s.add_argument("--out", required=True)

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-ISO_UTC_PATTERN = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"
+_DAY = 86_400_000_000
 
 
 def _c(c: Column | str) -> Column:
@@ -26,10 +26,23 @@ def parse_date(value: str | dt.date) -> dt.date:
 
 def iso_utc(ts: Column | str) -> Column:
     """Instant -> ISO-8601 text in UTC with microseconds and ``+00:00``.
+    Computed from the instant itself, so the session zone plays no part."""
+    micros = F.pmod(F.unix_micros(_c(ts).cast("timestamp")), F.lit(_DAY))
+    seconds = F.floor(micros / 1_000_000)
+    return F.when(micros.isNotNull(), F.format_string(
+        "%sT%02d:%02d:%02d.%06d+00:00", utc_date(ts).cast("string"), F.floor(seconds / 3600),
+        F.floor(seconds / 60) % 60, seconds % 60, micros % 1_000_000))
 
-    Formats with the session zone, so the session must run in UTC (the
-    builder in ``leadlake.session`` sets it)."""
-    return F.date_format(_c(ts).cast("timestamp"), ISO_UTC_PATTERN)
+
+def utc_date(ts: Column | str) -> Column:
+    """The UTC calendar date of an instant, whatever the session zone."""
+    return F.date_from_unix_date(F.floor(F.unix_micros(_c(ts).cast("timestamp")) / _DAY).cast("int"))
+
+
+def utc_midnight(ts: Column | str) -> Column:
+    """The instant at which the UTC day of ``ts`` begins."""
+    micros = F.unix_micros(_c(ts).cast("timestamp"))
+    return F.timestamp_micros(micros - F.pmod(micros, F.lit(_DAY)))
 
 
 def epoch_ms_to_timestamp(ms: Column | str) -> Column:

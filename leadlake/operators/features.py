@@ -7,9 +7,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from leadlake.functions.categories import one_hot
-from leadlake.functions.text import clean_text, safe_name
+from leadlake.functions.literal import literal_rows
+from leadlake.functions.text import clean_text, safe_name, safe_name_col
 
 
 def column_means(df: DataFrame, cols: Sequence[str], exact: bool = True) -> DataFrame:
@@ -24,9 +26,20 @@ def column_means(df: DataFrame, cols: Sequence[str], exact: bool = True) -> Data
     if exact:
         # Exact DECIMAL sum, rounded to double once, then one division: the
         # correctly rounded mean in practice (AVG over DECIMAL would round the
-        # quotient to a fixed scale first). Empty input -> NULL.
-        return df.agg(*[F.try_divide(F.sum(F.col(c).cast("decimal(38,18)")).cast("double"),
-                                     F.count(F.col(c))).alias(c) for c in cols])
+        # quotient to a fixed scale first). Empty input -> NULL. Whole numbers
+        # are summed as such; a NaN makes the mean NaN, as a DOUBLE sum would.
+        kinds = dict(df.dtypes)
+
+        def mean(c: str) -> Column:
+            x = F.col(c)
+            if kinds[c] in ("double", "float"):
+                total = F.sum(F.nanvl(x, F.lit(None).cast("double")).cast("decimal(38,18)"))
+                exact_mean = F.try_divide(total.cast("double"), F.count(x))
+                return F.when(F.bool_or(F.isnan(x)), F.lit(float("nan"))).otherwise(exact_mean).alias(c)
+            total = F.sum(x if kinds[c].startswith("decimal") else x.cast("bigint"))
+            return F.try_divide(total.cast("double"), F.count(x)).alias(c)
+
+        return df.agg(*[mean(c) for c in cols])
     return df.agg(*[F.avg(F.col(c)).alias(c) for c in cols])
 
 
@@ -68,6 +81,12 @@ def one_hot_columns(col: str, levels: Sequence, prefix: str,
                     drop_first: bool = False) -> list[Column]:
     """``case when col = level then 1 else 0 end as <safe name>`` per level."""
     levels = list(levels)[1:] if drop_first and levels else list(levels)
+    named: dict[str, object] = {}
+    for v in levels:
+        name = safe_name(prefix, str(v))
+        if name in named:
+            raise ValueError(f"levels {named[name]!r} and {v!r} of {col} both become column {name!r}")
+        named[name] = v
     return [one_hot(col, v).alias(safe_name(prefix, str(v))) for v in levels]
 
 
@@ -81,10 +100,20 @@ def one_hot_dynamic(df: DataFrame, col: str, prefix: str, drop_first: bool = Fal
     return df.select(*base, *one_hot_columns(col, levels, prefix, drop_first))
 
 
+def one_hot_long(df: DataFrame, col: str, prefix: str, key: str) -> DataFrame:
+    """(key, dummy) rows: the dummy that is 1 for each row, for any number of levels.
+
+    The sparse form of ``one_hot_dynamic``: nothing passes through the driver;
+    rows without a level have no dummy."""
+    return (df.where(F.col(col).isNotNull())
+            .select(F.col(f"`{key}`"), safe_name_col(prefix, F.col(col).cast("string")).alias("dummy")))
+
+
 def feature_profile(df: DataFrame, cols: Sequence[str], approx: bool = False,
                     rsd: float = 0.01) -> DataFrame:
     """Per feature: min, max, number of distinct non-NULL non-NaN values and a
-    constant flag (distinct <= 1).
+    constant flag (distinct <= 1). Every feature has a row: one without any
+    value has no minimum and 0 distinct values, and is constant.
 
     Exact (default): unpivot to (feature, value), de-duplicate (feature,
     value) with a partial aggregate, then aggregate per feature.
@@ -107,11 +136,13 @@ def feature_profile(df: DataFrame, cols: Sequence[str], approx: bool = False,
                             for i, c in enumerate(cols)])
         return (df.agg(*aggs).select(F.inline(entries))
                 .withColumn("is_constant", F.col("n_distinct") <= 1))
-    long = (df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in cols])
-              .unpivot([], list(cols), "feature", "value")
-              .where(F.col("value").isNotNull() & ~F.isnan(F.col("value"))))
-    per_value = long.groupBy("feature", "value").agg(F.lit(1).alias("_one"))
+    long = (df.select(*[F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None).cast("double")).alias(c)
+                        for c in cols])
+              .unpivot([], list(cols), "feature", "value"))
+    schema = T.StructType([T.StructField("feature", T.StringType()), T.StructField("value", T.DoubleType())])
+    every = literal_rows(df.sparkSession, schema, [(c, None) for c in cols])
+    per_value = long.unionByName(every).distinct()
     return (per_value.groupBy("feature")
             .agg(F.min("value").alias("min_value"), F.max("value").alias("max_value"),
-                 F.count("*").alias("n_distinct"))
+                 F.count("value").alias("n_distinct"))
             .withColumn("is_constant", F.col("n_distinct") <= 1))

@@ -11,13 +11,14 @@ from collections.abc import Mapping, Sequence
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from leadlake.functions.categories import hash_bucket
 from leadlake.functions.literal import literal_rows
 from leadlake.functions.numeric import ratio_or_zero
+from leadlake.sinks.lake import read_if_there
 
 
 _IMPORTANCE = StructType([StructField("feature", StringType()),
@@ -43,11 +44,12 @@ def hash_split(df: DataFrame, key: str, fractions: Mapping[str, int], seed: int
     ``fractions`` are percentages in order, e.g. ``{"train": 80, "test": 20}``.
     The assignment depends only on the key and the seed: no global shuffle,
     the same under any partitioning and task retry; part sizes are
-    approximately (not exactly) the fractions.
+    approximately (not exactly) the fractions. A NULL key hashes as the empty
+    one, so every row is in a part.
     """
     if sum(fractions.values()) != 100:
         raise ValueError("fractions must add up to 100")
-    b = hash_bucket(_q(key), seed, 100)
+    b = hash_bucket(F.coalesce(_q(key).cast("string"), F.lit("")), seed, 100)
     expr, upper = None, 0
     for name, pct in fractions.items():
         upper += pct
@@ -103,7 +105,12 @@ def score(model: GBTClassificationModel, df: DataFrame, threshold: float = 0.5,
     scored = model.transform(df)
     p = vector_to_array(F.col(model.getProbabilityCol()))[1]
     return scored.select(*[_q(c) for c in keep], p.alias("probability"),
-                         F.when(p > threshold, 1).otherwise(0).alias("prediction"))
+                         classify(p, threshold).alias("prediction"))
+
+
+def classify(probability: Column, threshold: float = 0.5) -> Column:
+    """1 above the threshold, 0 at or below it (and for NULL)."""
+    return F.when(probability > threshold, 1).otherwise(0)
 
 
 def confusion_metrics(df: DataFrame, label: str, prediction: str) -> DataFrame:
@@ -130,10 +137,12 @@ def auc_by_group(df: DataFrame, label: str, score_col: str, group: str | None =
       3. the running total inside each bucket, a window partitioned by
          (group, bucket), so one group's scores spread over many tasks.
     Integer arithmetic until one final division, so the result does not
-    depend on the order of the partial sums.
+    depend on the order of the partial sums. NULL is a group of its own, a NULL
+    label counts as negative; without a group there is always one row (AUC
+    NULL where a class is missing).
     """
-    g = [F.col(group).alias("_g")] if group else [F.lit(0).alias("_g")]
-    y = _q(label).cast("int") == 1
+    g = [F.struct(F.col(group).alias("v")).alias("_g")] if group else [F.struct(F.lit(0).alias("v")).alias("_g")]
+    y = F.coalesce(_q(label).cast("int") == 1, F.lit(False))
     base = df.select(*g, _q(score_col).cast("double").alias("_s"),
                      y.cast("long").alias("_p"), (~y).cast("long").alias("_n"))
     per_score = base.groupBy("_g", "_s").agg(F.sum("_p").alias("pos"), F.sum("_n").alias("neg"))
@@ -156,10 +165,13 @@ def auc_by_group(df: DataFrame, label: str, score_col: str, group: str | None =
                             + F.col("neg"))
     out = joined.groupBy("_g").agg(F.sum(twice).alias("_u2"), F.sum("pos").alias("n_pos"),
                                    F.sum("neg").alias("n_neg"))
+    if not group:  # no rows: one row all the same
+        out = out.agg(F.sum("_u2").alias("_u2"), F.coalesce(F.sum("n_pos"), F.lit(0)).alias("n_pos"),
+                      F.coalesce(F.sum("n_neg"), F.lit(0)).alias("n_neg"))
     auc = F.when((F.col("n_pos") > 0) & (F.col("n_neg") > 0),
                  F.col("_u2").cast("double")
                  / (2 * F.col("n_pos").cast("double") * F.col("n_neg").cast("double")))
-    cols = [F.col("_g").alias(group)] if group else []
+    cols = [F.col("_g.v").alias(group)] if group else []
     return out.select(*cols, auc.alias("auc"), F.col("n_pos").cast("long"),
                       F.col("n_neg").cast("long"))
 
@@ -174,6 +186,20 @@ def feature_importance(spark: SparkSession, model: GBTClassificationModel,
     return df.orderBy(F.col("importance").desc(), F.col("feature")).limit(k)
 
 
+def append_run_log(tracking: Mapping[str, DataFrame], base: str) -> None:
+    """Append a run's rows to the tracking tables at ``base``; an experiment that
+    is there already is not written again."""
+    for name, df in tracking.items():
+        path = f"{base.rstrip('/')}/{name}"
+        if name == "experiments":
+            known = read_if_there(lambda: df.sparkSession.read.parquet(path))
+            if known is not None:
+                df = df.join(known, "experiment_id", "left_anti")
+                if df.isEmpty():
+                    continue
+        df.write.mode("append").parquet(path)
+
+
 def run_log(spark: SparkSession, experiment: str, params: Mapping[str, object],
             metrics: DataFrame, run_id: str | None = None,
             start: dt.datetime | None = None) -> dict[str, DataFrame]:

@@ -4,6 +4,7 @@ report reaches the driver."""
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -13,6 +14,7 @@ from pyspark.sql import types as T
 from pyspark.sql.types import StructType
 
 from leadlake.functions.literal import literal_rows
+from leadlake.functions.timefmt import utc_date
 
 REPORT_COLUMNS = ["model", "test", "column_name", "failing_rows", "passed"]
 
@@ -98,22 +100,20 @@ def parity_report(source: DataFrame, bronze: DataFrame, scope: str = "per_date",
     Status: ``ok`` (equal), ``warning`` (bronze has more), ``data_loss``
     (bronze has fewer; ``missing_rows`` says how many).
     """
+    if scope not in ("per_date", "whole_topic"):
+        raise ValueError("scope must be 'per_date' or 'whole_topic'")
     if source_date is None:
-        source_date = F.to_date(F.col("timestamp"))
+        source_date = utc_date("timestamp")
+    # Both counts from one union + aggregate: no join of the two sides, and a
+    # NULL date is one group.
+    both = (source.select(source_date.alias("ingestion_date"), F.lit(1).alias("_s"), F.lit(0).alias("_b"))
+            .unionByName(bronze.select(F.col(bronze_date).alias("ingestion_date"),
+                                       F.lit(0).alias("_s"), F.lit(1).alias("_b"))))
+    counts = [F.sum("_s").alias("source_rows"), F.sum("_b").alias("bronze_rows")]
     if scope == "per_date":
-        s = source.groupBy(source_date.alias("ingestion_date")).agg(
-            F.count("*").alias("source_rows"))
-        b = bronze.groupBy(F.col(bronze_date).alias("ingestion_date")).agg(
-            F.count("*").alias("bronze_rows"))
-        joined = s.join(b, "ingestion_date", "full_outer")
-    elif scope == "whole_topic":
-        # Both counts from one union + aggregate: no join of the two sides.
-        both = (source.select(F.lit(1).alias("_s"), F.lit(0).alias("_b"))
-                .unionByName(bronze.select(F.lit(0).alias("_s"), F.lit(1).alias("_b"))))
-        joined = both.agg(F.sum("_s").alias("source_rows"), F.sum("_b").alias("bronze_rows")) \
-            .select(F.lit(None).cast("date").alias("ingestion_date"), "source_rows", "bronze_rows")
+        joined = both.groupBy("ingestion_date").agg(*counts)
     else:
-        raise ValueError("scope must be 'per_date' or 'whole_topic'")
+        joined = both.agg(*counts).withColumn("ingestion_date", F.lit(None).cast("date"))
     src = F.coalesce(F.col("source_rows"), F.lit(0))
     brz = F.coalesce(F.col("bronze_rows"), F.lit(0))
     return joined.select(
@@ -123,12 +123,22 @@ def parity_report(source: DataFrame, bronze: DataFrame, scope: str = "per_date",
         F.when(brz < src, src - brz).otherwise(F.lit(0)).cast("long").alias("missing_rows"))
 
 
-def partition_report(table: DataFrame, partition_column: str = "ingestion_date") -> DataFrame:
-    """Per partition: number of data files, rows, and whether files exist."""
-    return (table.groupBy(partition_column)
-            .agg(F.count_distinct(F.col("_metadata.file_path")).alias("n_files"),
-                 F.count("*").alias("n_rows"))
-            .withColumn("partition_exists", F.col("n_files") > 0))
+def partition_report(table: DataFrame, partition_column: str = "ingestion_date",
+                     first: dt.date | None = None, last: dt.date | None = None) -> DataFrame:
+    """Per partition: number of data files, rows, and whether files exist.
+
+    With ``first`` and ``last`` every expected date has a row, also one that
+    has no partition."""
+    found = (table.groupBy(partition_column)
+             .agg(F.count_distinct(F.col("_metadata.file_path")).alias("n_files"),
+                  F.count("*").alias("n_rows")))
+    if first is not None and last is not None:
+        days = (last - first).days + 1
+        expected = table.sparkSession.range(days).select(
+            F.date_add(F.lit(first), F.col("id").cast("int")).alias(partition_column))
+        found = expected.join(found, partition_column, "full_outer")
+    return found.select(partition_column, *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in ("n_files", "n_rows")],
+                        (F.coalesce(F.col("n_files"), F.lit(0)) > 0).alias("partition_exists"))
 
 
 def schema_matches(df: DataFrame, expected: StructType) -> bool:

@@ -6,7 +6,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from leadlake.functions.literal import literal_rows
@@ -23,16 +23,19 @@ def pivot_run_metrics(runs: DataFrame, experiments: DataFrame, metrics: DataFram
     ``MAX(CASE WHEN key IN keys THEN value END)`` per output column. The
     key/value rows are pivoted per run *before* the join (one hash aggregate
     with map-side combine), so the join moves one narrow row per run instead
-    of every metric row; runs without metrics keep NULLs (left join).
+    of every metric row; runs without metrics keep NULLs (left join). Repeated
+    tracking rows count once: one row per run, start time and experiment name.
     """
     wanted = sorted({k for keys in metric_map.values() for k in keys})
     per_run = (metrics.where(F.col("key").isin(wanted))
                .groupBy("run_uuid")
                .agg(*[F.max(F.when(F.col("key").isin(list(keys)), F.col("value"))).alias(out)
                       for out, keys in metric_map.items()]))
-    active = runs.where((F.col("lifecycle_stage") == "active") & (F.col("status") == "FINISHED"))
-    named = active.join(experiments.select("experiment_id", F.col("name").alias("experiment_name")),
-                        "experiment_id", "inner")
+    active = (runs.where((F.col("lifecycle_stage") == "active") & (F.col("status") == "FINISHED"))
+              .select("run_uuid", "experiment_id", "start_time"))
+    names = experiments.select("experiment_id", F.col("name").alias("experiment_name")).distinct()
+    named = (active.join(names, "experiment_id", "inner")
+             .select("run_uuid", "start_time", "experiment_name").distinct())
     return named.join(per_run, "run_uuid", "left").select(
         "run_uuid", epoch_ms_to_timestamp("start_time").alias("start_time"), "experiment_name",
         *[F.col(out) for out in metric_map])
@@ -60,11 +63,28 @@ def read_reporting_table(spark: SparkSession, base: str) -> DataFrame:
     return spark.read.schema(REPORTING_SCHEMA).parquet(version)
 
 
+def newest_first(pivot: DataFrame) -> DataFrame:
+    """Runs in the order they are presented: latest start first, then run id."""
+    return pivot.orderBy(F.col("start_time").desc_nulls_last(), "run_uuid")
+
+
+def rank_newest(pivot: DataFrame) -> DataFrame:
+    """Each run with its place among its experiment's runs, the newest first."""
+    newest = Window.partitionBy("experiment_name").orderBy(F.col("start_time").desc_nulls_last(), "run_uuid")
+    return pivot.withColumn("newest_rank", F.row_number().over(newest))
+
+
+def ensure_reporting_table(spark: SparkSession, base: str) -> str:
+    """Create the empty typed table where there is none; returns the current version's path."""
+    return current_table_version(spark, base) or write_table_version(
+        literal_rows(spark, REPORTING_SCHEMA, []), base)
+
+
 def upsert(target: DataFrame, batch: DataFrame, key: str | Sequence[str] = "run_id") -> DataFrame:
     """Replace target rows whose key is in the batch, add the new ones.
 
     One anti join + union instead of a delete/insert per row. The batch must
-    be unique by key (the pivot is, one row per run)."""
+    be unique by key; ``upsert_table`` rejects one that is not."""
     keys = [key] if isinstance(key, str) else list(key)
     kept = target.join(batch.select(*keys), keys, "left_anti")
     return kept.unionByName(batch.select(*target.columns))
@@ -74,7 +94,12 @@ def upsert_table(spark: SparkSession, base: str, batch: DataFrame,
                  key: str | Sequence[str] = "run_id") -> DataFrame:
     """Upsert into the versioned reporting table at ``base`` and return the new
     version. The current version is read, never overwritten: the result is
-    written as a new version folder and the pointer moves afterwards."""
+    written as a new version folder and the pointer moves afterwards. A batch
+    that repeats a key is an error, and the table stays as it is."""
+    keys = [key] if isinstance(key, str) else list(key)
+    repeated = batch.groupBy(*keys).count().where(F.col("count") > 1).limit(5).collect()
+    if repeated:
+        raise ValueError(f"the batch repeats {keys}: {[tuple(r)[:-1] for r in repeated]}")
     merged = upsert(read_reporting_table(spark, base), batch, key)
     path = write_table_version(merged, base)
     return spark.read.schema(REPORTING_SCHEMA).parquet(path)

@@ -119,8 +119,24 @@ def build_silver(bronze: DataFrame, start_date: str | dt.date | None = None,
                  end_date: str | dt.date | None = None,
                  tie_breakers: Sequence[Column | str] = (),
                  mode: str = "FAILFAST") -> DataFrame:
-    """The silver relation: one row per ``lead_number`` (latest version)."""
+    """The silver relation: one row per ``lead_number`` (latest version).
+
+    ``mode="PERMISSIVE"`` goes past messages that can't be parsed or typed;
+    ``silver_and_quarantine`` also returns them."""
+    if mode == "PERMISSIVE":
+        return silver_and_quarantine(bronze, start_date, end_date, tie_breakers)[0]
+    windowed = filter_date_window(bronze, "ingestion_date", start_date, end_date)
+    return _latest(clean_leads(parse_messages(windowed, mode)), tie_breakers)
+
+
+def silver_and_quarantine(bronze: DataFrame, start_date: str | dt.date | None = None,
+                          end_date: str | dt.date | None = None,
+                          tie_breakers: Sequence[Column | str] = ()) -> tuple[DataFrame, DataFrame]:
+    """The silver relation of the good messages, and the bad ones with their reason."""
     windowed = filter_date_window(bronze, "ingestion_date", start_date, end_date)
-    cleaned = clean_leads(parse_messages(windowed, mode))
-    return dedup_latest(cleaned, "lead_number", ["ingestion_time", "kafka_timestamp"],
-                        tie_breakers)
+    good, bad = split_parsed(annotate_messages(windowed))
+    return _latest(clean_leads(good), tie_breakers), bad
+
+
+def _latest(cleaned: DataFrame, tie_breakers: Sequence[Column | str]) -> DataFrame:
+    return dedup_latest(cleaned, "lead_number", ["ingestion_time", "kafka_timestamp"], tie_breakers)

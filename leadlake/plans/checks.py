@@ -1,4 +1,4 @@
-"""Operational checks of the lake: ingestion parity and partition validation."""
+"""Operational checks of the lake: ingestion parity, partition validation, export read-back."""
 
 from __future__ import annotations
 
@@ -6,43 +6,64 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from leadlake.functions.timefmt import parse_date
+from leadlake.functions.literal import literal_rows
+from leadlake.functions.timefmt import parse_date, utc_date
 from leadlake.operators.quality import parity_report, schema_matches
 from leadlake.schemas import BRONZE_SCHEMA
+from leadlake.sinks.lake import read_if_there
 from leadlake.sources.lake import read_partition, with_retry
 
+_PARITY = T.StructType([T.StructField("ingestion_date", T.DateType()), T.StructField("source_rows", T.LongType()),
+                        T.StructField("bronze_rows", T.LongType()), T.StructField("status", T.StringType()),
+                        T.StructField("missing_rows", T.LongType())])
+
 
 def check_parity(spark: SparkSession, messages: DataFrame, bronze_base: str,
                  ingestion_date: str | dt.date | None = None, scope: str = "per_date",
-                 tries: int = 5, wait_seconds: float = 5.0) -> DataFrame:
+                 tries: int = 5, wait_seconds: float = 5.0,
+                 date_override: str | dt.date | None = None) -> DataFrame:
     """Parity of a message snapshot against bronze.
 
-    Bronze is opened with retries (files written by another job may become
-    visible late); with ``ingestion_date`` both sides are restricted to that
-    date and only that partition folder is read.
-    """
-    def open_bronze() -> DataFrame:
-        if ingestion_date is not None:
-            return read_partition(spark, bronze_base, ingestion_date)
-        return spark.read.parquet(bronze_base)
+    Opening and counting bronze are retried together (files written by another
+    job may become visible late, or be listed before they can be read). With
+    ``date_override``, the date the messages were ingested under, all messages
+    belong to that date, and only its folder is compared; with
+    ``ingestion_date`` both sides are restricted to that date. The report (a
+    row per date) is computed here."""
+    override = parse_date(date_override) if date_override else None
+    only = override or (parse_date(ingestion_date) if ingestion_date is not None else None)
+    source_date = F.lit(override) if override else utc_date("timestamp")
+    if override and ingestion_date is not None and parse_date(ingestion_date) != override:
+        only, messages = parse_date(ingestion_date), messages.where(F.lit(False))
+    elif only is not None:
+        messages = messages.where(source_date == F.lit(only))
+
+    def report() -> list:
+        bronze = read_partition(spark, bronze_base, only) if only is not None else spark.read.parquet(bronze_base)
+        return parity_report(messages, bronze, scope, source_date).select(_PARITY.names).collect()
 
-    bronze = with_retry(open_bronze, tries=tries, wait_seconds=wait_seconds)
-    if ingestion_date is not None:
-        d = parse_date(ingestion_date)
-        messages = messages.where(F.to_date(F.col("timestamp")) == F.lit(d))
-    return parity_report(messages, bronze, scope)
+    rows = with_retry(report, tries=tries, wait_seconds=wait_seconds)
+    return literal_rows(spark, _PARITY, [tuple(r) for r in rows])
 
 
 def validate_partition(spark: SparkSession, bronze_base: str, ingestion_date: str | dt.date,
                        expected=BRONZE_SCHEMA) -> dict:
     """Does the date's folder exist, how many files and rows, is the schema
     the bronze schema? One aggregate job over that folder only."""
-    try:
-        part = read_partition(spark, bronze_base, ingestion_date)
-    except Exception:  # noqa: BLE001 - a missing folder is a failed check
+    part = read_if_there(lambda: read_partition(spark, bronze_base, ingestion_date))
+    if part is None:
         return {"exists": False, "n_files": 0, "n_rows": 0, "schema_ok": False}
     stats = part.agg(F.count_distinct(F.col("_metadata.file_path")).alias("n_files"),
                      F.count("*").alias("n_rows")).collect()[0]
     return {"exists": True, "n_files": stats["n_files"], "n_rows": stats["n_rows"],
             "schema_ok": schema_matches(part, expected)}
+
+
+def verify_export(spark: SparkSession, exported: DataFrame, base: str, run_date: str | dt.date,
+                  tries: int = 5, wait_seconds: float = 5.0) -> dict:
+    """Read an export back and compare its row count with the exported relation's."""
+    want = exported.count()
+    got = with_retry(lambda: read_partition(spark, base, run_date).count(), tries=tries, wait_seconds=wait_seconds)
+    return {"expected_rows": want, "exported_rows": got, "ok": want == got}

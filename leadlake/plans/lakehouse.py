@@ -10,6 +10,7 @@ import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from leadlake import fixtures
 from leadlake.operators.bronze import transform_to_bronze
@@ -19,8 +20,6 @@ from leadlake.session import warehouse_dir
 from leadlake.sinks.lake import write_partitioned
 from leadlake.sources.lake import filter_date_window, read_immutable_parquet, trailing_window
 
-# The run date of the fixture: messages span 2024-01-01 .. 2024-01-30.
-RUN_DATE = dt.date(2024, 1, 30)
 LOOKBACK_DAYS = 365
 
 _lock = threading.RLock()
@@ -35,7 +34,7 @@ def new_table_path(spark: SparkSession, kind: str) -> str:
 def once(spark: SparkSession, kind: str, sf_dir: str, build) -> str:
     """Write a derived table once per (application, source folder) and return
     its path; ``build(path)`` performs the write."""
-    key = (spark.sparkContext.applicationId, kind, os.path.abspath(sf_dir))
+    key = (spark.sparkContext.applicationId, kind, sf_dir.rstrip("/"))
     with _lock:
         path = _tables.get(key)
         if path is None:
@@ -66,16 +65,49 @@ def ensure_bronze(spark: SparkSession, sf_dir: str) -> str:
     return once(spark, "bronze", sf_dir, build)
 
 
+def damaged_bronze(spark: SparkSession, sf_dir: str) -> str:
+    """Bronze with faults that parity and partition checks have to find: on days
+    ending in 3 a quarter of the keys is lost, on days ending in 5 it is there
+    twice, days ending in 7 are missing."""
+    def build(path):
+        rows = read_immutable_parquet(spark, ensure_bronze(spark, sf_dir))
+        day = F.dayofmonth("ingestion_date") % 10
+        some = F.col("kafka_key").cast("bigint") % 4 == 0
+        kept = rows.where((day != 7) & ~((day == 3) & some))
+        write_partitioned(kept.unionByName(rows.where((day == 5) & some)), path, "ingestion_date")
+    return once(spark, "bronze_damaged", sf_dir, build)
+
+
+def override_bronze(spark: SparkSession, sf_dir: str, date: str) -> str:
+    """All messages ingested under one date (a backfill)."""
+    return once(spark, f"bronze_{date}", sf_dir, lambda p: write_partitioned(
+        transform_to_bronze(messages(spark, sf_dir), date), p, "ingestion_date"))
+
+
+def tracking(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The tracking tables (runs, experiments, metrics), written once like the message log."""
+    made = (("tracking_runs", fixtures.tracking_runs), ("tracking_experiments", fixtures.tracking_experiments),
+            ("tracking_metrics", fixtures.tracking_metrics))
+    return tuple(read_immutable_parquet(spark, once(
+        spark, kind, sf_dir, lambda p, make=make: make(spark, sf_dir).write.parquet(p))) for kind, make in made)
+
+
 def bronze_table(spark: SparkSession, sf_dir: str, start=None, end=None) -> DataFrame:
     # bronze folders are write-once (a fresh folder per application)
     bronze = read_immutable_parquet(spark, ensure_bronze(spark, sf_dir))
     return filter_date_window(bronze, "ingestion_date", start, end)
 
 
-def silver(spark: SparkSession, sf_dir: str, run_date: dt.date = RUN_DATE,
+def run_date(spark: SparkSession, sf_dir: str) -> dt.date:
+    """The newest ingestion date of bronze (1970-01-01 if there is none): reads the partition column only."""
+    newest = bronze_table(spark, sf_dir).agg(F.max("ingestion_date")).first()[0]
+    return newest or dt.date(1970, 1, 1)
+
+
+def silver(spark: SparkSession, sf_dir: str, end: dt.date | None = None,
            lookback_days: int = LOOKBACK_DAYS) -> DataFrame:
-    """The silver relation over the run window (computed from bronze)."""
-    start, end = trailing_window(run_date, lookback_days)
+    """The silver relation over the run window, which ends at the newest date."""
+    start, end = trailing_window(end or run_date(spark, sf_dir), lookback_days)
     return build_silver(bronze_table(spark, sf_dir), start, end)
 
 

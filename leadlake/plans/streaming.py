@@ -3,12 +3,25 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from leadlake.plans import lakehouse as lh
 from leadlake.sources.messages import MessageSource
 from leadlake.streaming.ingest import run_bronze_ingest
 
 
+def ingest_in_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the messages arrive, are ingested, then the rest arrives and a
+    second run with the same checkpoint takes only that."""
+    landing, bronze, checkpoint = (lh.new_table_path(spark, k) for k in ("landing", "bronze_stream", "checkpoints"))
+    messages = lh.messages(spark, sf_dir)
+    first = F.xxhash64("key", "timestamp") % 2 == 0
+    for part in (first, ~first):
+        messages.where(part).write.mode("append").parquet(landing)
+        run_bronze_ingest(spark, MessageSource("files", path=landing), bronze, checkpoint)
+    return spark.read.parquet(bronze)
+
+
 def ingest_fixture_stream(spark: SparkSession, sf_dir: str,
                           ingestion_date_override: str | None = None) -> DataFrame:
     """Stream the message log into a fresh bronze folder (available-now, with

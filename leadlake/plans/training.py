@@ -5,14 +5,15 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
-import os
 import threading
 from dataclasses import dataclass
 
 from pyspark.ml.classification import GBTClassificationModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from leadlake.functions.literal import literal_rows
 from leadlake.operators import ml
 from leadlake.operators.features import feature_profile
 from leadlake.plans import lakehouse as lh
@@ -32,6 +33,15 @@ VALIDATION_TOL = 0.0
 SPLIT = {"train": 70, "validation": 10, "test": 20}
 
 
+# The registered queries' run: the same rows on every call.
+RUN_ID = "run-1"
+RUN_START = dt.datetime(2024, 1, 31, tzinfo=dt.timezone.utc)
+_METRICS = T.StructType(
+    [T.StructField(n, T.DoubleType()) for n in ("auc", "precision", "recall")]
+    + [T.StructField(n, T.LongType()) for n in ("true_positives", "true_negatives", "false_positives",
+                                                "false_negatives", "best_iteration")])
+
+
 @dataclass
 class TrainingRun:
     model: GBTClassificationModel
@@ -39,6 +49,7 @@ class TrainingRun:
     run_metrics: DataFrame
     importance: DataFrame
     tracking: dict[str, DataFrame]
+    test_scores: DataFrame
 
 
 _lock = threading.RLock()
@@ -47,7 +58,8 @@ _runs: dict[tuple[str, str], TrainingRun] = {}
 
 def train_on_gold(spark: SparkSession, gold: DataFrame, run_id: str | None = None,
                   start: dt.datetime | None = None) -> TrainingRun:
-    matrix = ml.training_matrix(gold, GOLD_ID, GOLD_LABEL, GOLD_FEATURES)
+    # Written once: profile, fit and scoring read files, none recomputes gold.
+    matrix = lh.materialize(spark, ml.training_matrix(gold, GOLD_ID, GOLD_LABEL, GOLD_FEATURES), "train_matrix")
     profile = feature_profile(matrix, GOLD_FEATURES)
     for row in profile.where("is_constant").select("feature").collect():
         log.warning("feature %s is constant (no information)", row["feature"])
@@ -59,28 +71,28 @@ def train_on_gold(spark: SparkSession, gold: DataFrame, run_id: str | None = Non
                          step_size=PARAMS["step_size"],
                          subsampling_rate=PARAMS["subsampling_rate"], seed=PARAMS["seed"],
                          validation_tol=VALIDATION_TOL)
-    scored = ml.score(model, data.where(F.col("split") == "test"), PARAMS["threshold"],
-                      keep=["label"])
-    confusion = ml.confusion_metrics(scored, "label", "prediction")
-    auc = ml.auc_by_group(scored, "label", "probability")
-    trees = model.getNumTrees
-    metrics = confusion.join(auc.select("auc"), how="inner").select(
-        F.col("auc"), F.col("precision"), F.col("recall"),
-        F.col("tp").alias("true_positives"), F.col("tn").alias("true_negatives"),
-        F.col("fp").alias("false_positives"), F.col("fn").alias("false_negatives"),
-        F.lit(trees - 1).alias("best_iteration"), F.lit(trees).alias("stopped_iteration"))
+    scored = lh.materialize(spark, ml.score(model, data.where(F.col("split") == "test"), PARAMS["threshold"],
+                                            keep=[GOLD_ID, "label"]), "test_scores")
+    # Two one-row reports of the written scores become one row of literals.
+    confusion = ml.confusion_metrics(scored, "label", "prediction").first()
+    auc = ml.auc_by_group(scored, "label", "probability").first()["auc"]
+    # The validated model ends with its best round; MLlib doesn't say in which
+    # round it stopped, so that metric is not logged.
+    metrics = literal_rows(spark, _METRICS, [(auc, confusion["precision"], confusion["recall"], confusion["tp"],
+                                              confusion["tn"], confusion["fp"], confusion["fn"],
+                                              model.getNumTrees - 1)])
     tracking = ml.run_log(spark, EXPERIMENT, PARAMS, metrics, run_id, start)
     importance = ml.feature_importance(spark, model, GOLD_FEATURES, 20)
-    return TrainingRun(model, profile, tracking["latest_metrics"], importance, tracking)
+    return TrainingRun(model, profile, tracking["latest_metrics"], importance, tracking, scored)
 
 
 def train_and_evaluate(spark: SparkSession, sf_dir: str) -> TrainingRun:
     """Train once per (application, source folder); later calls reuse the run."""
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     with _lock:
         run = _runs.get(key)
         if run is None:
-            run = train_on_gold(spark, lh.gold(spark, sf_dir))
+            run = train_on_gold(spark, lh.gold(spark, sf_dir), RUN_ID, RUN_START)
             _runs[key] = run
     return run
 

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,10 +64,20 @@ def write_table_version(df: DataFrame, base: str) -> str:
 def current_table_version(spark: SparkSession, base: str) -> str | None:
     """The newest committed version folder, or None when never written.
     Version names start with a UTC timestamp, so the greatest name wins."""
-    log = f"{base.rstrip('/')}/_log"
-    try:
-        # top-1 per task, merged on the driver: one job, one row back
-        rows = spark.read.text(log).orderBy(F.col("value").desc()).limit(1).collect()
-    except Exception:  # noqa: BLE001 - no log yet means "no table yet"
+    log = read_if_there(lambda: spark.read.text(f"{base.rstrip('/')}/_log"))
+    if log is None:
         return None
+    # top-1 per task, merged on the driver: one job, one row back
+    rows = log.orderBy(F.col("value").desc()).limit(1).collect()
     return rows[0]["value"] if rows else None
+
+
+def read_if_there(read: Callable[[], DataFrame]) -> DataFrame | None:
+    """The table, or None where its path does not exist. Any other failure is
+    raised: taking it for "no table" would replace a table by its last batch."""
+    try:
+        return read()
+    except AnalysisException as exc:
+        if exc.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise

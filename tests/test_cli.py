@@ -22,3 +22,38 @@ def test_cli_end_to_end(spark, sf_small, tmp_path):
     assert main(["verify", "--reporting", p["reporting"]], spark) == 0
     assert main(["verify", "--reporting", str(tmp_path / "nowhere" / "reporting")], spark) == 2
     assert spark.read.parquet(f"{p['export']}/ingestion_date=2024-01-30").count() > 0
+
+
+def test_training_twice_keeps_run_ids_unique(spark, sf_small, tmp_path):
+    from pyspark.sql import functions as F
+
+    from leadlake.operators.reporting import read_reporting_table
+    from leadlake.plans import lakehouse as lh
+    from leadlake.sinks.lake import write_table_version
+    gold, tracking, reporting = (str(tmp_path / k) for k in ("gold", "tracking", "reporting"))
+    assert main(["sync-metrics", "--tracking", tracking, "--reporting", reporting], spark) == 0  # an empty lake
+    assert main(["verify", "--reporting", reporting], spark) == 0
+    write_table_version(lh.gold(spark, sf_small), gold)
+    for _ in range(2):
+        assert main(["train", "--gold", gold, "--tracking", tracking], spark) == 0
+    for _ in range(2):
+        assert main(["sync-metrics", "--tracking", tracking, "--reporting", reporting], spark) == 0
+    table = read_reporting_table(spark, reporting)
+    assert table.count() == 2 == table.select(F.count_distinct("run_id")).first()[0]
+
+
+def test_silver_quarantines_bad_messages(spark, tmp_path):
+    import datetime as dt
+
+    from leadlake.schemas import BRONZE_SCHEMA
+    from leadlake.sinks.lake import current_table_version
+    bronze, silver, bad = (str(tmp_path / k) for k in ("bronze", "silver", "bad"))
+    texts = ['{"Lead Number": 1, "Total Time Spent on Website": 5}', "not json", '{"Lead Number": "x"}',
+             '{"Lead Number": 2, "Total Time Spent on Website": 9}']
+    spark.createDataFrame([(str(i), t, dt.datetime(2024, 1, 1), dt.date(2024, 1, 1)) for i, t in enumerate(texts)],
+                          BRONZE_SCHEMA).write.partitionBy("ingestion_date").parquet(bronze)
+    assert main(["silver", "--bronze", bronze, "--out", silver, "--quarantine", bad, "--run-date", "2024-01-02"], spark) == 0
+    good = spark.read.parquet(current_table_version(spark, silver))
+    quarantined = spark.read.parquet(current_table_version(spark, bad))
+    assert sorted(r["lead_number"] for r in good.collect()) == [1, 2]
+    assert sorted(r["raw_json"] for r in quarantined.collect()) == sorted(texts[1:3])

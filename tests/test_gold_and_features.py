@@ -83,3 +83,29 @@ def test_shuffle_partitions_for():
     from leadlake.session import shuffle_partitions_for
     assert shuffle_partitions_for(10) == 200
     assert shuffle_partitions_for(100 * 1024 ** 4) == 409601
+
+
+def test_profile_has_a_row_for_a_feature_without_values(spark):
+    from leadlake.operators.features import feature_profile
+    df = spark.createDataFrame([(1.0, None), (float("nan"), None)], "a double, b double")
+    for approx in (False, True):
+        got = {r["feature"]: (r["n_distinct"], r["is_constant"]) for r in feature_profile(df, ["a", "b"], approx).collect()}
+        assert got == {"a": (1, True), "b": (0, True)}
+    assert feature_profile(df.limit(0), ["a", "b"]).count() == 2
+
+
+def test_dummy_names_that_collide_are_an_error(spark):
+    import pytest
+
+    from leadlake.operators.features import one_hot_dynamic, one_hot_long
+    df = spark.createDataFrame([(1, "a b"), (2, "a-b"), (3, None)], "id int, p string")
+    with pytest.raises(ValueError, match="both become column"):
+        one_hot_dynamic(df, "p", "p")
+    assert sorted(map(tuple, one_hot_long(df, "p", "p", "id").collect())) == [(1, "p__a_b"), (2, "p__a_b")]
+
+
+def test_means_of_whole_numbers_and_nan(spark):
+    from leadlake.operators.features import column_means
+    df = spark.createDataFrame([(9_007_199_254_740_993, 1.0), (1, float("nan")), (None, None)], "i long, f double")
+    r = column_means(df, ["i", "f"]).first()
+    assert r["i"] == 4503599627370497.0 and r["f"] != r["f"]

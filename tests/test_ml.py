@@ -89,3 +89,30 @@ def test_pivot_aggregates_metrics_before_join(spark):
     tree = plan.split("\n\n")[0]
     # the HashAggregate sits under the outer join's build side, not above the join
     assert tree.index("Join LeftOuter") < tree.index("HashAggregate")
+
+
+def test_auc_keeps_null_group_and_empty_input(spark):
+    df = spark.createDataFrame([("x", 0.9, 1), ("x", 0.1, 0), (None, 0.2, 1), (None, 0.7, 0), (None, 0.7, None)],
+                               "g string, s double, y int")
+    got = {r["g"]: (r["auc"], r["n_pos"], r["n_neg"]) for r in ml.auc_by_group(df, "y", "s", "g").collect()}
+    assert got == {"x": (1.0, 1, 1), None: (0.0, 1, 2)}
+    none = ml.auc_by_group(df.limit(0), "y", "s").collect()
+    assert [(r["auc"], r["n_pos"], r["n_neg"]) for r in none] == [(None, 0, 0)]
+
+
+def test_null_key_is_in_a_part(spark):
+    df = spark.createDataFrame([(None,), (1,), (2,)], "key long")
+    assert ml.hash_split(df, "key", {"train": 80, "test": 20}).where("split IS NULL").count() == 0
+
+
+def test_threshold_is_strict(spark):
+    df = spark.createDataFrame([(0.5,), (0.5000001,), (None,)], "p double")
+    assert [r[0] for r in df.select(ml.classify(F.col("p"))).collect()] == [0, 1, 0]
+
+
+def test_experiment_is_logged_once(spark, tmp_path):
+    metrics = spark.createDataFrame([(0.5,)], "auc double")
+    for run in ("a", "b", "c"):
+        ml.append_run_log(ml.run_log(spark, "exp", {"x": 1}, metrics, run), str(tmp_path))
+    assert spark.read.parquet(str(tmp_path / "experiments")).count() == 1
+    assert spark.read.parquet(str(tmp_path / "runs")).count() == 3

@@ -104,3 +104,61 @@ def test_export_replaces_only_its_date(spark, tmp_path):
     counts = {str(r["ingestion_date"]): r["count"] for r in
               spark.read.parquet(base).groupBy("ingestion_date").count().collect()}
     assert counts == {"2024-01-01": 7, "2024-01-02": 5}
+
+
+def test_parity_of_a_backfill_and_of_null_dates(spark, tmp_path):
+    from leadlake.operators.bronze import transform_to_bronze
+    from leadlake.plans.checks import check_parity
+    from leadlake.schemas import MESSAGE_SCHEMA
+    msgs = spark.createDataFrame([(b"k", b"{}", dt.datetime(2024, 1, d, 9)) for d in (1, 1, 2)], MESSAGE_SCHEMA)
+    base = str(tmp_path / "bronze")
+    transform_to_bronze(msgs, "2023-05-05").write.partitionBy("ingestion_date").parquet(base)
+    got = check_parity(spark, msgs, base, date_override="2023-05-05", wait_seconds=0).collect()
+    assert [(str(r["ingestion_date"]), r["source_rows"], r["bronze_rows"], r["status"]) for r in got] == [
+        ("2023-05-05", 3, 3, "ok")]
+    src = spark.createDataFrame([(None,), (dt.datetime(2024, 1, 1),)], "timestamp timestamp")
+    brz = spark.createDataFrame([(None,), (dt.date(2024, 1, 1),)], "ingestion_date date")
+    assert {r["status"] for r in quality.parity_report(src, brz).collect()} == {"ok"}
+
+
+def test_parity_retries_the_count(spark, tmp_path, monkeypatch):
+    from leadlake.plans import checks
+    from leadlake.schemas import MESSAGE_SCHEMA
+    from leadlake.operators.bronze import transform_to_bronze
+    msgs = spark.createDataFrame([(b"k", b"{}", dt.datetime(2024, 1, 1, 9))], MESSAGE_SCHEMA)
+    base, calls = str(tmp_path / "bronze"), []
+    transform_to_bronze(msgs).write.partitionBy("ingestion_date").parquet(base)
+    report = checks.parity_report
+
+    def flaky(*a):
+        calls.append(1)
+        if len(calls) < 3:
+            raise OSError("a listed file can't be read yet")
+        return report(*a)
+
+    monkeypatch.setattr(checks, "parity_report", flaky)
+    assert checks.check_parity(spark, msgs, base, wait_seconds=0).first()["status"] == "ok"
+    assert len(calls) == 3
+
+
+def test_missing_partitions_are_reported(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(1, dt.date(2024, 1, 2))], "x int, ingestion_date date").write.partitionBy("ingestion_date").parquet(path)
+    rep = quality.partition_report(spark.read.parquet(path), first=dt.date(2024, 1, 1), last=dt.date(2024, 1, 3))
+    assert {str(r["ingestion_date"])[-1]: (r["n_rows"], r["partition_exists"]) for r in rep.collect()} == {
+        "1": (0, False), "2": (1, True), "3": (0, False)}
+
+
+def test_export_check_finds_lost_rows(spark, tmp_path):
+    from leadlake.plans.checks import verify_export
+    from leadlake.sinks.lake import export_with_run_date
+    export_with_run_date(spark.range(4), str(tmp_path), "2024-01-01")
+    assert verify_export(spark, spark.range(4), str(tmp_path), "2024-01-01", wait_seconds=0)["ok"]
+    assert not verify_export(spark, spark.range(5), str(tmp_path), "2024-01-01", wait_seconds=0)["ok"]
+
+
+def test_unreadable_partition_is_not_a_missing_one(spark, tmp_path, monkeypatch):
+    from leadlake.plans import checks
+    monkeypatch.setattr(checks, "read_partition", lambda *a: (_ for _ in ()).throw(OSError("denied")))
+    with pytest.raises(OSError):
+        checks.validate_partition(spark, str(tmp_path), "2024-01-01")

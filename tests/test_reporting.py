@@ -66,3 +66,46 @@ def test_failed_version_write_keeps_previous_version(spark, tmp_path):
         write_table_version(broken, base)
     assert current_table_version(spark, base) == first
     assert spark.read.parquet(current_table_version(spark, base)).count() == 3
+
+
+def test_repeated_tracking_rows_count_once(spark):
+    runs, exps, metrics = tracking(spark)
+    out = reporting.pivot_run_metrics(runs.union(runs), exps.union(exps).union(exps), metrics).collect()
+    assert sorted(r["run_uuid"] for r in out) == ["r1", "r2"]
+
+
+def test_upsert_rejects_a_batch_that_repeats_a_key(spark, tmp_path):
+    import pytest
+    base = str(tmp_path / "reporting")
+    batch = reporting.to_reporting_rows(reporting.pivot_run_metrics(*tracking(spark)), dt.datetime(2024, 2, 1))
+    reporting.upsert_table(spark, base, batch)
+    with pytest.raises(ValueError, match="repeats"):
+        reporting.upsert_table(spark, base, batch.union(batch))
+    assert reporting.read_reporting_table(spark, base).count() == 2
+
+
+def test_failed_log_read_does_not_empty_the_table(spark, tmp_path, monkeypatch):
+    import pytest
+    from pyspark.sql import DataFrameReader
+    base = str(tmp_path / "reporting")
+    batch = reporting.to_reporting_rows(reporting.pivot_run_metrics(*tracking(spark)), dt.datetime(2024, 2, 1))
+    reporting.upsert_table(spark, base, batch)
+    with monkeypatch.context() as m:
+        m.setattr(DataFrameReader, "text", lambda *a, **k: (_ for _ in ()).throw(OSError("storage error")))
+        with pytest.raises(OSError):
+            reporting.upsert_table(spark, base, batch.where("run_id = 'r2'"))
+    assert reporting.read_reporting_table(spark, base).count() == 2
+
+
+def test_empty_reporting_table_is_created_once(spark, tmp_path):
+    base = str(tmp_path / "reporting")
+    first = reporting.ensure_reporting_table(spark, base)
+    assert reporting.ensure_reporting_table(spark, base) == first
+    assert spark.read.parquet(first).count() == 0
+    assert reporting.dashboard_view(reporting.read_reporting_table(spark, base)).collect() == []
+
+
+def test_newest_runs_first(spark):
+    rows = reporting.pivot_run_metrics(*tracking(spark))
+    assert [r["run_uuid"] for r in reporting.newest_first(rows).collect()] == ["r2", "r1"]
+    assert {r["run_uuid"]: r["newest_rank"] for r in reporting.rank_newest(rows).collect()} == {"r2": 1, "r1": 2}

@@ -44,3 +44,28 @@ def test_available_now_respects_batch_bound(spark, tmp_path):
     assert len(batches) >= 3
     assert sum(int(p["numInputRows"]) for p in batches) == 30
     assert spark.read.parquet(bronze).count() == 30
+
+
+def test_rows_of_a_long_backlog_are_counted_whole(spark, tmp_path):
+    landing, bronze, ckpt = (str(tmp_path / n) for n in ("landing", "bronze", "ckpt"))
+    for start in range(0, 12, 2):
+        write_messages(spark, landing, start, 2)
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "3")
+    try:
+        src = MessageSource("files", path=landing, max_files_per_trigger=1)
+        assert run_bronze_ingest(spark, src, bronze, ckpt, timeout_seconds=180, poll_seconds=0.05) == 12
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+
+
+def test_many_input_files_make_few_files_per_date(spark, tmp_path):
+    from leadlake.streaming.ingest import start_bronze_ingest
+    landing, bronze, ckpt = (str(tmp_path / n) for n in ("landing", "bronze", "ckpt"))
+    for start in range(0, 120, 12):
+        write_messages(spark, landing, start, 12)
+    query = start_bronze_ingest(spark, MessageSource("files", path=landing), bronze, ckpt, files_per_date=2)
+    query.awaitTermination(120)
+    for date in ("2024-01-01", "2024-01-02", "2024-01-03"):
+        files = [f for f in os.listdir(f"{bronze}/ingestion_date={date}") if f.endswith(".parquet")]
+        assert len(files) <= 2
+    assert spark.read.parquet(bronze).count() == 120
