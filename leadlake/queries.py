@@ -8,6 +8,7 @@ import datetime as dt
 from collections.abc import Callable
 from functools import reduce
 
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,18 +20,21 @@ from leadlake.functions.timefmt import add_seconds, iso_utc
 from leadlake.operators import ml, quality, reporting
 from leadlake.operators.bronze import transform_to_bronze
 from leadlake.operators.features import (clean_text_columns, feature_profile, impute_mean,
-                                        one_hot_dynamic)
+                                        one_hot_dynamic, one_hot_long)
 from leadlake.operators.silver import dedup_latest, parse_messages
 from leadlake.plans import lakehouse as lh
-from leadlake.plans.checks import check_parity
+from leadlake.plans import catalog
+from leadlake.plans.checks import check_parity, verify_export
 from leadlake.plans import streaming as stream_plan
 from leadlake.plans import training
 from leadlake.plans.gold import NUMERIC, TEXT, gold_base, gold_inference, gold_typed
-from leadlake.schemas import (CITY_WEIGHTS, CONVERTED_WEIGHTS, GOLD_DUMMIES, GOLD_FEATURES,
-                              GOLD_ID, GOLD_LABEL, GOLD_NUMERIC, LEAD_ORIGIN_WEIGHTS,
-                              OCCUPATION_KEEP, OCCUPATION_OTHER, TAGS_KEEP, TAGS_OTHER, UNKNOWN)
-from leadlake.sinks.lake import export_with_run_date
-from leadlake.sources.lake import read_partition, trailing_window
+from leadlake.schemas import (CITY_WEIGHTS, CONVERTED_WEIGHTS, GOLD_ACCEPTED, GOLD_FEATURES, GOLD_ID,
+                              GOLD_LABEL, GOLD_NOT_NULL, INFERENCE_NOT_NULL, LEAD_ORIGIN_WEIGHTS,
+                              OCCUPATION_KEEP, OCCUPATION_OTHER, SILVER_NOT_NULL, TAGS_KEEP, TAGS_OTHER,
+                              UNKNOWN)
+from leadlake.sinks.lake import current_table_version, export_with_run_date
+from leadlake.sources.lake import read_immutable_parquet, read_partition, trailing_window
+from leadlake.sources.messages import MessageSource, read_message_batch
 
 Query = Callable[[SparkSession, str], DataFrame]
 BRONZE_COLS = ["kafka_key", "raw_json", "kafka_timestamp", "ingestion_date"]
@@ -115,10 +119,6 @@ def _silver_gold(spark, sf):
     return silver, gold, gold_inference(gold)
 
 
-SILVER_NOT_NULL = ["lead_number", "lead_origin", "converted", "total_visits",
-                   "total_time_spent_on_website"]
-GOLD_NOT_NULL = [GOLD_ID, GOLD_LABEL] + [n for _, n in GOLD_NUMERIC] + [n for n, _, _ in GOLD_DUMMIES]
-INFERENCE_NOT_NULL = [GOLD_ID, "Total Time Spent on Website", "Tags_Ringing"]
 MODELS = ("leads_silver", "leads_gold_features", "leads_gold_sin_converted")
 
 
@@ -140,10 +140,9 @@ def q_dq_unique(spark, sf):
 
 def q_dq_accepted_values(spark, sf):
     silver, gold, inference = _silver_gold(spark, sf)
-    gold_spec = {GOLD_LABEL: [0, 1], **{n: [0, 1] for n, _, _ in GOLD_DUMMIES}}
     return reduce(DataFrame.unionByName, [
         quality.accepted_values_report(silver, MODELS[0], {"converted": [0, 1]}),
-        quality.accepted_values_report(gold, MODELS[1], gold_spec),
+        quality.accepted_values_report(gold, MODELS[1], GOLD_ACCEPTED),
         quality.accepted_values_report(inference, MODELS[2], {"Tags_Ringing": [0, 1]})])
 
 
@@ -153,12 +152,35 @@ def q_row_count_report(spark, sf):
 
 
 def q_partition_report(spark, sf):
-    return quality.partition_report(lh.bronze_table(spark, sf)).select(
+    """Every date from two days before the first message to two days after the last."""
+    dates = lh.bronze_table(spark, sf).agg(F.min("ingestion_date"), F.max("ingestion_date")).first()
+    pad = dt.timedelta(days=2)
+    found = read_immutable_parquet(spark, lh.damaged_bronze(spark, sf))
+    return quality.partition_report(found, first=dates[0] - pad, last=dates[1] + pad).select(
         "ingestion_date", "n_rows", "partition_exists")
 
 
+def _snapshot(spark, sf):
+    return read_message_batch(spark, MessageSource("files", path=lh.message_topic(spark, sf)))
+
+
 def q_parity_check(spark, sf):
-    return check_parity(spark, lh.messages(spark, sf), lh.ensure_bronze(spark, sf))
+    """A bronze table with lost, repeated and missing rows: ok, warning and data_loss dates."""
+    return check_parity(spark, _snapshot(spark, sf), lh.damaged_bronze(spark, sf))
+
+
+def q_parity_override(spark, sf):
+    """A backfill: all messages are compared with the one folder they were ingested under."""
+    return check_parity(spark, _snapshot(spark, sf), lh.override_bronze(spark, sf, "2024-01-15"),
+                        date_override="2024-01-15")
+
+
+def q_export_check(spark, sf):
+    """Rows exported against rows read back."""
+    base, gold, day = lh.new_table_path(spark, "export_check"), lh.gold(spark, sf), lh.run_date(spark, sf)
+    export_with_run_date(gold, base, day)
+    check = verify_export(spark, gold, base, day)
+    return spark.range(1).select(*[F.lit(v).alias(k) for k, v in check.items()])
 
 
 def q_table_sample(spark, sf):
@@ -167,8 +189,15 @@ def q_table_sample(spark, sf):
 
 def q_gold_export(spark, sf):
     base = lh.new_table_path(spark, "gold_export")
-    export_with_run_date(lh.gold(spark, sf), base, lh.RUN_DATE)
-    return read_partition(spark, base, lh.RUN_DATE)
+    day = lh.run_date(spark, sf)
+    export_with_run_date(lh.gold(spark, sf), base, day)
+    return read_partition(spark, base, day)
+
+
+def q_gold_materialized(spark, sf):
+    """The gold table as written by a full refresh, read back."""
+    base = lh.once(spark, "gold_table", sf, lambda p: catalog.materialize_gold(spark, sf, p))
+    return spark.read.parquet(current_table_version(spark, base))
 
 
 # ------------------------------------------------------------ categorical
@@ -183,6 +212,10 @@ def q_one_hot_dynamic(spark, sf):
     return one_hot_dynamic(part, "p_type", "p_type", keep=["p_partkey"])
 
 
+def q_one_hot_long(spark, sf):
+    return one_hot_long(fixtures.table(spark, sf, "part"), "p_type", "p_type", "p_partkey")
+
+
 def q_safe_names(spark, sf):
     part = fixtures.table(spark, sf, "part")
     return part.select("p_partkey", "p_brand",
@@ -226,15 +259,24 @@ BATCH_SYNC = dt.datetime(2024, 2, 1)
 
 
 def _pivot(spark, sf):
-    return reporting.pivot_run_metrics(fixtures.tracking_runs(spark, sf),
-                                       fixtures.tracking_experiments(spark, sf),
-                                       fixtures.tracking_metrics(spark, sf))
+    return reporting.pivot_run_metrics(*lh.tracking(spark, sf))
 
 
 def q_metrics_pivot(spark, sf):
     return _pivot(spark, sf)
 
 
+def q_runs_newest_first(spark, sf):
+    return reporting.rank_newest(_pivot(spark, sf)).select("run_uuid", "experiment_name", "start_time", "newest_rank")
+
+
+def q_sync_default_time(spark, sf):
+    """Without a given sync time, rows carry the time of the sync."""
+    rows = reporting.to_reporting_rows(_pivot(spark, sf))
+    late = F.unix_timestamp(F.current_timestamp()) - F.unix_timestamp("sync_timestamp")
+    return rows.select("run_id", F.coalesce(F.abs(late) < 3600, F.lit(False)).alias("synced_now"))
+
+
 FIRST_SYNC_BEFORE = dt.datetime(1999, 1, 1)
 SECOND_SYNC_FROM = dt.datetime(1998, 1, 1)
 
@@ -265,10 +307,20 @@ def q_dashboard_view(spark, sf):
     return reporting.dashboard_view(reporting.read_reporting_table(spark, reporting_table(spark, sf)))
 
 
+def q_dashboard_by_name(spark, sf):
+    """The view queried in SQL by its name."""
+    catalog.register_lake_views(spark, sf, reporting_table(spark, sf),
+                                lh.once(spark, "gold_table", sf, lambda p: catalog.materialize_gold(spark, sf, p)))
+    return spark.sql("""SELECT experiment_name, count(*) AS n_runs, max(f1) AS best_f1, max(accuracy) AS best_accuracy
+                        FROM v_dashboard_model_metrics GROUP BY experiment_name""")
+
+
 # ---------------------------------------------------------------------- ml
 
 def q_feature_profile(spark, sf):
-    return feature_profile(lh.gold(spark, sf), GOLD_FEATURES)
+    """The gold features and one that has no value in any row."""
+    gold = lh.gold(spark, sf).withColumn("Empty", F.lit(None).cast("double"))
+    return feature_profile(gold, [*GOLD_FEATURES, "Empty"])
 
 
 def q_training_matrix(spark, sf):
@@ -276,8 +328,9 @@ def q_training_matrix(spark, sf):
 
 
 def q_train_test_split(spark, sf):
-    split = ml.hash_split(lh.gold(spark, sf), GOLD_ID, {"train": 80, "test": 20}, seed=42)
-    return split.select(GOLD_ID, "split")
+    """Some keys are NULL; their rows are in a part, too."""
+    keyed = lh.gold(spark, sf).withColumn("key", F.when(F.col(f"`{GOLD_ID}`") % 97 != 0, F.col(f"`{GOLD_ID}`")))
+    return ml.hash_split(keyed, "key", {"train": 80, "test": 20}, seed=42).select(GOLD_ID, "split")
 
 
 def q_confusion_metrics(spark, sf):
@@ -290,11 +343,50 @@ def q_confusion_metrics(spark, sf):
 
 def q_auc_by_group(spark, sf):
     li = fixtures.table(spark, sf, "lineitem")
-    scored = li.select("l_linestatus", (F.col("l_returnflag") == "R").cast("int").alias("label"),
+    status = F.when(F.col("l_linenumber") != 7, F.col("l_linestatus")).alias("l_linestatus")  # NULL is a group, too
+    scored = li.select(status, (F.col("l_returnflag") == "R").cast("int").alias("label"),
                        F.col("l_discount").alias("score"))
     return ml.auc_by_group(scored, "label", "score", "l_linestatus")
 
 
+def q_threshold_scores(spark, sf):
+    """Probabilities on both sides of, and at, the threshold."""
+    li = fixtures.table(spark, sf, "lineitem")
+    p = F.col("l_discount") * 10
+    return li.select("l_orderkey", "l_linenumber", p.alias("probability"), ml.classify(p).alias("prediction"))
+
+
+def q_test_scores(spark, sf):
+    """The test part as scored by the model: who is in it, and that scores and classes agree."""
+    scored = training.train_and_evaluate(spark, sf).test_scores
+    return scored.select(GOLD_ID, "label", F.col("probability").between(0, 1).alias("in_range"),
+                         (F.col("prediction") == (F.col("probability") > 0.5).cast("int")).alias("class_agrees"))
+
+
+def q_scored_leads(spark, sf):
+    """Every lead of the inference view has one score."""
+    return training.score_inference(spark, sf).select(
+        GOLD_ID, F.col("probability").between(0, 1).alias("in_range"),
+        (F.col("prediction") == (F.col("probability") > 0.5).cast("int")).alias("class_agrees"))
+
+
+def q_logged_metrics(spark, sf):
+    """Every logged metric against its value recomputed from the test scores, the AUC by MLlib's evaluator."""
+    run = training.train_and_evaluate(spark, sf)
+    auc = BinaryClassificationEvaluator(rawPredictionCol="probability", numBins=0).evaluate(run.test_scores)
+    again = run.test_scores.selectExpr("label = 1 AS y", "prediction = 1 AS p")
+    want = again.selectExpr("double(count_if(y AND p)) AS true_positives", "double(count_if(NOT y AND NOT p)) AS true_negatives",
+                            "double(count_if(NOT y AND p)) AS false_positives", "double(count_if(y AND NOT p)) AS false_negatives")
+    tp, fp, fn = (F.col(c) for c in ("true_positives", "false_positives", "false_negatives"))
+    want = want.withColumns({"precision": F.coalesce(F.try_divide(tp, tp + fp), F.lit(0.0)),
+                             "recall": F.coalesce(F.try_divide(tp, tp + fn), F.lit(0.0)), "auc": F.lit(auc)})
+    want = want.unpivot([], want.columns, "key", "want")
+    rounds = F.col("value").between(0, training.PARAMS["max_iter"] - 1)
+    agrees = F.col("value").isNull() | (F.abs(F.col("value") - F.col("want")) < 1e-9)
+    return run.run_metrics.join(want, "key", "left").select(
+        "key", F.when(F.col("key") == "best_iteration", rounds).otherwise(agrees).alias("ok"))
+
+
 def q_train_eval(spark, sf):
     return training.train_and_evaluate(spark, sf).run_metrics
 
@@ -313,6 +405,14 @@ def q_bronze_stream_ingest(spark, sf):
     return stream_plan.ingest_fixture_stream(spark, sf).select(*BRONZE_COLS)
 
 
+def q_stream_two_runs(spark, sf):
+    return stream_plan.ingest_in_two_runs(spark, sf).select(*BRONZE_COLS)
+
+
+def q_stream_backfill(spark, sf):
+    return stream_plan.ingest_fixture_stream(spark, sf, "2024-01-15").select(*BRONZE_COLS)
+
+
 QUERIES: dict[str, Query] = {
     "bronze_transform": q_bronze_transform,
     "bronze_transform_override": q_bronze_transform_override,
@@ -329,31 +429,44 @@ QUERIES: dict[str, Query] = {
     "gold_features": q_gold_features,
     "gold_typed": q_gold_typed,
     "gold_inference": q_gold_inference,
+    "gold_materialized": q_gold_materialized,
     "dq_not_null": q_dq_not_null,
     "dq_unique": q_dq_unique,
     "dq_accepted_values": q_dq_accepted_values,
     "row_count_report": q_row_count_report,
     "partition_report": q_partition_report,
     "parity_check": q_parity_check,
+    "parity_override": q_parity_override,
     "table_sample": q_table_sample,
     "gold_export": q_gold_export,
+    "export_check": q_export_check,
     "distinct_categories": q_distinct_categories,
     "one_hot_dynamic": q_one_hot_dynamic,
+    "one_hot_long": q_one_hot_long,
     "safe_names": q_safe_names,
     "clamp_round": q_clamp_round,
     "weighted_category": q_weighted_category,
     "encode_messages": q_encode_messages,
     "shift_event_time": q_shift_event_time,
     "metrics_pivot": q_metrics_pivot,
+    "runs_newest_first": q_runs_newest_first,
+    "sync_default_time": q_sync_default_time,
     "upsert_metrics": q_upsert_metrics,
     "dashboard_view": q_dashboard_view,
+    "dashboard_by_name": q_dashboard_by_name,
     "feature_profile": q_feature_profile,
     "training_matrix": q_training_matrix,
     "train_test_split": q_train_test_split,
     "confusion_metrics": q_confusion_metrics,
+    "threshold_scores": q_threshold_scores,
     "auc_by_group": q_auc_by_group,
     "bronze_stream_ingest": q_bronze_stream_ingest,
+    "stream_two_runs": q_stream_two_runs,
+    "stream_backfill": q_stream_backfill,
     "train_eval": q_train_eval,
+    "test_scores": q_test_scores,
+    "logged_metrics": q_logged_metrics,
     "score_leads": q_score_leads,
+    "scored_leads": q_scored_leads,
     "feature_importance": q_feature_importance,
 }
