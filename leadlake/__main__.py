@@ -159,6 +159,7 @@ def cmd_verify(spark, args) -> int:
 
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="leadlake")
+    p.add_argument("--input-bytes", type=int, help="bytes the job reads: sizes the shuffle partitions")
     sub = p.add_subparsers(dest="cmd", required=True)
 
     def messages(sp):
@@ -212,7 +213,7 @@ COMMANDS = {"ingest": cmd_ingest, "parity": cmd_parity, "silver": cmd_silver, "g
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
     args = parser().parse_args(argv)
-    spark = spark or build_session(app_name=f"leadlake-{args.cmd}")
+    spark = spark or build_session(app_name=f"leadlake-{args.cmd}", input_bytes=args.input_bytes)
     return COMMANDS[args.cmd](spark, args)
 
 
