@@ -20,9 +20,10 @@ the default document and attention capacities only tokens bind.
 
 from __future__ import annotations
 
-import os
+import base64
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,41 +35,41 @@ from pyspark.sql import functions as F
 
 from leadlake.llm.common import map_texts, ship_code, written
 
-TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+#: The vocabulary of byte_bpe_50k.json as ranks: the same ids (tests compare the two), found about four times as fast.
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.tiktoken")
 END_ID = 2
 _ODD_SPACE = re.compile(r" (?=\s|\Z)")
 
 
 class Encoder:
-    """Little-endian 32-bit ids of texts.
+    """Little-endian 32-bit ids of texts, by the ranks of a byte-level vocabulary.
 
     The tokenizer never joins what a space followed by a non-space separates, so
     stretches between such spaces are encoded once and kept, up to a bound."""
 
-    def __init__(self, tokenizer_json: str, cache_words: int = 300_000):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+    def __init__(self, ranks: bytes, cache_words: int = 300_000):
+        import tiktoken
 
-        self.tokenizer = Tokenizer.from_str(tokenizer_json)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        pairs = (line.split() for line in ranks.splitlines() if line)
+        self.bpe = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, special_tokens={},
+                                     mergeable_ranks={base64.b64decode(a): int(b) for a, b in pairs})
         self.most, self.cache = cache_words, {}
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _encode(self, text: str) -> bytes:
+        return array("I", self.bpe.encode_ordinary(text)).tobytes()
 
     def ids(self, text: str | None) -> bytes:
         if not text:
             return b""
         if _ODD_SPACE.search(text):  # spaces in a row or beside other white space
-            return self._encode([text])[0]
+            return self._encode(text)
         first, *rest = text.split(" ")
         stretches = [first, *[" " + x for x in rest]]
         cache = self.cache
         if len(cache) > self.most:
             cache.clear()
-        new = list(set(stretches).difference(cache))
-        if new:
-            cache.update(zip(new, self._encode(new)))
+        for x in set(stretches).difference(cache):
+            cache[x] = self._encode(x)
         return b"".join(map(cache.__getitem__, stretches))
 
 
@@ -83,7 +84,7 @@ def cut(ids: bytes, most: int) -> list[tuple[int, int, int, int]]:
 def pieces(docs: DataFrame, most: int = 1024, tokenizer: str = TOKENIZER, end_id: int = END_ID,
            id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, piece, start, length, ids_crc32."""
-    with open(tokenizer, encoding="utf-8") as f:
+    with open(tokenizer, "rb") as f:
         shared = docs.sparkSession.sparkContext.broadcast(f.read())  # a vocabulary file: bounded
     end = np.array([end_id], "<u4").tobytes()
 
