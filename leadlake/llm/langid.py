@@ -25,6 +25,7 @@ import math
 import re
 from collections import Counter
 
+import ahocorasick
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
@@ -164,33 +165,80 @@ def fit(docs: DataFrame, vocabulary: str = VOCABULARY, rows_per_lang: int = 200,
 class Scorer:
     """Predictions for texts; word scores are kept up to a bound."""
 
-    def __init__(self, model: Model, cache_words: int = 300_000):
-        self.model, self.most = model, cache_words
+    def __init__(self, model: Model, cache_words: int = 250_000, short: int = 40):
+        self.model, self.most, self.short = model, cache_words, short
         self.place: dict[str, int] = {}
         self.table = np.zeros((1024, max(1, len(model.langs))))
-
-    def _places(self, words: list[str]) -> list[int]:
+        self.chances = np.array([*model.pieces.values(), model.unknown]).reshape(len(model.pieces) + 1, -1)
+        self.finder = ahocorasick.Automaton()  # every place of every piece, in one pass
+        for k, piece in enumerate(model.pieces):
+            self.finder.add_word(piece, k << 8 | len(piece))
+        self.finder.make_automaton()
+        letters = "".join(re.escape(p) for p in model.pieces if len(p) == 1)
+        self.uncovered = re.compile(f"[^{letters}]" if letters else "(?s).")
+
+    def scores(self, words: list[str]) -> np.ndarray:
+        """Log probabilities of words of up to ``short`` letters, a row each: the forward pass of all at once.
+
+        Scaling isn't needed at these lengths."""
+        joined = MARK + MARK.join(words)  # no piece holds a mark but in front, so none spans two words
+        first_at = np.cumsum([0, *(len(w) + 1 for w in words[:-1])])
+        found = list(self.finder.iter(joined)) if len(self.chances) > 1 else []
+        alone = [(m.start(), (len(self.chances) - 1) << 8 | 1) for m in self.uncovered.finditer(joined)]
+        found = np.array(found + alone, np.int64)
+        found = found[np.argsort(found[:, 0], kind="stable")]
+        at = np.searchsorted(first_at, found[:, 0], side="right") - 1
+        ends = found[:, 0] - first_at[at] + 1
+        pieces, starts = found[:, 1] >> 8, ends - (found[:, 1] & 255)
+        order = np.argsort(ends, kind="stable")  # by end, then word
+        at, starts, chances = at[order], starts[order], self.chances[pieces[order]]
+        widest = int(ends.max())
+        sums = np.zeros((len(words), widest + 1, self.chances.shape[1]))
+        sums[:, 0] = 1.0
+        bounds = np.searchsorted(ends[order], np.arange(1, widest + 2))
+        for end in range(1, widest + 1):
+            part = slice(bounds[end - 1], bounds[end])
+            own = at[part]
+            first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+            sums[own[first], end] = np.add.reduceat(sums[own, starts[part]] * chances[part], first, axis=0)
+        return np.log(np.maximum(sums[np.arange(len(words)), [len(w) + 1 for w in words]], 1e-300))
+
+    def _learn(self, words: set[str]) -> None:
+        new = [w for w in words if len(w) <= self.short]
+        logs = [self.scores(new[k:k + 4096]) for k in range(0, len(new), 4096)]
+        for w in words:
+            if len(w) > self.short:
+                new.append(w)
+                logs.append(np.array([self.model.log_probabilities(w)]))
+        first = len(self.place)
+        if first + len(new) > len(self.table):
+            grown = np.zeros((max(2 * len(self.table), first + len(new)), self.table.shape[1]))
+            grown[:first] = self.table[:first]
+            self.table = grown
+        self.table[first:first + len(new)] = np.concatenate(logs)
+        self.place.update(zip(new, range(first, first + len(new))))
+
+    def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        langs, split = self.model.langs, [words_of(t) for t in texts]
+        if not langs:
+            return [(UNDETERMINED, 0.0) for _ in texts]
+        out = []
         if len(self.place) > self.most:
             self.place.clear()
-        place = self.place
-        for w in set(words).difference(place):
-            k = len(place)
-            if k == len(self.table):
-                self.table = np.vstack([self.table, np.zeros_like(self.table)])
-            self.table[k] = self.model.log_probabilities(w)
-            place[w] = k
-        return [place[w] for w in words]
-
-    def predict(self, text: str | None) -> tuple[str, float]:
-        words, langs = words_of(text), self.model.langs
-        if not words or not langs:
-            return UNDETERMINED, 0.0
-        logs = np.zeros(len(langs))
-        for at in range(0, len(words), 100_000):  # bounds the memory of a very long text
-            places = self._places(words[at:at + 100_000])  # may replace the table
-            logs += self.table[places].sum(axis=0)
-        best = int(logs.argmax())
-        return langs[best], float(1.0 / np.exp(np.minimum(logs - logs[best], 0.0)).sum())
+        if new := set().union(*split).difference(self.place):
+            self._learn(new)
+        place = self.place.__getitem__
+        for words in split:
+            if not words:
+                out.append((UNDETERMINED, 0.0))
+                continue
+            logs = np.zeros(len(langs))
+            for k in range(0, len(words), 100_000):  # bounds the memory of a very long text
+                part = words[k:k + 100_000]
+                logs += self.table[np.fromiter(map(place, part), np.int64, len(part))].sum(axis=0)
+            best = int(logs.argmax())
+            out.append((langs[best], float(1.0 / np.exp(np.minimum(logs - logs[best], 0.0)).sum())))
+        return out
 
 
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text",
@@ -199,8 +247,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by languages x vocabulary
 
     def scorer():
-        predict = Scorer(shared.value).predict
-        return lambda texts: [predict(t) for t in texts]
+        return Scorer(shared.value).predict
 
     keep = [F.col(f"`{c}`") for c in carry or [id_col]]
     return map_texts(docs.select(*keep, F.col(text_col).alias("_text")), scorer,

@@ -58,6 +58,8 @@ def test_forward_sums_all_segmentations():
     long = model.log_probabilities("ab" * 5000)  # no underflow
     assert all(math.isfinite(x) and x < -1000 for x in long)
     assert model.log_probabilities("zz")[0] < math.log(1e-12)
+    words = ["a", "abc", "zz", "cab" * 10, "q", "cabab"]
+    assert np.allclose(langid.Scorer(model).scores(words), [model.log_probabilities(w) for w in words], rtol=1e-12)
 
 
 def test_language_id_held_out(spark, sf_dir):
@@ -89,15 +91,17 @@ def test_language_id_odd_rows(docs_of):
 # packing
 
 def test_ids_equal_the_tokenizers(spark, sf_dir):
+    import public_tokenizers
     from tokenizers import Tokenizer
 
-    with open(packing.TOKENIZER, encoding="utf-8") as f:
+    with open(packing.TOKENIZER, "rb") as f:
         mine = packing.Encoder(f.read(), cache_words=500)
-    theirs = Tokenizer.from_file(packing.TOKENIZER)
+    theirs = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    theirs.encode_special_tokens = True
     rng = random.Random(1)
     odd = ["".join(rng.choice([" ", "  ", "\n", "\t", "a", "it's", "é", "9", "!!", " ", "\x1c", "\x85"])
                    for _ in range(30)) for _ in range(400)]
-    texts = [r.text for r in table(spark, sf_dir, "documents").collect()] + odd
+    texts = [r.text for r in table(spark, sf_dir, "documents").collect()] + odd + ["<|endoftext|> x", "\x00\ud7ff\U0010ffff"]
     for t in texts:
         assert np.frombuffer(mine.ids(t), "<u4").tolist() == theirs.encode(t, add_special_tokens=False).ids
 
