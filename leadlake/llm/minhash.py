@@ -121,13 +121,14 @@ def prefix_postings(nodes: DataFrame, coords: int, matches: int) -> DataFrame:
 
 
 def pivot_pairs(postings: DataFrame, pivots: int) -> DataFrame:
-    """(a, b): every node with the pivot of each of its lists.
-
-    Lists take turns among ``pivots`` orders: the heaviest node first in one, by a hash in the others."""
-    turn = F.pmod("token", F.lit(pivots))
-    order = F.struct(F.when(turn == 0, -F.col("weight")).otherwise(0).alias("w"), F.xxhash64("node", turn).alias("h"), "node")
-    chosen = (postings.groupBy("token").agg(F.min(order).alias("p"))
-              .select("token", F.col("p.node").alias("pivot")))
+    """(a, b): every node with the pivots of each of its lists.
+
+    A list's pivots are its heaviest node and the first one by a hash; lists take turns among ``pivots`` hashes."""
+    by_hash = F.xxhash64("node", F.pmod("token", F.lit(pivots)))
+    chosen = postings.groupBy("token").agg(
+        F.min(F.struct((-F.col("weight")).alias("w"), "node")).alias("heavy"),
+        F.min(F.struct(by_hash.alias("h"), "node")).alias("first"))
+    chosen = chosen.select("token", F.explode(F.array_distinct(F.array("heavy.node", "first.node"))).alias("pivot"))
     return (postings.join(chosen, "token").where("node <> pivot")
             .select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct())
 
