@@ -1,9 +1,13 @@
 """Hand-written licence signatures, expanded from a family table.
 
 A family row gives the label, the name as a regex over lower-case text, the
-literal that must occur for the name to match (the gate), an SPDX id regex and
-the gate and regex of a home URL. Every row yields ordered rules of several
-kinds; together with the clause rules they make some three hundred.
+literals of which one must occur for the name to match (the gates, split by "|"),
+an SPDX id regex and the gates and regex of a home URL. Every row yields ordered
+rules of several kinds; together with the clause rules they make some three hundred.
+
+Gates are sought in the text with every run of white space as one space, so a
+space in a gate stands for any ``\\s+``. Every alternative of a regex must contain
+one of its gates (a test generates wordings from all rules).
 """
 
 from __future__ import annotations
@@ -15,12 +19,12 @@ from typing import NamedTuple
 class Rule(NamedTuple):
     label: str
     priority: int  # higher wins over what it contains
-    gate: str  # literal that must occur in the lower-case text
+    gates: tuple[str, ...]  # literals of which one must occur in the lower-case text, white space as one space
     pattern: re.Pattern[str]
 
 
 _V = r",?\s+(?:version\s+|v\.?\s*)?"
-#: label, name, gate, SPDX id, URL gate, URL
+#: label, name, gates, SPDX id, URL gates, URL
 _FAMILIES = [
     ("agpl-3.0", rf"(?:gnu\s+)?affero\s+general\s+public\s+licen[sc]e{_V}3(?:\.0)?", "affero", r"agpl-3\.0(?:-only|-or-later)?", "gnu.org/licenses/agpl", r"gnu\.org/licenses/agpl"),
     ("agpl", r"(?:gnu\s+)?affero\s+general\s+public\s+licen[sc]e", "affero", r"agpl(?:-1\.0)?", "affero.org", r"affero\.org/oagpl"),
@@ -39,14 +43,14 @@ _FAMILIES = [
     ("bsd-4-clause", r"(?:4|four)[\s-]clause\s+bsd(?:\s+licen[sc]e)?|original\s+bsd(?:\s+licen[sc]e)?", "bsd", r"bsd-4-clause", "bsd-4-clause", r"spdx\.org/licenses/bsd-4-clause"),
     ("bsd", r"bsd(?:[\s-]style)?\s+licen[sc]e", "bsd", r"bsd", "bsd-license", r"opensource\.org/licenses/bsd-license"),
     ("0bsd", r"zero[\s-]clause\s+bsd(?:\s+licen[sc]e)?", "clause bsd", r"0bsd", "licenses/0bsd", r"opensource\.org/licenses/0bsd"),
-    ("cc-by-4.0", rf"(?:creative\s+commons\s+attribution|cc[\s-]by){_V}4(?:\.0)?", "cc by", r"cc-by-4\.0", "licenses/by/4.0", r"creativecommons\.org/licenses/by/4\.0"),
-    ("cc-by-3.0", rf"(?:creative\s+commons\s+attribution|cc[\s-]by){_V}3(?:\.0)?", "cc by", r"cc-by-3\.0", "licenses/by/3.0", r"creativecommons\.org/licenses/by/3\.0"),
-    ("cc-by-sa", r"creative\s+commons\s+attribution[\s-]+share\s?alike|cc[\s-]by[\s-]sa", "sa", r"cc-by-sa-[1-4]\.\d", "licenses/by-sa", r"creativecommons\.org/licenses/by-sa"),
-    ("cc-by-nc", r"creative\s+commons\s+attribution[\s-]+non[\s-]?commercial|cc[\s-]by[\s-]nc", "nc", r"cc-by-nc-[1-4]\.\d", "licenses/by-nc/", r"creativecommons\.org/licenses/by-nc/"),
-    ("cc-by-nd", r"creative\s+commons\s+attribution[\s-]+no[\s-]?deriv(?:ative)?s?|cc[\s-]by[\s-]nd", "nd", r"cc-by-nd-[1-4]\.\d", "licenses/by-nd/", r"creativecommons\.org/licenses/by-nd/"),
-    ("cc-by-nc-sa", r"cc[\s-]by[\s-]nc[\s-]sa|attribution[\s-]+non[\s-]?commercial[\s-]+share\s?alike", "nc", r"cc-by-nc-sa-[1-4]\.\d", "licenses/by-nc-sa", r"creativecommons\.org/licenses/by-nc-sa"),
-    ("cc-by-nc-nd", r"cc[\s-]by[\s-]nc[\s-]nd|attribution[\s-]+non[\s-]?commercial[\s-]+no[\s-]?deriv(?:ative)?s?", "nc", r"cc-by-nc-nd-[1-4]\.\d", "licenses/by-nc-nd", r"creativecommons\.org/licenses/by-nc-nd"),
-    ("cc0", r"cc0(?:\s+1\.0)?|creative\s+commons\s+zero", "c", r"cc0-1\.0", "publicdomain/zero", r"creativecommons\.org/publicdomain/zero"),
+    ("cc-by-4.0", rf"(?:creative\s+commons\s+attribution|cc[\s-]by){_V}4(?:\.0)?", "creative commons|cc by|cc-by", r"cc-by-4\.0", "licenses/by/4.0", r"creativecommons\.org/licenses/by/4\.0"),
+    ("cc-by-3.0", rf"(?:creative\s+commons\s+attribution|cc[\s-]by){_V}3(?:\.0)?", "creative commons|cc by|cc-by", r"cc-by-3\.0", "licenses/by/3.0", r"creativecommons\.org/licenses/by/3\.0"),
+    ("cc-by-sa", r"creative\s+commons\s+attribution[\s-]+share\s?alike|cc[\s-]by[\s-]sa", "creative commons|cc by|cc-by", r"cc-by-sa-[1-4]\.\d", "licenses/by-sa", r"creativecommons\.org/licenses/by-sa"),
+    ("cc-by-nc", r"creative\s+commons\s+attribution[\s-]+non[\s-]?commercial|cc[\s-]by[\s-]nc", "creative commons|cc by|cc-by", r"cc-by-nc-[1-4]\.\d", "licenses/by-nc/", r"creativecommons\.org/licenses/by-nc/"),
+    ("cc-by-nd", r"creative\s+commons\s+attribution[\s-]+no[\s-]?deriv(?:ative)?s?|cc[\s-]by[\s-]nd", "creative commons|cc by|cc-by", r"cc-by-nd-[1-4]\.\d", "licenses/by-nd/", r"creativecommons\.org/licenses/by-nd/"),
+    ("cc-by-nc-sa", r"cc[\s-]by[\s-]nc[\s-]sa|attribution[\s-]+non[\s-]?commercial[\s-]+share\s?alike", "attribution|cc by|cc-by", r"cc-by-nc-sa-[1-4]\.\d", "licenses/by-nc-sa", r"creativecommons\.org/licenses/by-nc-sa"),
+    ("cc-by-nc-nd", r"cc[\s-]by[\s-]nc[\s-]nd|attribution[\s-]+non[\s-]?commercial[\s-]+no[\s-]?deriv(?:ative)?s?", "attribution|cc by|cc-by", r"cc-by-nc-nd-[1-4]\.\d", "licenses/by-nc-nd", r"creativecommons\.org/licenses/by-nc-nd"),
+    ("cc0", r"cc0(?:\s+1\.0)?|creative\s+commons\s+zero", "creative commons|cc0", r"cc0-1\.0", "publicdomain/zero", r"creativecommons\.org/publicdomain/zero"),
     ("mpl-1.1", rf"mozilla\s+public\s+licen[sc]e{_V}1\.1", "mozilla", r"mpl-1\.1", "mpl/1.1", r"mozilla\.org/mpl/1\.1"),
     ("mpl-2.0", rf"mozilla\s+public\s+licen[sc]e{_V}2(?:\.0)?", "mozilla", r"mpl-2\.0", "mpl/2.0", r"mozilla\.org/mpl/2\.0"),
     ("mpl", r"mozilla\s+public\s+licen[sc]e", "mozilla", r"mpl", "mozilla.org/mpl", r"mozilla\.org/mpl"),
@@ -72,7 +76,7 @@ _FAMILIES = [
     ("cecill", r"cecill(?:-[bc])?\s+licen[sc]e|licen[sc]e\s+cecill", "cecill", r"cecill-(?:1\.[01]|2\.[01]|b|c)", "cecill.info", r"cecill\.info/licen"),
     ("ofl-1.1", r"(?:sil\s+)?open\s+font\s+licen[sc]e", "open font", r"ofl-1\.[01]", "scripts.sil.org/ofl", r"scripts\.sil\.org/ofl"),
     ("odbl", r"open\s+database\s+licen[sc]e", "open database", r"odbl-1\.0", "licenses/odbl", r"opendatacommons\.org/licenses/odbl"),
-    ("odc-by", r"open\s+data\s+commons\s+attribution\s+licen[sc]e", "open data commons", r"odc-by-1\.0", "licenses/by/1", r"opendatacommons\.org/licenses/by"),
+    ("odc-by", r"open\s+data\s+commons\s+attribution\s+licen[sc]e", "open data commons", r"odc-by-1\.0", "opendatacommons.org/licenses/by", r"opendatacommons\.org/licenses/by"),
     ("pddl", r"public\s+domain\s+dedication\s+and\s+licen[sc]e", "public domain ded", r"pddl-1\.0", "licenses/pddl", r"opendatacommons\.org/licenses/pddl"),
     ("psf-2.0", r"python\s+software\s+foundation\s+licen[sc]e", "python software", r"psf-2\.0", "python.org/psf/license", r"python\.org/psf/license"),
     ("php-3.01", r"php\s+licen[sc]e", "php", r"php-3\.0[1]?", "php.net/license", r"php\.net/license"),
@@ -88,18 +92,18 @@ _FAMILIES = [
     ("upl-1.0", r"universal\s+permissive\s+licen[sc]e", "universal permissive", r"upl-1\.0", "licenses/upl", r"opensource\.org/licenses/upl"),
     ("vim", r"vim\s+licen[sc]e", "vim", r"vim", "vimdoc.sourceforge", r"vimdoc\.sourceforge\.net/.{0,40}license"),
     ("curl", r"curl\s+licen[sc]e", "curl", r"curl", "curl.se/docs/copyright", r"curl\.se/docs/copyright"),
-    ("openrail", r"(?:creativeml\s+)?open\s?rail(?:-[ms]|\+\+-m)?\s+licen[sc]e", "rail", r"(?:creativeml-)?openrail(?:-m)?", "openrail", r"huggingface\.co/spaces/.{0,60}license"),
-    ("gpl", r"(?:gnu\s+)?general\s+public\s+licen[sc]e|gnu\s+gpl", "g", r"gpl", "gnu.org/licenses", r"gnu\.org/licenses/(?:gpl\.html|\s|$)"),
+    ("openrail", r"(?:creativeml\s+)?open\s?rail(?:-[ms]|\+\+-m)?\s+licen[sc]e", "rail", r"(?:creativeml-)?openrail(?:-m)?", "huggingface.co/spaces", r"huggingface\.co/spaces/.{0,60}license"),
+    ("gpl", r"(?:gnu\s+)?general\s+public\s+licen[sc]e|gnu\s+gpl", "general public|gnu gpl", r"gpl", "gnu.org/licenses", r"gnu\.org/licenses/(?:gpl\.html|\s|$)"),
     ("apache", r"apache\s+(?:software\s+)?licen[sc]e|apache\s+licensed", "apache", r"apache", "apache.org/licenses", r"apache\.org/licenses/?(?:\s|$)"),
-    ("cc-by", r"creative\s+commons\s+attribution|cc[\s-]by", "c", r"cc-by", "licenses/by", r"creativecommons\.org/licenses/by(?:\s|$|/(?![34]\.0))"),
+    ("cc-by", r"creative\s+commons\s+attribution|cc[\s-]by", "creative commons|cc by|cc-by", r"cc-by", "licenses/by", r"creativecommons\.org/licenses/by(?:\s|$|/(?![34]\.0))"),
     ("mit", r"mit\s+licen[sc]e|mit\s+licensed", "mit", r"mit", "licenses/mit", r"opensource\.org/licenses/mit"),
 ]
-#: label, priority, gate, regex: clauses that stand for a licence without its name
+#: label, priority, gates, regex: clauses that stand for a licence without its name
 _CLAUSES = [
     ("mit", 75, "permission is hereby granted, free of charge", r"permission\s+is\s+hereby\s+granted,\s+free\s+of\s+charge,\s+to\s+any\s+person\s+obtaining\s+a\s+copy"),
     ("isc", 75, "permission to use, copy, modify", r"permission\s+to\s+use,\s+copy,\s+modify,\s+and(?:/or)?\s+distribute\s+this\s+software\s+for\s+any\s+purpose"),
     ("bsd", 75, "redistribution and use in source", r"redistribution\s+and\s+use\s+in\s+source\s+and\s+binary\s+forms,\s+with\s+or\s+without\s+modification"),
-    ("bsd-3-clause", 76, "neither the name of", r"neither\s+the\s+names?\s+of\s+.{1,120}?\s+may\s+be\s+used\s+to\s+endorse\s+or\s+promote"),
+    ("bsd-3-clause", 76, "neither the name", r"neither\s+the\s+names?\s+of\s+.{1,120}?\s+may\s+be\s+used\s+to\s+endorse\s+or\s+promote"),
     ("bsd-4-clause", 77, "all advertising materials", r"all\s+advertising\s+materials\s+mentioning\s+features\s+or\s+use\s+of\s+this\s+software"),
     ("gpl", 75, "free software; you can redistribute", r"free\s+software;\s+you\s+can\s+redistribute\s+it\s+and/or\s+modify\s+it\s+under\s+the\s+terms"),
     ("unlicense", 75, "unencumbered software", r"free\s+and\s+unencumbered\s+software\s+released\s+into\s+the\s+public\s+domain"),
@@ -109,7 +113,7 @@ _CLAUSES = [
     ("bsl-1.0", 75, "machine-executable object code", r"machine-executable\s+object\s+code\s+generated\s+by\s+a\s+source\s+language\s+processor"),
     ("public-domain", 40, "public domain", r"(?:released|dedicated|placed|is)\s+(?:in)?to?\s*(?:the\s+)?public\s+domain"),
     ("all-rights-reserved", 35, "all rights reserved", r"all\s+rights\s+reserved"),
-    ("proprietary", 45, "proprietary and confidential", r"proprietary\s+and\s+confidential|confidential\s+and\s+proprietary"),
+    ("proprietary", 45, "proprietary and confidential|confidential and proprietary", r"proprietary\s+and\s+confidential|confidential\s+and\s+proprietary"),
     ("non-commercial", 30, "non-commercial", r"(?:for\s+)?non-commercial\s+(?:use|purposes)(?:\s+only)?"),
     ("copyright-notice", 10, "copyright", r"copyright\s+(?:\(c\)|©)?\s*(?:19|20)\d\d"),
 ]
@@ -119,14 +123,14 @@ _GRANT = r"(?:licen[sc]ed|released|distributed|available|published|provided|cove
 def rules() -> list[Rule]:
     """All rules, the strongest first."""
     out = []
-    for label, name, gate, spdx, url_gate, url in _FAMILIES:
+    for label, name, gates, spdx, url_gates, url in _FAMILIES:
         # Versions are more specific than their family; longer ids than shorter ones.
         own = 1 if label[-1].isdigit() else 0
         out += [
-            Rule(label, 98 + own, "spdx-license-identifier", re.compile(rf"spdx-license-identifier:\s*(?:{spdx})(?![\w.-])")),
-            Rule(label, 88 + own, gate, re.compile(rf"{_GRANT}(?:{name})(?!\w)")),
-            Rule(label, 68 + own, url_gate, re.compile(url)),
-            Rule(label, 58 + own, gate, re.compile(rf"(?<!\w)(?:{name})(?!\w)")),
+            Rule(label, 98 + own, ("spdx-license-identifier",), re.compile(rf"spdx-license-identifier:\s*(?:{spdx})(?![\w.-])")),
+            Rule(label, 88 + own, tuple(gates.split("|")), re.compile(rf"{_GRANT}(?:{name})(?!\w)")),
+            Rule(label, 68 + own, tuple(url_gates.split("|")), re.compile(url)),
+            Rule(label, 58 + own, tuple(gates.split("|")), re.compile(rf"(?<!\w)(?:{name})(?!\w)")),
         ]
-    out += [Rule(label, p, gate, re.compile(rx)) for label, p, gate, rx in _CLAUSES]
+    out += [Rule(label, p, tuple(gates.split("|")), re.compile(rx)) for label, p, gates, rx in _CLAUSES]
     return sorted(out, key=lambda r: (-r.priority, r.label, r.pattern.pattern))

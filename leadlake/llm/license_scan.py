@@ -1,9 +1,9 @@
 """Licence detection: ordered signature rules behind a keyword gate.
 
-A text passes one keyword automaton; only rules whose literal occurred run their
-regex. Detections are taken in the order of priority, then length, then start;
-one that lies inside a kept detection of the same or a higher priority is
-suppressed. The kept labels are the method's own; the base labels (places where
+A text, white space collapsed, passes one keyword automaton; only rules of whose
+literals one occurred run their regex, on the text as it is. Detections are taken
+in the order of priority, then length, then start; one that lies inside a kept
+detection of the same or a higher priority is suppressed. The kept labels are the method's own; the base labels (places where
 a phrase's words stand consecutively) are always kept.
 
 Defined results: a null text is an empty text with no words, no labels and score
@@ -56,21 +56,19 @@ class Scanner:
         self.gate = ahocorasick.Automaton()
         by_word: dict[str, list[int]] = {}
         for k, r in enumerate(self.rules):
-            by_word.setdefault(r.gate, []).append(k)
-        # One-letter gates would always open; such rules share the gate of their longest fixed parts.
-        short = [k for w, ks in by_word.items() if len(w) < 3 for k in ks]
+            for w in r.gates:
+                by_word.setdefault(w, []).append(k)
         for w, ks in by_word.items():
-            if len(w) >= 3:
-                self.gate.add_word(w, tuple(ks))
-        for w in ("general public", "gnu gpl", "creative commons", "cc by", "cc-by", "cc0", "licen"):
-            have = self.gate.get(w, ())
-            self.gate.add_word(w, tuple(sorted({*have, *short})))
+            self.gate.add_word(w, tuple(ks))
         self.gate.make_automaton()
 
+    def active(self, text: str) -> list[int]:
+        """The rules that may match in lower-cased ``text``; regexes and split() know the same white space."""
+        return sorted({k for _, ks in self.gate.iter(" ".join(text.split())) for k in ks})
+
     def detect(self, text: str) -> list[tuple[int, int, Rule]]:
         """Kept detections (start, end, rule) in lower-cased ``text``, the strongest first."""
-        active = sorted({k for _, ks in self.gate.iter(text) for k in ks})
-        found = [(m.start(), m.end(), self.rules[k]) for k in active for m in self.rules[k].pattern.finditer(text)]
+        found = [(m.start(), m.end(), self.rules[k]) for k in self.active(text) for m in self.rules[k].pattern.finditer(text)]
         found.sort(key=lambda d: (-d[2].priority, d[0] - d[1], d[0], d[2].label))
         kept: list[tuple[int, int, Rule]] = []
         near: dict[int, list[tuple[int, int]]] = {}  # kept intervals by the stretches of 256 characters they touch

@@ -300,3 +300,57 @@ def test_license_gate_misses_nothing(spark, sf_dir):
         ungated = {r.label for r in scan.rules if r.pattern.search(t)}
         active = {k for _, ks in scan.gate.iter(t) for k in ks}
         assert ungated == {scan.rules[k].label for k in active if scan.rules[k].pattern.search(t)}
+
+
+def wordings(pattern, rng, space):
+    """A random text of the regex: each alternative, optional part and white space by chance."""
+    from re import _parser
+
+    def one(items):
+        return "".join(node(op, arg) for op, arg in items)
+
+    def node(op, arg):
+        op = str(op)
+        if op == "LITERAL":
+            return chr(arg)
+        if op == "BRANCH":
+            return one(rng.choice(arg[1]))
+        if op == "SUBPATTERN":
+            return one(arg[-1])
+        if op in ("MAX_REPEAT", "MIN_REPEAT"):
+            least, most, body = arg
+            return "".join(one(body) for _ in range(rng.randint(least, min(int(most), least + 2))))
+        if op == "IN":
+            kind, value = rng.choice(arg)
+            if str(kind) == "RANGE":
+                return chr(rng.randint(*value))
+            return chr(value) if str(kind) == "LITERAL" else {"CATEGORY_SPACE": space(), "CATEGORY_DIGIT": "7"}.get(str(value), "w")
+        if op == "AT" or op.startswith("ASSERT"):
+            return ""
+        assert op in ("ANY", "CATEGORY"), op
+        return "x"
+
+    return one(_parser.parse(pattern))
+
+
+def test_license_gate_opens_for_every_wording_of_every_rule():
+    scan, rng, seen = license_scan.Scanner(), random.Random(4), set()
+    for k, r in enumerate(scan.rules):
+        for _ in range(60):
+            t = f"see {wordings(r.pattern.pattern, rng, lambda: rng.choice([' ', chr(10), chr(9), chr(0xa0), chr(0x85)]))} ."
+            if r.pattern.search(t):  # look-arounds may forbid a wording
+                seen.add(k)
+                assert k in scan.active(t), (r.label, t)
+    assert seen == set(range(len(scan.rules)))
+
+
+def test_license_alternative_and_wrapped_wordings():
+    label = lambda t: license_scan.Scanner().scan(t)[5].split(",")
+    assert label("Creative Commons Attribution 4.0") == ["cc-by-4.0"] and label("under CC-BY 3.0") == ["cc-by", "cc-by-3.0"]
+    assert label("Confidential and proprietary") == ["proprietary"]
+    assert label("under the GNU General\n * Public License".replace(" *", "")) == ["gpl"]
+    assert "gpl-2.0" in label("GNU General\nPublic License version 2") and "ofl-1.1" in label("SIL Open\n\tFont License")
+    assert label("Neither the names of the authors may be used to endorse or promote") == ["bsd-3-clause"]
+    assert label("huggingface.co/spaces/a/license") == ["openrail"]
+    assert "cc-by-nc-sa" in label("attribution-noncommercial-sharealike")
+    assert label("opendatacommons.org/licenses/by") == ["odc-by"]
