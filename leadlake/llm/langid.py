@@ -40,6 +40,7 @@ UNDETERMINED = "und"
 _WORDS = re.compile(r"[^\W\d_]+")
 _UNKNOWN = 1e-7  # of a letter that no piece covers
 _SCALE = math.log(1e100)
+_DRAW_BITS = 60
 
 
 def words_of(text: str | None) -> list[str]:
@@ -114,8 +115,9 @@ def training_words(docs: DataFrame, rows_per_lang: int, id_col: str, text_col: s
                 .agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "_lang").limit(1000).collect()}
     if not per_lang:
         return docs.sparkSession.createDataFrame([], "lang string, word string, n long")
-    draw = F.pmod(F.xxhash64(F.lit("langid"), id_text(id_col)), F.lit(1_000_000))
-    share = F.coalesce(*[F.when(F.col(lang_col) == lang, F.lit(int(1_000_000 * min(1.0, rows_per_lang / n))))
+    # Fine enough for any number of rows: the share of a language is never rounded to nothing.
+    draw = F.shiftrightunsigned(F.xxhash64(F.lit("langid"), id_text(id_col)), 64 - _DRAW_BITS)
+    share = F.coalesce(*[F.when(F.col(lang_col) == lang, F.lit((min(rows_per_lang, n) << _DRAW_BITS) // n).cast("long"))
                          for lang, n in per_lang.items()])
     rows = labelled.where(draw < share).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("_text"))
 

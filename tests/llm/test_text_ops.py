@@ -88,6 +88,13 @@ def test_language_id_odd_rows(docs_of):
     assert [r.lang_pred for r in langid.language_id(docs_of([(1, "abc")])).collect()] == ["und"]  # nothing to learn from
 
 
+def test_language_sample_of_a_very_large_language(spark):
+    # The share of rows, 5 in about 7.5 million, is below a millionth.
+    docs = spark.range(10_000_000).select(F.col("id").alias("doc_id"), F.lit("word").alias("text"), F.lit("en").alias("lang"))
+    sampled = langid.training_words(docs, 5, "doc_id", "text", "lang").collect()
+    assert [(r.lang, r.word) for r in sampled] == [("en", "word")] and 1 <= sampled[0].n <= 15
+
+
 # packing
 
 def test_ids_equal_the_tokenizers(spark, sf_dir):
