@@ -9,8 +9,9 @@ counts of labelled documents, whose E step (a forward and a backward pass per
 distinct word) runs as a Spark job over (language, word) rows.
 
 The fit takes at most about ``rows_per_lang`` labelled rows of each language,
-chosen by a hash of the id: a documented bound on a classifier's sample. Scoring
-covers every whole text. Words and their scores are cached within a task, up to
+chosen by a hash of the id: a documented bound on a classifier's sample. It learns
+from all their words, however long, and of up to 1000 languages; more are an error,
+as none may be left out unsaid. Scoring covers every whole text. Words and their scores are cached within a task, up to
 ``cache_words`` of them.
 
 Defined results: a null text, or one without letters, gives ``und`` and score 0;
@@ -95,24 +96,48 @@ class Model:
         return out
 
     def expected_pieces(self, word: str, k: int) -> dict[str, float]:
-        """Expected number of each piece in a segmentation of the word, in language ``k``."""
+        """Expected number of each piece in a segmentation of the word, in language ``k``.
+
+        Both passes are scaled up like those of ``log_probabilities``; ``ups`` and ``downs`` say how often a sum was."""
         n, arcs, found = len(word) + 1, self.arcs(word), {}
         ahead, behind = [1.0] + [0.0] * n, [0.0] * n + [1.0]
+        ups, downs, at, times = [0] * (n + 1), [0] * (n + 1), 0, 0
         for start, end, _, p in arcs:
+            if end != at:
+                if ahead[at] < 1e-100:
+                    times += 1
+                    for i in range(max(0, at - self.longest), at + 1):
+                        ahead[i] *= 1e100
+                        ups[i] = times
+                at, ups[end] = end, times
             ahead[end] += ahead[start] * p[k]
+        at, times = n, 0
         for start, end, _, p in sorted(arcs, key=lambda a: -a[0]):
+            if start != at:
+                if behind[at] < 1e-100:
+                    times += 1
+                    for i in range(at, min(n, at + self.longest) + 1):
+                        behind[i] *= 1e100
+                        downs[i] = times
+                at, downs[start] = start, times
             behind[start] += p[k] * behind[end]
-        if ahead[n] > 0:
-            for start, end, piece, p in arcs:
-                found[piece] = found.get(piece, 0.0) + ahead[start] * p[k] * behind[end] / ahead[n]
+        for start, end, piece, p in arcs:
+            if lift := ups[n] - ups[start] - downs[end]:
+                e = math.exp(math.log(ahead[start]) + math.log(p[k]) + math.log(behind[end]) - math.log(ahead[n]) + lift * _SCALE)
+            else:
+                e = ahead[start] * p[k] * behind[end] / ahead[n]
+            found[piece] = found.get(piece, 0.0) + e
         return found
 
 
-def training_words(docs: DataFrame, rows_per_lang: int, id_col: str, text_col: str, lang_col: str) -> DataFrame:
+def training_words(docs: DataFrame, rows_per_lang: int, id_col: str, text_col: str, lang_col: str,
+                   most_langs: int = 1000) -> DataFrame:
     """(lang, word, n) over a hash-chosen sample of about ``rows_per_lang`` labelled rows per language."""
     labelled = docs.where(F.col(lang_col).isNotNull() & ~in_fold(id_col, 4, 2))
     per_lang = {r["_lang"]: r["n"] for r in labelled.groupBy(F.col(lang_col).alias("_lang"))
-                .agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "_lang").limit(1000).collect()}
+                .agg(F.count(F.lit(1)).alias("n")).limit(most_langs + 1).collect()}
+    if len(per_lang) > most_langs:
+        raise ValueError(f"more than {most_langs} languages are labelled")
     if not per_lang:
         return docs.sparkSession.createDataFrame([], "lang string, word string, n long")
     # Fine enough for any number of rows: the share of a language is never rounded to nothing.
@@ -122,7 +147,7 @@ def training_words(docs: DataFrame, rows_per_lang: int, id_col: str, text_col: s
     rows = labelled.where(draw < share).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("_text"))
 
     def count():
-        return lambda texts: [[(w, c) for w, c in Counter(words_of(t)).items() if len(w) <= 64] for t in texts]
+        return lambda texts: [[(w, c) for w, c in Counter(words_of(t)).items()] for t in texts]
 
     return (map_texts(rows, count, {"word": "string", "n": "long"}, many=True)
             .groupBy("lang", "word").agg(F.sum("n").alias("n")))
@@ -136,7 +161,7 @@ def fit(docs: DataFrame, vocabulary: str = VOCABULARY, rows_per_lang: int = 200,
     vocab = read_vocabulary(vocabulary)
     ship_code(docs.sparkSession)
     words = written(training_words(docs, rows_per_lang, id_col, text_col, lang_col), "langid-words")
-    langs = sorted(r["lang"] for r in words.select("lang").distinct().limit(1000).collect())
+    langs = sorted(r["lang"] for r in words.select("lang").distinct().collect())
     model = Model(langs, dict.fromkeys(vocab, (1.0 / len(vocab),) * len(langs)))
     known, place = set(vocab), {lang: k for k, lang in enumerate(langs)}
     if not langs:

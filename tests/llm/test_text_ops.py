@@ -95,6 +95,25 @@ def test_language_sample_of_a_very_large_language(spark):
     assert [(r.lang, r.word) for r in sampled] == [("en", "word")] and 1 <= sampled[0].n <= 15
 
 
+def test_expected_pieces_of_long_runs():
+    pieces = {"▁": (0.01,), "▁a": (0.002,), "a": (0.03,), "b": (0.004,), "ab": (0.001,), "ba": (1e-6,)}
+    model = langid.Model(["x"], pieces)
+    for word in ("ab" * 40, "ab" * 3000, "zq" * 500 + "ab" * 500 + "z" * 300):
+        got = model.expected_pieces(word, 0)
+        letters = sum(len(p) * e for p, e in got.items())
+        assert math.isclose(letters, len(word) + 1, rel_tol=1e-9)  # every segmentation covers each letter once
+    one, many = (model.expected_pieces("ab" * n, 0)["ab"] for n in (30, 3000))
+    assert math.isclose(many, 100 * one, rel_tol=0.05)
+
+
+def test_language_fit_covers_long_runs_and_all_languages(docs_of):
+    docs = docs_of([(1, "ab" * 50 + " cd", "x"), (3, "ab" * 50, "x"), (4, "ab", "y")])
+    sampled = {(r.lang, r.word): r.n for r in langid.training_words(docs, 200, "doc_id", "text", "lang").collect()}
+    assert sampled[("x", "ab" * 50)] >= 1
+    with pytest.raises(ValueError):
+        langid.training_words(docs, 200, "doc_id", "text", "lang", most_langs=1)
+
+
 # packing
 
 def test_ids_equal_the_tokenizers(spark, sf_dir):
