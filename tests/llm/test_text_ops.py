@@ -132,6 +132,24 @@ def test_ids_equal_the_tokenizers(spark, sf_dir):
         assert np.frombuffer(mine.ids(t), "<u4").tolist() == theirs.encode(t, add_special_tokens=False).ids
 
 
+def test_added_tokens_are_found_in_texts(docs_of):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    theirs = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))  # the contract's plain call
+    with open(packing.TOKENIZER, "rb") as f:
+        mine = packing.Encoder(f.read(), added=packing.added_tokens())
+    rng, end = random.Random(8), "<|endoftext|>"
+    texts = ["x" + end, end, end * 3, f"a {end} b", f"a  {end}  b \n", f" {end}", "<|endoftext|", "<|EndOfText|>", f"<|{end}|>"]
+    texts += ["".join(rng.choice([end, " ", "  ", "\n", "a", "it's", "é", "9", "<|", "|>", "\u3000"]) for _ in range(20)) for _ in range(400)]
+    for t in texts:
+        assert np.frombuffer(mine.ids(t), "<u4").tolist() == theirs.encode(t, add_special_tokens=False).ids
+    got = {r.doc_id: (r.length, r.ids_crc32) for r in packing.pieces(docs_of(list(enumerate(texts)))).collect()}
+    for k, t in enumerate(texts):
+        ids = [*theirs.encode(t, add_special_tokens=False).ids, packing.END_ID]
+        assert got[k] == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+
+
 def test_cut():
     ids = np.arange(2500, dtype="<u4").tobytes()
     assert [x[:3] for x in packing.cut(ids, 1024)] == [(0, 0, 452), (1, 452, 1024), (2, 1476, 1024)]
