@@ -217,10 +217,13 @@ def _keys(pairs: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, coords: int = 40, matches: int = 20,
                     pivots: int = 4, large_list: int = 32, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, key, n_shingles, component_id, kept for every row."""
+    """doc_id, key, n_shingles, component_id, kept, component_key for every row.
+
+    ``component_key`` is the key of one row of the component: of those with its smallest id the smallest."""
     rows = signatures(docs, words, coords, id_col, text_col)
     nodes = written(rows.where("n_shingles > 0").groupBy("set_hash", "n_shingles", "signature")
-                    .agg(F.min("doc_id").alias("low"), F.min("key").alias("key"))
+                    .agg(F.min("doc_id").alias("low"),
+                         F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key"))["key"].alias("key"))
                     .withColumn("node", F.monotonically_increasing_id()), "minhash-nodes")
     postings = written(prefix_postings(nodes, coords, matches), "minhash-postings")
     source = (docs, words, id_col, text_col)
@@ -236,21 +239,24 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, coords:
     pairs = pairs.union(set_prefix_pairs(large, nodes, sets, percent))
     links = links.union(similar(pairs, sets, percent))
     components = written(connected_components(links), "minhash-components")
-    # Every node with the smallest document id of its component.
+    # Every node with the smallest document id of its component, and the key of a row that has it.
     placed = nodes.join(components, "node", "left").select(
-        "set_hash", "low", F.coalesce("component", "node").alias("component"))
-    low = placed.groupBy("component").agg(F.min("low").alias("component_low"))
-    found = placed.join(low, "component").select("set_hash", "component_low")
+        "set_hash", "low", "key", F.coalesce("component", "node").alias("component"))
+    low = placed.groupBy("component").agg(
+        F.min("low").alias("component_low"),
+        F.min(F.struct(F.col("low").isNull(), "low", "key"))["key"].alias("component_key"))
+    found = placed.join(low, "component").select("set_hash", "component_low", "component_key")
     linked = rows.where("n_shingles > 0").join(found, "set_hash").withColumnRenamed("component_low", "component_id")
-    alone = rows.where("n_shingles = 0").withColumn("component_id", F.col("doc_id"))
+    alone = rows.where("n_shingles = 0").withColumns({"component_id": F.col("doc_id"), "component_key": F.col("key")})
     return linked.unionByName(alone).select(
         F.col("doc_id").alias(id_col), "key", "n_shingles", "component_id",
-        F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+        F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "component_key")
 
 
 def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows that stay, with all their columns: one of each component (a repeated row stays once)."""
-    kept = (near_duplicates(docs, id_col=id_col, text_col=text_col, **options).where("kept")
+    """The rows that stay, with all their columns: one of each component, also where near copies share an id
+    or have none (a repeated row stays once)."""
+    kept = (near_duplicates(docs, id_col=id_col, text_col=text_col, **options).where("key = component_key")
             .select(F.col("key").alias("_key")).distinct())
     rows = docs.select(row_key(id_col, text_col).alias("_key"),
                        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))

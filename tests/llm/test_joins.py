@@ -196,3 +196,15 @@ def test_keep_representatives(docs_of):
     assert kept.columns == docs.columns
     assert sorted(r.doc_id for r in kept.collect()) == [1, 2, 7, 8]
     assert minhash.keep_representatives(docs_of([])).collect() == []
+
+
+def test_one_representative_of_copies_that_share_an_id(docs_of):
+    words = [f"w{i}" for i in range(60)]
+    near = [" ".join([*words[:-1], end]) for end in ("x", "y", "z")]
+    other = [" ".join([f"v{i}" for i in range(59)] + [end]) for end in ("x", "y")]
+    rows = [(1, near[0]), (1, near[1]), (None, near[2]), (None, other[0]), (None, other[1]),
+            (1, "a text that is like none of them"), (4, ""), (4, "")]
+    kept = sorted((r.doc_id, r.text) for r in minhash.keep_representatives(docs_of(rows)).na.fill({"doc_id": -1}).collect())
+    assert [k[0] for k in kept] == [-1, 1, 1, 4]
+    assert kept[0][1] in other and ("a text that is like none of them" in {t for _, t in kept[1:3]})
+    assert len({t for _, t in kept} & set(near[:2])) == 1
