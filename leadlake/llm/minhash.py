@@ -19,7 +19,7 @@ prefixes of their full sets, rare shingles first, share a shingle at a place whe
 the threshold still can be reached. No list is cut or left out.
 
 ``matches`` is half of ``coords`` by default: a pair of similarity 0.8 misses 20 of
-40 with a probability of about one in a million.
+40 with a probability of about 5e-6 (P(X <= 19) of 40 draws at 0.8).
 
 Defined results: texts without words (null ones too) have no shingle and are
 linked with nothing; with fewer words than a shingle, the whole sequence is the
