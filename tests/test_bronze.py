@@ -44,3 +44,11 @@ def test_dates_and_text_are_utc_in_any_session_zone(spark, zone):
         assert r.iso == want.strftime("%Y-%m-%dT%H:%M:%S.%f+00:00") and r.d == want.date()
         assert r.m == want.replace(hour=0, minute=0, second=0, microsecond=0).timestamp()
     assert null is None
+
+
+def test_malformed_bytes_go_through(spark):
+    """One message that isn't UTF-8 doesn't end the job; the others are as they were."""
+    bad = b'{"a": "\xff\xfe\xc3"}'
+    out = transform_to_bronze(spark.createDataFrame([(b"\xff", bad, dt.datetime(2031, 7, 1)), *ROWS], MESSAGE_SCHEMA))
+    got = out.selectExpr("cast(raw_json AS binary) AS raw", "raw_json").collect()
+    assert len(got) == 4 and bytes(got[0].raw) == bad and got[1].raw_json == '{"città": "Łódź"}'
