@@ -12,6 +12,7 @@ from leadlake.llm.exact_dedup import exact_dedup
 from leadlake.llm.langid import language_id
 from leadlake.llm.license_scan import license_scan
 from leadlake.llm.line_dedup import line_dedup
+from leadlake.llm.merkle import merkle_manifest, proof_digest
 from leadlake.llm.minhash import near_duplicates
 from leadlake.llm.mixing import mix_plan
 from leadlake.llm.packing import best_fit_packing
@@ -63,6 +64,11 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(table(spark, sf_dir, "documents"))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_manifest(table(spark, sf_dir, "documents")).select(
+        "doc_id", "leaf", "subroot", "root", proof_digest(F.col("steps")).alias("proof_sha256"), "folded_root", "verified")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_exact_dedup": op2_exact_dedup,
@@ -74,9 +80,65 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_topk_search": op8_topk_search,
     "op9_mixing": op9_mixing,
     "op10_license_scan": op10_license_scan,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
+def _crc32(text: str) -> str:
+    """DuckDB expression: the CRC-32 of an ASCII text, bit by bit."""
+    shifted = "lambda v, z: xor(v >> 1, 3988292384 * (v & 1))"
+    folded = f"lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], {shifted})"
+    return (f"xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split({text}, ''), "
+            f"lambda ch: ascii(ch)::BIGINT)), {folded}), 4294967295)")
+
+
+def _field(value: str) -> str:
+    return f"coalesce(strlen({value}::VARCHAR) || ':' || {value}::VARCHAR, '-')"
+
+
 ORACLES: dict[str, str] = {
+    # Level by level: all nodes of all sources, then those over the sources; a proof gathers the other nodes of
+    # every run on the way up, and the fold takes one level at a time.
+    "op13_merkle_manifest": f"""
+WITH RECURSIVE base AS (
+  SELECT doc_id, source, sha256({" || ".join(_field(c) for c in ("doc_id", "source", "lang", "n_chars", "text"))}) AS leaf,
+         CASE WHEN {_crc32("doc_id::VARCHAR")} % 5 = 0 THEN sha256({" || ".join(_field(c) for c in (
+             "doc_id", "source", "lang", "n_chars", "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"))})
+         END AS tampered FROM documents),
+numbered AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+         dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS s FROM base),
+nodes(s, lvl, idx, h, n) AS (
+  SELECT s, 0, pos, leaf, count(*) OVER (PARTITION BY s) FROM numbered
+  UNION ALL
+  SELECT s, lvl + 1, idx // 16, sha256(string_agg(h, '' ORDER BY idx)), (any_value(n) + 15) // 16
+  FROM nodes WHERE n > 1 GROUP BY s, lvl, idx // 16),
+inner_nodes AS MATERIALIZED (SELECT * FROM nodes),
+subroots AS MATERIALIZED (SELECT s, lvl AS height, h FROM inner_nodes WHERE n = 1),
+tops(lvl, idx, h, n) AS (
+  SELECT 0, s, h, count(*) OVER () FROM subroots
+  UNION ALL
+  SELECT lvl + 1, idx // 16, sha256(string_agg(h, '' ORDER BY idx)), (any_value(n) + 15) // 16
+  FROM tops WHERE n > 1 GROUP BY lvl, idx // 16),
+top_nodes AS MATERIALIZED (SELECT * FROM tops),
+runs AS MATERIALIZED (
+  SELECT s, lvl, lvl AS step, idx // 16 AS run, list(h ORDER BY idx) AS hs FROM inner_nodes WHERE n > 1 GROUP BY ALL
+  UNION ALL
+  SELECT NULL, lvl, lvl, idx // 16, list(h ORDER BY idx) FROM top_nodes WHERE n > 1 GROUP BY ALL),
+placed AS MATERIALIZED (
+  SELECT d.*, r.height, r.h AS subroot, (SELECT h FROM top_nodes WHERE n = 1) AS root FROM numbered d JOIN subroots r USING (s)),
+climb(s, pos, height, lvl, proof, fold) AS (
+  SELECT s, pos, height, 0, '', coalesce(tampered, leaf) FROM placed
+  UNION ALL
+  SELECT c.s, c.pos, c.height, c.lvl + 1,
+         c.proof || array_to_string(r.hs[:c.at % 16], '') || array_to_string(r.hs[c.at % 16 + 2:], ''),
+         sha256(array_to_string(r.hs[:c.at % 16], '') || c.fold || array_to_string(r.hs[c.at % 16 + 2:], ''))
+  FROM (SELECT *, CASE WHEN lvl < height THEN pos // (16 ** lvl)::BIGINT ELSE s // (16 ** (lvl - height))::BIGINT END AS at
+        FROM climb) c
+  JOIN runs r ON r.s IS NOT DISTINCT FROM (CASE WHEN c.lvl < c.height THEN c.s END)
+    AND r.step = CASE WHEN c.lvl < c.height THEN c.lvl ELSE c.lvl - c.height END AND r.run = c.at // 16),
+done AS (SELECT s, pos, arg_max(proof, lvl) AS proof, arg_max(fold, lvl) AS fold FROM climb GROUP BY s, pos)
+SELECT p.doc_id, p.leaf, p.subroot, p.root, sha256(d.proof) AS proof_sha256, d.fold AS folded_root, d.fold = p.root AS verified
+FROM placed p JOIN done d USING (s, pos)""",
     # DuckDB's levenshtein counts bytes, so letters beyond ASCII become single control bytes first. A pair
     # within two edits has an unchanged first, last or middle third, which spares most distance computations.
     "op1_line_dedup": """
@@ -106,7 +168,8 @@ FROM seen s JOIN classed c USING (line)""",
     "op5_minhash_near_dedup": r"""
 WITH RECURSIVE worded AS (
   SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-         'abcdefghijklmnopqrstuvwxyz'), '[ 	-]+'), lambda w: w <> '') AS w FROM documents),
+         'abcdefghijklmnopqrstuvwxyz'), '[ 	-
+]+'), lambda w: w <> '') AS w FROM documents),
 sets AS MATERIALIZED (
   SELECT doc_id, CASE WHEN len(w) < 2 THEN w
     ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS s FROM worded),
