@@ -16,9 +16,11 @@ from leadlake.llm.merkle import merkle_manifest, proof_digest
 from leadlake.llm.minhash import near_duplicates
 from leadlake.llm.mixing import mix_plan
 from leadlake.llm.packing import best_fit_packing
+from leadlake.llm.prefix_trie import conversation_trie
 from leadlake.llm.quality import quality_classifier
 from leadlake.llm.sharding import interleaved_shards
 from leadlake.llm.topk_search import top_k_search
+from leadlake.llm.warc_archive import archived_pages
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,6 +66,15 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(table(spark, sf_dir, "documents"))
 
 
+def op11_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archived_pages(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle_manifest(table(spark, sf_dir, "documents")).select(
         "doc_id", "leaf", "subroot", "root", proof_digest(F.col("steps")).alias("proof_sha256"), "folded_root", "verified")
@@ -80,6 +91,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_topk_search": op8_topk_search,
     "op9_mixing": op9_mixing,
     "op10_license_scan": op10_license_scan,
+    "op11_warc_archive": op11_warc_archive,
+    "op12_conversation_trie": op12_conversation_trie,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
@@ -96,6 +109,41 @@ def _field(value: str) -> str:
 
 
 ORACLES: dict[str, str] = {
+    "op11_warc_archive": """
+WITH sized AS (SELECT page_id, coalesce(html, '') AS body, strlen(coalesce(html, '')) AS payload_bytes FROM pages),
+newest AS (SELECT body, max(page_id) AS best FROM sized WHERE payload_bytes >= 1000 GROUP BY body)
+SELECT page_id, payload_bytes, sha1(s.body) AS payload_digest,
+       CASE WHEN page_id < best THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id < best THEN best END AS refers_to
+FROM sized s LEFT JOIN newest n ON n.body = s.body""",
+    # A node is the joined hashes of its turns, so that a prefix of the key is an ancestor's key.
+    "op12_conversation_trie": rf"""
+WITH turns AS (
+  SELECT conv_id, turn, md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS id,
+         len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS words
+  FROM conversations WHERE conv_id IS NOT NULL),
+own AS (
+  SELECT conv_id, list(id ORDER BY turn NULLS FIRST, id) AS ids, list(words ORDER BY turn NULLS FIRST, id) AS words,
+         ({_crc32("conv_id::VARCHAR")} % 4)::BIGINT AS h FROM turns GROUP BY conv_id),
+whole AS (
+  SELECT c.conv_id, list_concat(coalesce(b.ids, [])[:c.h], c.ids[c.h + 1:]) AS ids,
+         list_concat(coalesce(b.words, [])[:c.h], c.words[c.h + 1:]) AS words
+  FROM own c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 20),
+stood AS (
+  SELECT conv_id, d, array_to_string(ids[:d], '') AS node, CASE WHEN d = 0 THEN 0 ELSE words[d] END AS words, d = len(ids) AS ends
+  FROM (SELECT *, unnest(range(0, len(ids) + 1)) AS d FROM whole)),
+nodes AS MATERIALIZED (
+  SELECT node, d, min(conv_id) AS low, count(*) AS n, any_value(words) AS words, left(node, 32 * (d - 1)::BIGINT) AS up,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+  FROM stood GROUP BY node, d),
+kids AS MATERIALIZED (SELECT up, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY up),
+totals AS (
+  SELECT left(x.node, 32 * a) AS node, sum(CASE WHEN k.up IS NULL THEN 1 ELSE 0 END) AS n_leaves, sum((x.n - 1) * x.words) AS saved
+  FROM (SELECT *, unnest(range(0, d + 1)) AS a FROM nodes) x LEFT JOIN kids k ON k.up = x.node GROUP BY 1)
+SELECT n.low AS conv_id, n.d AS depth, p.low AS parent_conv_id, n.n AS n_convs, coalesce(k.n_children, 0) AS n_children,
+       CAST(t.n_leaves AS BIGINT) AS n_leaves, CAST(t.saved AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM nodes n JOIN totals t ON t.node = n.node LEFT JOIN kids k ON k.up = n.node
+LEFT JOIN nodes p ON n.d > 0 AND p.node = n.up""",
     # Level by level: all nodes of all sources, then those over the sources; a proof gathers the other nodes of
     # every run on the way up, and the fold takes one level at a time.
     "op13_merkle_manifest": f"""
