@@ -6,7 +6,8 @@
     python -m leadlake silver  --bronze /lake/bronze --run-date 2024-01-30 --out /lake/silver
     python -m leadlake gold    --silver /lake/silver --out /lake/gold [--export /lake/export]
     python -m leadlake test    --silver /lake/silver --gold /lake/gold
-    python -m leadlake train   --gold /lake/gold --tracking /lake/tracking
+    python -m leadlake train   --gold /lake/gold --tracking /lake/tracking --model /lake/model
+    python -m leadlake score   --model /lake/model --silver /lake/silver --out /lake/scores
     python -m leadlake sync-metrics --tracking /lake/tracking --reporting /lake/reporting
     python -m leadlake verify  --reporting /lake/reporting
 
@@ -27,15 +28,19 @@ from pyspark.sql import DataFrame, SparkSession
 from leadlake.operators import quality, reporting
 from leadlake.operators.ml import append_run_log
 from leadlake.operators.silver import build_silver, silver_and_quarantine
-from leadlake.plans.checks import check_parity, verify_export
+from leadlake.plans.checks import check_consumed_parity, check_parity, verify_export
 from leadlake.plans.gold import gold_features, gold_inference
-from leadlake.plans.training import train_on_gold
+from leadlake.plans.lakehouse import materialize
+from leadlake.plans.publish import GOLD_EXPECTATIONS, publish_audited
+from leadlake.plans.training import score_stored, store_run, train_on_gold
 from leadlake.schemas import GOLD_ACCEPTED, GOLD_ID, GOLD_NOT_NULL, INFERENCE_NOT_NULL, SILVER_NOT_NULL
 from leadlake.session import build_session, checkpoint_dir
 from leadlake.sinks.lake import (current_table_version, export_with_run_date, read_if_there,
                                  write_table_version)
+from leadlake.sinks.models import load_model
 from leadlake.sources.lake import read_partitioned, trailing_window
 from leadlake.sources.messages import MessageSource, read_message_batch
+from leadlake.streaming.deadletter import run_split_ingest
 from leadlake.streaming.ingest import run_bronze_ingest
 
 
@@ -57,12 +62,20 @@ def _latest(spark: SparkSession, base: str) -> DataFrame:
 
 
 def cmd_ingest(spark, args) -> int:
-    n = run_bronze_ingest(spark, _source(args), args.bronze, args.checkpoint, args.date_override)
+    if args.dead_letters:
+        n = run_split_ingest(spark, _source(args), args.bronze, args.dead_letters, args.checkpoint, args.date_override)
+    else:
+        n = run_bronze_ingest(spark, _source(args), args.bronze, args.checkpoint, args.date_override)
     print(f"ingested {n} messages into {args.bronze}")
     return 0
 
 
 def cmd_parity(spark, args) -> int:
+    if args.checkpoint:
+        rows = check_consumed_parity(spark, _source(args), args.checkpoint, args.bronze, args.date_override).collect()
+        for r in sorted(rows, key=lambda r: str(r["ingestion_date"])):
+            print(r.asDict())
+        return 2 if any(r["status"] == "data_loss" for r in rows) else 0
     report = check_parity(spark, read_message_batch(spark, _source(args)), args.bronze,
                           args.date, args.scope, date_override=args.date_override).orderBy("ingestion_date")
     rows = report.collect()
@@ -85,7 +98,16 @@ def cmd_silver(spark, args) -> int:
 
 def cmd_gold(spark, args) -> int:
     gold = gold_features(_latest(spark, args.silver))
-    version = write_table_version(gold, args.out)
+    if args.audit:
+        done = publish_audited(gold, args.out, GOLD_EXPECTATIONS)
+        for model, test, column, failing, passed in done.report:
+            print(("PASS " if passed else "FAIL ") + f"{model}.{column} {test} failing={failing}")
+        if not done.published:
+            print(f"not published: {done.version}")
+            return 1
+        version = done.version
+    else:
+        version = write_table_version(gold, args.out)
     print(version)
     if args.export:
         written = spark.read.parquet(version)
@@ -121,12 +143,22 @@ def cmd_test(spark, args) -> int:
 def cmd_train(spark, args) -> int:
     checkpoint_dir(spark)  # boosting cuts its lineage there
     run = train_on_gold(spark, _latest(spark, args.gold))
+    if args.model:
+        print(store_run(spark, run, args.model))
     append_run_log(run.tracking, args.tracking)
     for r in run.run_metrics.collect():
         print(r["key"], r["value"])
     return 0
 
 
+def cmd_score(spark, args) -> int:
+    """Score the leads of silver with the stored model; a new version of the scores table."""
+    stored = load_model(spark, args.model, args.version)
+    print(f"model {stored.version}")
+    print(write_table_version(score_stored(stored, gold_inference(gold_features(_latest(spark, args.silver)))), args.out))
+    return 0
+
+
 def cmd_sync_metrics(spark, args) -> int:
     base = args.tracking.rstrip("/")
     tables = [read_if_there(lambda t=t: spark.read.parquet(f"{base}/{t}"))
@@ -135,7 +167,7 @@ def cmd_sync_metrics(spark, args) -> int:
         reporting.ensure_reporting_table(spark, args.reporting)
         print("reporting rows: 0")
         return 0
-    rows = reporting.pivot_run_metrics(*tables)
+    rows = materialize(spark, reporting.pivot_run_metrics(*tables), "run_pivot")  # the upsert reads it several times
     for r in reporting.newest_first(rows).limit(20).collect():
         print(r["start_time"], r["run_uuid"], r["experiment_name"], r["auc"])
     out = reporting.upsert_table(spark, args.reporting, reporting.to_reporting_rows(rows))
@@ -173,6 +205,7 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--bronze", required=True)
     s.add_argument("--checkpoint", required=True)
     s.add_argument("--date-override")
+    s.add_argument("--dead-letters", help="table for messages that are no JSON objects in UTF-8; without it all go to bronze")
     s.add_argument("--max-files-per-trigger", type=int, help="files per micro-batch")
     s.add_argument("--max-offsets-per-trigger", type=int, help="Kafka offsets per micro-batch")
     s = sub.add_parser("parity")
@@ -180,6 +213,7 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--bronze", required=True)
     s.add_argument("--date")
     s.add_argument("--date-override", help="the date the messages were ingested under")
+    s.add_argument("--checkpoint", help="the ingest's: messages it hasn't consumed yet are pending, not lost")
     s.add_argument("--scope", default="per_date", choices=["per_date", "whole_topic"])
     s = sub.add_parser("silver")
     s.add_argument("--bronze", required=True)
@@ -191,6 +225,7 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--silver", required=True)
     s.add_argument("--out", required=True)
     s.add_argument("--export")
+    s.add_argument("--audit", action="store_true", help="publish only a table that meets its expectations (exit code 1 if not)")
     s.add_argument("--run-date", default=dt.date.today().isoformat())
     s = sub.add_parser("test")
     s.add_argument("--silver", required=True)
@@ -198,6 +233,12 @@ def parser() -> argparse.ArgumentParser:
     s = sub.add_parser("train")
     s.add_argument("--gold", required=True)
     s.add_argument("--tracking", required=True)
+    s.add_argument("--model", help="folder for the model's versions; without it the model is not kept")
+    s = sub.add_parser("score")
+    s.add_argument("--model", required=True)
+    s.add_argument("--version", help="a version's path; the current one by default")
+    s.add_argument("--silver", required=True)
+    s.add_argument("--out", required=True)
     s = sub.add_parser("sync-metrics")
     s.add_argument("--tracking", required=True)
     s.add_argument("--reporting", required=True)
@@ -207,7 +248,7 @@ def parser() -> argparse.ArgumentParser:
 
 
 COMMANDS = {"ingest": cmd_ingest, "parity": cmd_parity, "silver": cmd_silver, "gold": cmd_gold,
-            "test": cmd_test, "train": cmd_train, "sync-metrics": cmd_sync_metrics,
+            "test": cmd_test, "train": cmd_train, "score": cmd_score, "sync-metrics": cmd_sync_metrics,
             "verify": cmd_verify}
 
 

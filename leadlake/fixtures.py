@@ -120,3 +120,12 @@ def tracking_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.explode(candidates).alias("m"))
               .where(F.col("m").isNotNull())
               .select("run_uuid", "m.key", "m.value"))
+
+
+def faulty(messages: DataFrame) -> DataFrame:
+    """The message log with faults by key: cut short, a byte that isn't UTF-8, no value, an empty one."""
+    n, value = F.col("key").cast("string").cast("bigint") % 23, F.col("value")
+    return messages.withColumn("value", F.when(n == 3, F.substring(value, F.lit(1), F.length(value) - 5))
+                               .when(n == 5, F.concat(value, F.unhex(F.lit("FF"))))
+                               .when(n == 7, F.lit(None).cast("binary"))
+                               .when(n == 11, F.lit("").cast("binary")).otherwise(value))

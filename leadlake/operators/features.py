@@ -20,8 +20,9 @@ def column_means(df: DataFrame, cols: Sequence[str], exact: bool = True) -> Data
     A partial + final aggregate: map tasks pre-sum, one tiny row is merged.
     With ``exact`` the sums are accumulated in DECIMAL(38,18), so the mean
     does not depend on how rows were partitioned or in which order partial
-    sums were merged (a DOUBLE sum does, in the last bits); the magnitude of
-    a column's total must then stay below 1e20.
+    sums were merged (a DOUBLE sum does, in the last bits). A column with a
+    value or a sum that this type can't hold (from 1e20 on, infinities) gets
+    the mean of a DOUBLE sum instead.
     """
     if exact:
         # Exact DECIMAL sum, rounded to double once, then one division: the
@@ -32,12 +33,15 @@ def column_means(df: DataFrame, cols: Sequence[str], exact: bool = True) -> Data
 
         def mean(c: str) -> Column:
             x = F.col(c)
+            as_double = F.avg(x.cast("double"))
             if kinds[c] in ("double", "float"):
-                total = F.sum(F.nanvl(x, F.lit(None).cast("double")).cast("decimal(38,18)"))
-                exact_mean = F.try_divide(total.cast("double"), F.count(x))
-                return F.when(F.bool_or(F.isnan(x)), F.lit(float("nan"))).otherwise(exact_mean).alias(c)
-            total = F.sum(x if kinds[c].startswith("decimal") else x.cast("bigint"))
-            return F.try_divide(total.cast("double"), F.count(x)).alias(c)
+                part = F.nanvl(x, F.lit(None).cast("double")).try_cast("decimal(38,18)")
+                exact_mean = F.try_divide(F.try_sum(part).cast("double"), F.count(x))
+                fits = F.bool_and(part.isNotNull() | x.isNull()) & F.try_sum(part).isNotNull()
+                return (F.when(F.bool_or(F.isnan(x)), F.lit(float("nan"))).when(fits, exact_mean)
+                        .otherwise(as_double).alias(c))
+            total = F.try_sum(x if kinds[c].startswith("decimal") else x.cast("decimal(38,0)"))
+            return F.coalesce(F.try_divide(total.cast("double"), F.count(x)), as_double).alias(c)
 
         return df.agg(*[mean(c) for c in cols])
     return df.agg(*[F.avg(F.col(c)).alias(c) for c in cols])

@@ -123,21 +123,19 @@ def confusion_metrics(df: DataFrame, label: str, prediction: str) -> DataFrame:
                          ratio_or_zero("tp", F.col("tp") + F.col("fn")).alias("recall"))
 
 
-def auc_by_group(df: DataFrame, label: str, score_col: str, group: str | None = None,
-                 buckets: int = 256, accuracy: int = 10000) -> DataFrame:
+def auc_by_group(df: DataFrame, label: str, score_col: str, group: str | None = None) -> DataFrame:
     """Area under the ROC curve per group (ties between a positive and a
     negative count one half): sum over scores of pos * (neg below + neg/2),
     divided by P * N.
 
-    Distributed two-level prefix sum, no single-partition window:
-      1. counts per (group, distinct score) -- partial aggregation;
-      2. range buckets of the distinct scores per group from approximate
-         quantiles; negatives per bucket and their running total over the
-         (at most ``buckets``) buckets of a group;
-      3. the running total inside each bucket, a window partitioned by
-         (group, bucket), so one group's scores spread over many tasks.
-    Integer arithmetic until one final division, so the result does not
-    depend on the order of the partial sums. NULL is a group of its own, a NULL
+    Counts per (group, distinct score) come first, by partial aggregation. They
+    are dealt into ranges of (group, score); a running total inside each range
+    gives the range's own share of the sum, and the negatives of a group's
+    earlier ranges add ``pos * neg`` of whole ranges. So nothing is joined, a
+    group's scores spread over many tasks, and there are four exchanges: by
+    score, by range, by (group, range), by group (without a group one more for
+    the single row). Integer arithmetic until one final division, so the result
+    does not depend on where ranges begin. NULL is a group of its own, a NULL
     label counts as negative; without a group there is always one row (AUC
     NULL where a class is missing).
     """
@@ -146,25 +144,16 @@ def auc_by_group(df: DataFrame, label: str, score_col: str, group: str | None =
     base = df.select(*g, _q(score_col).cast("double").alias("_s"),
                      y.cast("long").alias("_p"), (~y).cast("long").alias("_n"))
     per_score = base.groupBy("_g", "_s").agg(F.sum("_p").alias("pos"), F.sum("_n").alias("neg"))
-    probs = [i / buckets for i in range(1, buckets)]
-    bounds = per_score.groupBy("_g").agg(
-        F.percentile_approx("_s", probs, accuracy).alias("_bounds"))
-    bucketed = per_score.join(bounds, "_g").select(
-        "_g", "_s", "pos", "neg",
-        F.size(F.filter("_bounds", lambda b: b < F.col("_s"))).alias("_b"))
+    ranged = per_score.repartitionByRange("_g", "_s").withColumn("_r", F.spark_partition_id())
     before = Window.unboundedPreceding
-    per_bucket = bucketed.groupBy("_g", "_b").agg(F.sum("neg").alias("bneg"))
-    offsets = per_bucket.select(
-        "_g", "_b", F.coalesce(F.sum("bneg").over(
-            Window.partitionBy("_g").orderBy("_b").rowsBetween(before, -1)), F.lit(0))
-        .alias("neg_before_bucket"))
-    within = bucketed.withColumn("neg_before_in_bucket", F.coalesce(F.sum("neg").over(
-        Window.partitionBy("_g", "_b").orderBy("_s").rowsBetween(before, -1)), F.lit(0)))
-    joined = within.join(offsets, ["_g", "_b"])
-    twice = F.col("pos") * (2 * (F.col("neg_before_bucket") + F.col("neg_before_in_bucket"))
-                            + F.col("neg"))
-    out = joined.groupBy("_g").agg(F.sum(twice).alias("_u2"), F.sum("pos").alias("n_pos"),
-                                   F.sum("neg").alias("n_neg"))
+    in_range = Window.partitionBy("_g", "_r").orderBy("_s").rowsBetween(before, -1)
+    own = F.col("pos") * (2 * F.coalesce(F.sum("neg").over(in_range), F.lit(0)) + F.col("neg"))
+    per_range = (ranged.select("_g", "_r", "pos", "neg", own.alias("own")).groupBy("_g", "_r")
+                 .agg(F.sum("own").alias("own"), F.sum("pos").alias("pos"), F.sum("neg").alias("neg")))
+    earlier = Window.partitionBy("_g").orderBy("_r").rowsBetween(before, -1)
+    below = F.coalesce(F.sum("neg").over(earlier), F.lit(0))
+    out = (per_range.select("_g", "pos", "neg", (F.col("own") + 2 * F.col("pos") * below).alias("u2"))
+           .groupBy("_g").agg(F.sum("u2").alias("_u2"), F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg")))
     if not group:  # no rows: one row all the same
         out = out.agg(F.sum("_u2").alias("_u2"), F.coalesce(F.sum("n_pos"), F.lit(0)).alias("n_pos"),
                       F.coalesce(F.sum("n_neg"), F.lit(0)).alias("n_neg"))

@@ -13,7 +13,7 @@ from leadlake.functions.literal import literal_rows
 from leadlake.functions.numeric import accuracy, f1_score
 from leadlake.functions.timefmt import epoch_ms_to_timestamp
 from leadlake.schemas import METRIC_MAP, REPORTING_SCHEMA
-from leadlake.sinks.lake import current_table_version, write_table_version
+from leadlake.sinks import bucketed
 
 
 def pivot_run_metrics(runs: DataFrame, experiments: DataFrame, metrics: DataFrame,
@@ -57,10 +57,7 @@ def to_reporting_rows(pivot: DataFrame, sync_timestamp: dt.datetime | None = Non
 
 def read_reporting_table(spark: SparkSession, base: str) -> DataFrame:
     """The current reporting table, or an empty typed one when none exists."""
-    version = current_table_version(spark, base)
-    if version is None:
-        return literal_rows(spark, REPORTING_SCHEMA, [])
-    return spark.read.schema(REPORTING_SCHEMA).parquet(version)
+    return bucketed.read(spark, base, REPORTING_SCHEMA)
 
 
 def newest_first(pivot: DataFrame) -> DataFrame:
@@ -76,8 +73,7 @@ def rank_newest(pivot: DataFrame) -> DataFrame:
 
 def ensure_reporting_table(spark: SparkSession, base: str) -> str:
     """Create the empty typed table where there is none; returns the current version's path."""
-    return current_table_version(spark, base) or write_table_version(
-        literal_rows(spark, REPORTING_SCHEMA, []), base)
+    return bucketed.create(spark, base)
 
 
 def upsert(target: DataFrame, batch: DataFrame, key: str | Sequence[str] = "run_id") -> DataFrame:
@@ -92,17 +88,14 @@ def upsert(target: DataFrame, batch: DataFrame, key: str | Sequence[str] = "run_
 
 def upsert_table(spark: SparkSession, base: str, batch: DataFrame,
                  key: str | Sequence[str] = "run_id") -> DataFrame:
-    """Upsert into the versioned reporting table at ``base`` and return the new
-    version. The current version is read, never overwritten: the result is
-    written as a new version folder and the pointer moves afterwards. A batch
-    that repeats a key is an error, and the table stays as it is."""
+    """Upsert into the reporting table at ``base`` and return the new version.
+
+    The table lies in hash buckets: only those that the batch falls in are read and
+    written anew, the pointer moves last. A batch with a NULL or repeated key is an
+    error, and the table stays as it is."""
     keys = [key] if isinstance(key, str) else list(key)
-    repeated = batch.groupBy(*keys).count().where(F.col("count") > 1).limit(5).collect()
-    if repeated:
-        raise ValueError(f"the batch repeats {keys}: {[tuple(r)[:-1] for r in repeated]}")
-    merged = upsert(read_reporting_table(spark, base), batch, key)
-    path = write_table_version(merged, base)
-    return spark.read.schema(REPORTING_SCHEMA).parquet(path)
+    bucketed.upsert(spark, base, batch, keys, REPORTING_SCHEMA)
+    return read_reporting_table(spark, base)
 
 
 def dashboard_view(reporting: DataFrame) -> DataFrame:

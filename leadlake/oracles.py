@@ -11,7 +11,7 @@ lookup joins, metrics by filtered aggregates before the join.
 from __future__ import annotations
 
 from leadlake.schemas import (ACTIVITY_KEEP, ACTIVITY_OTHER, CITY_KEEP, CITY_OTHER, CITY_WEIGHTS,
-                              CONVERTED_WEIGHTS, GOLD_DUMMIES, GOLD_FEATURES as GOLD_FEATURE_NAMES, GOLD_ID,
+                              CONVERTED_WEIGHTS, GOLD_ACCEPTED, GOLD_DUMMIES, GOLD_FEATURES as GOLD_FEATURE_NAMES, GOLD_ID,
                               GOLD_LABEL, GOLD_NOT_NULL, GOLD_NUMERIC, INFERENCE_NOT_NULL, LEAD_ORIGIN_WEIGHTS,
                               MESSAGE_FIELDS, METRIC_MAP, OCCUPATION_KEEP, OCCUPATION_OTHER, SILVER_NOT_NULL,
                               TAGS_KEEP, TAGS_OTHER, UNKNOWN)
@@ -268,6 +268,15 @@ def split_bucket(key: str) -> str:
     return f"(('0x' || substr(md5(coalesce(CAST({key} AS VARCHAR), '') || ':42'), 1, 8))::BIGINT % 100)"
 
 
+def exact_part(key: str, tie: str) -> str:
+    """The part of a row when exactly int(0.8 n) rows, in hash order, train."""
+    def order(c: str) -> str:
+        return f"md5('42|' || coalesce(CAST({c} AS VARCHAR), ''))[:15]"
+
+    return (f"CASE WHEN row_number() OVER (ORDER BY {order(key)}, {order(tie)}) "
+            "<= trunc(0.8::DOUBLE * count(*) OVER ()) THEN 'train' ELSE 'test' END")
+
+
 SOME_KEYS = 'CASE WHEN "Lead Number" % 97 <> 0 THEN "Lead Number" END'
 
 AUC = """WITH base AS (
@@ -357,6 +366,14 @@ SELECT count(*) AS expected_rows, count(*) AS exported_rows, true AS ok FROM gol
     "one_hot_dynamic": "SELECT p_partkey, " + ", ".join(
         f"ifnull(p_type = '{v}', false)::INTEGER AS p_type__{v.lower()}" for v in PART_TYPES) + " FROM part",
     "one_hot_long": "SELECT p_partkey, 'p_type__' || lower(p_type) AS dummy FROM part WHERE p_type IS NOT NULL",
+    "levels_applied": "SELECT p_partkey, " + ", ".join(
+        f"(p_type = '{v}')::INTEGER AS p_type__{v.lower()}" for v in PART_TYPES if v != "PROMO")
+        + ", (p_type = 'PROMO')::INTEGER AS p_type__unseen FROM part WHERE p_partkey % 3 <> 0 AND p_type <> 'SMALL'",
+    "profile_window": f"WITH {SILVER}" + " UNION ALL ".join(
+        f" SELECT '{c}' AS feature, min({c})::DOUBLE AS min_value, max({c})::DOUBLE AS max_value, count({c}) AS n_values, "
+        f"count(*) - count({c}) AS n_nulls, true AS distinct_within_error FROM silver "
+        "WHERE ingestion_date BETWEEN DATE '2024-01-08' AND DATE '2024-01-21'"
+        for c in ("total_time_spent_on_website", "page_views_per_visit", "total_visits", "average_time_per_visit")),
     "safe_names": f"SELECT p_partkey, p_brand, {safe_name_sql('brand', 'p_brand')} AS safe_name "
                   "FROM part",
     "clamp_round": """SELECT c_custkey,
@@ -386,11 +403,17 @@ FROM view GROUP BY experiment_name""",
   CAST(ifnull(l_discount * 10 > 0.5, false) AS INTEGER) AS prediction FROM lineitem""",
     "test_scores": f"""WITH {GOLD_FEATURES}
 SELECT "Lead Number", CAST(ifnull("Converted", 0) AS DOUBLE) AS label, true AS in_range, true AS class_agrees
-FROM gold WHERE {split_bucket('"Lead Number"')} >= 80""",
+FROM (SELECT *, {exact_part('"Lead Number"', '"Lead Number"')} AS part FROM gold) WHERE part = 'test'""",
+    "exact_split": f"""WITH {GOLD_FEATURES}
+SELECT "Lead Number", {exact_part(SOME_KEYS, '"Lead Number"')} AS split FROM gold""",
+    "stored_model_scores": f"""WITH {GOLD_FEATURES}
+SELECT "Lead Number", true AS same_probability, true AS same_class FROM gold""",
+    "early_stopping": """SELECT true AS best_is_first_highest, true AS stopped_by_patience_or_budget,
+  true AS model_ends_with_last_round, true AS last_auc_agrees""",
     "scored_leads": f"""WITH {GOLD_FEATURES}
 SELECT "Lead Number", true AS in_range, true AS class_agrees FROM gold""",
     "logged_metrics": """SELECT unnest(['auc', 'precision', 'recall', 'true_positives', 'true_negatives',
-  'false_positives', 'false_negatives', 'best_iteration']) AS key, true AS ok""",
+  'false_positives', 'false_negatives', 'best_iteration', 'stopped_iteration']) AS key, true AS ok""",
     "feature_profile": PROFILE,
     "training_matrix": f"""WITH {GOLD_FEATURES}
 SELECT "Lead Number", CAST(coalesce("Converted", 0) AS DOUBLE) AS label,
@@ -421,4 +444,34 @@ FROM c""",
     "bronze_stream_ingest": f"WITH {bronze_cte()} {BRONZE_COLS}",
     "stream_two_runs": f"WITH {bronze_cte()} {BRONZE_COLS}",
     "stream_backfill": f"WITH {bronze_cte(override='2024-01-15')} {BRONZE_COLS}",
+    "ingest_dead_letters": f"""WITH {MSGS},
+faulty AS (SELECT key, timestamp, value::VARCHAR AS v, key::BIGINT % 23 AS n FROM msgs)
+SELECT key AS kafka_key, timestamp AS kafka_timestamp, CAST(timestamp AS DATE) AS ingestion_date,
+  CASE n WHEN 3 THEN 'malformed_json' WHEN 5 THEN 'invalid_utf8' WHEN 7 THEN 'missing_value' WHEN 11 THEN 'malformed_json' END AS reason,
+  CASE n WHEN 3 THEN md5(left(v, length(v) - 5)) WHEN 5 THEN md5(encode(v) || '\\xFF'::BLOB) WHEN 7 THEN NULL WHEN 11 THEN md5('')
+         ELSE md5(v) END AS value_md5
+FROM faulty""",
+    "parity_pending": f"""WITH {MSGS},
+counted AS (
+  SELECT CAST(timestamp AS DATE) AS ingestion_date, count(*) FILTER (WHERE key::BIGINT % 2 = 0) AS taken,
+         count(*) FILTER (WHERE key::BIGINT % 2 = 1 AND day(timestamp) % 3 <> 0) AS waiting
+  FROM msgs GROUP BY 1)
+SELECT ingestion_date, taken AS source_rows, waiting AS pending_rows, taken AS bronze_rows,
+       CASE WHEN waiting > 0 THEN 'pending' ELSE 'ok' END AS status, 0::BIGINT AS missing_rows
+FROM counted WHERE taken + waiting > 0""",
+    "audited_publication": f"""WITH {GOLD_FEATURES},
+spoilt AS (
+  SELECT * REPLACE (CASE WHEN "Lead Number" % 31 = 0 THEN 2 ELSE "Tags_Ringing" END AS "Tags_Ringing",
+                    CASE WHEN "Lead Number" % 37 <> 0 THEN "Converted" END AS "Converted")
+  FROM gold, range(CASE WHEN "Lead Number" % 50 = 0 THEN 2 ELSE 1 END)),
+found AS (
+""" + "\n  UNION ALL ".join(
+        f"SELECT {k} AS attempt, '{test}' AS test, '{c}' AS column_name, ({n}) AS failing_rows FROM {rows}"
+        for k, rows in enumerate(("gold", "spoilt"))
+        for test, c, n in ([("not_null", c, f"count(*) FILTER (WHERE {_q(c)} IS NULL)") for c in GOLD_NOT_NULL]
+                           + [("unique", GOLD_ID, f"count({_q(GOLD_ID)}) - count(DISTINCT {_q(GOLD_ID)})")]
+                           + [("accepted_values", c, f"count(*) FILTER (WHERE {_q(c)} NOT IN (0, 1))") for c in GOLD_ACCEPTED]
+                           + [("row_count", "*", "greatest(1 - count(*), 0)")])) + """)
+SELECT 'leads_gold_features' AS model, test, column_name, failing_rows::BIGINT AS failing_rows, failing_rows = 0 AS passed,
+       attempt::INTEGER AS attempt, attempt = 0 AS published, attempt = 0 AS current FROM found""",
 }

@@ -17,13 +17,14 @@ from leadlake.functions.categories import bucket_categories, weighted_category
 from leadlake.functions.numeric import clamp
 from leadlake.functions.text import safe_name_col
 from leadlake.functions.timefmt import add_seconds, iso_utc
-from leadlake.operators import ml, quality, reporting
+from leadlake.operators import levels, ml, profile_store, quality, reporting
 from leadlake.operators.bronze import transform_to_bronze
 from leadlake.operators.features import (clean_text_columns, feature_profile, impute_mean,
                                         one_hot_dynamic, one_hot_long)
 from leadlake.operators.silver import dedup_latest, parse_messages
+from leadlake.operators.split import exact_split
 from leadlake.plans import lakehouse as lh
-from leadlake.plans import catalog
+from leadlake.plans import catalog, publish
 from leadlake.plans.checks import check_parity, verify_export
 from leadlake.plans import streaming as stream_plan
 from leadlake.plans import training
@@ -33,6 +34,7 @@ from leadlake.schemas import (CITY_WEIGHTS, CONVERTED_WEIGHTS, GOLD_ACCEPTED, GO
                               OCCUPATION_KEEP, OCCUPATION_OTHER, SILVER_NOT_NULL, TAGS_KEEP, TAGS_OTHER,
                               UNKNOWN)
 from leadlake.sinks.lake import current_table_version, export_with_run_date
+from leadlake.sinks.models import load_model
 from leadlake.sources.lake import read_immutable_parquet, read_partition, trailing_window
 from leadlake.sources.messages import MessageSource, read_message_batch
 
@@ -175,6 +177,16 @@ def q_parity_override(spark, sf):
                         date_override="2024-01-15")
 
 
+def q_parity_pending(spark, sf):
+    """Parity with what the stream has consumed: messages that arrived since are pending, not lost."""
+    return stream_plan.parity_while_messages_arrive(spark, sf)
+
+
+def q_audited_publication(spark, sf):
+    """A good gold is published; a spoilt one fails its audit and the good one stays current."""
+    return publish.good_then_bad_gold(lh.gold(spark, sf), lh.new_table_path(spark, "gold_audited"))
+
+
 def q_export_check(spark, sf):
     """Rows exported against rows read back."""
     base, gold, day = lh.new_table_path(spark, "export_check"), lh.gold(spark, sf), lh.run_date(spark, sf)
@@ -216,6 +228,15 @@ def q_one_hot_long(spark, sf):
     return one_hot_long(fixtures.table(spark, sf, "part"), "p_type", "p_type", "p_partkey")
 
 
+def q_levels_applied(spark, sf):
+    """The dictionary of some parts applied to others: PROMO is new there, SMALL is gone."""
+    part, base = fixtures.table(spark, sf, "part"), lh.new_table_path(spark, "levels")
+    fitted = (F.col("p_partkey") % 3 == 0) & (F.col("p_type") != "PROMO")
+    levels.fit_levels(part.where(fitted), ["p_type"], base)
+    rows = part.where((F.col("p_partkey") % 3 != 0) & (F.col("p_type") != "SMALL"))
+    return levels.apply_levels(rows, levels.load_levels(spark, base, ["p_type"]), unseen="column", keep=["p_partkey"])
+
+
 def q_safe_names(spark, sf):
     part = fixtures.table(spark, sf, "part")
     return part.select("p_partkey", "p_brand",
@@ -323,6 +344,23 @@ def q_feature_profile(spark, sf):
     return feature_profile(gold, [*GOLD_FEATURES, "Empty"])
 
 
+PROFILE_FROM, PROFILE_TO = "2024-01-08", "2024-01-21"
+
+
+def q_profile_window(spark, sf):
+    """A window's profile merged from the dates' stored ones; the distinct counts against exact ones."""
+    silver, base = lh.silver_table(spark, sf), lh.new_table_path(spark, "profiles")
+    early = F.col("ingestion_date") <= "2024-01-14"
+    for rows in (silver.where(early), silver.where(~early)):  # stored in two runs
+        profile_store.store_profiles(rows, NUMERIC, base)
+    merged = profile_store.window_profile(spark, base, PROFILE_FROM, PROFILE_TO)
+    window = silver.where(F.col("ingestion_date").between(PROFILE_FROM, PROFILE_TO))
+    exact = feature_profile(window, NUMERIC).select("feature", F.col("n_distinct").alias("exact"))
+    return merged.join(exact, "feature").select(
+        "feature", "min_value", "max_value", "n_values", "n_nulls",
+        (F.abs(F.col("n_distinct") - F.col("exact")) <= 0.03 * F.col("exact")).alias("distinct_within_error"))
+
+
 def q_training_matrix(spark, sf):
     return ml.training_matrix(lh.gold(spark, sf), GOLD_ID, GOLD_LABEL)
 
@@ -333,6 +371,13 @@ def q_train_test_split(spark, sf):
     return ml.hash_split(keyed, "key", {"train": 80, "test": 20}, seed=42).select(GOLD_ID, "split")
 
 
+def q_exact_split(spark, sf):
+    """Exactly int(0.8 n) rows train; a part of them has no key, their order is that of the lead number's hash."""
+    keyed = lh.gold(spark, sf).select(GOLD_ID, F.when(F.col(f"`{GOLD_ID}`") % 97 != 0, F.col(f"`{GOLD_ID}`")).alias("key"))
+    return exact_split(keyed, "key", training.TRAIN_SHARE, lambda df: lh.materialize(spark, df, "split_rows"), seed=42,
+                       ties=[GOLD_ID]).select(GOLD_ID, "split")
+
+
 def q_confusion_metrics(spark, sf):
     labels = fixtures.table(spark, sf, "labels")
     scored = labels.select(F.col("quality").alias("label"),
@@ -370,6 +415,29 @@ def q_scored_leads(spark, sf):
         (F.col("prediction") == (F.col("probability") > 0.5).cast("int")).alias("class_agrees"))
 
 
+def q_stored_model_scores(spark, sf):
+    """Every lead's probability by the model as loaded from its folder against that of the model in memory."""
+    stored = load_model(spark, training.stored_model(spark, sf))
+    loaded = training.score_stored(stored, gold_inference(lh.gold(spark, sf)))
+    unsaved = training.score_inference(spark, sf).withColumnsRenamed({"probability": "p", "prediction": "c"})
+    return loaded.join(unsaved, GOLD_ID, "full").select(
+        GOLD_ID, F.col("probability").eqNullSafe(F.col("p")).alias("same_probability"),
+        F.col("prediction").eqNullSafe(F.col("c")).alias("same_class"))
+
+
+def q_early_stopping(spark, sf):
+    """The rule on the run's AUC series, which is recomputed for its last round by MLlib's evaluator."""
+    run = training.train_and_evaluate(spark, sf)
+    stop, budget = run.early_stop, training.PARAMS["max_iter"]
+    again = BinaryClassificationEvaluator(rawPredictionCol="probability", numBins=0).evaluate(run.test_scores)
+    facts = {
+        "best_is_first_highest": stop.aucs.index(max(stop.aucs)) == stop.best,
+        "stopped_by_patience_or_budget": stop.last - stop.best == training.PARAMS["patience"] or stop.last == budget - 1,
+        "model_ends_with_last_round": run.model.getNumTrees == stop.last + 1 == len(stop.aucs),
+        "last_auc_agrees": abs(stop.aucs[-1] - again) < 1e-9}
+    return spark.range(1).select(*[F.lit(v).alias(k) for k, v in facts.items()])
+
+
 def q_logged_metrics(spark, sf):
     """Every logged metric against its value recomputed from the test scores, the AUC by MLlib's evaluator."""
     run = training.train_and_evaluate(spark, sf)
@@ -384,7 +452,7 @@ def q_logged_metrics(spark, sf):
     rounds = F.col("value").between(0, training.PARAMS["max_iter"] - 1)
     agrees = F.col("value").isNull() | (F.abs(F.col("value") - F.col("want")) < 1e-9)
     return run.run_metrics.join(want, "key", "left").select(
-        "key", F.when(F.col("key") == "best_iteration", rounds).otherwise(agrees).alias("ok"))
+        "key", F.when(F.col("key").endswith("_iteration"), rounds).otherwise(agrees).alias("ok"))
 
 
 def q_train_eval(spark, sf):
@@ -413,6 +481,16 @@ def q_stream_backfill(spark, sf):
     return stream_plan.ingest_fixture_stream(spark, sf, "2024-01-15").select(*BRONZE_COLS)
 
 
+def q_ingest_dead_letters(spark, sf):
+    """Every message of a faulty log, in bronze (no reason) or set aside with its raw bytes."""
+    good, bad = stream_plan.ingest_with_dead_letters(spark, sf)
+    rows = [good.select("kafka_key", F.col("raw_json").cast("binary").alias("value"), "kafka_timestamp", "ingestion_date",
+                        F.lit(None).cast("string").alias("reason")),
+            bad.select(F.col("key").cast("string").alias("kafka_key"), "value", F.col("timestamp").alias("kafka_timestamp"),
+                       "ingestion_date", "reason")]
+    return rows[0].unionByName(rows[1]).withColumn("value_md5", F.md5("value")).drop("value")
+
+
 QUERIES: dict[str, Query] = {
     "bronze_transform": q_bronze_transform,
     "bronze_transform_override": q_bronze_transform_override,
@@ -443,6 +521,7 @@ QUERIES: dict[str, Query] = {
     "distinct_categories": q_distinct_categories,
     "one_hot_dynamic": q_one_hot_dynamic,
     "one_hot_long": q_one_hot_long,
+    "levels_applied": q_levels_applied,
     "safe_names": q_safe_names,
     "clamp_round": q_clamp_round,
     "weighted_category": q_weighted_category,
@@ -455,18 +534,25 @@ QUERIES: dict[str, Query] = {
     "dashboard_view": q_dashboard_view,
     "dashboard_by_name": q_dashboard_by_name,
     "feature_profile": q_feature_profile,
+    "profile_window": q_profile_window,
     "training_matrix": q_training_matrix,
     "train_test_split": q_train_test_split,
+    "exact_split": q_exact_split,
     "confusion_metrics": q_confusion_metrics,
     "threshold_scores": q_threshold_scores,
     "auc_by_group": q_auc_by_group,
     "bronze_stream_ingest": q_bronze_stream_ingest,
     "stream_two_runs": q_stream_two_runs,
     "stream_backfill": q_stream_backfill,
+    "ingest_dead_letters": q_ingest_dead_letters,
+    "parity_pending": q_parity_pending,
+    "audited_publication": q_audited_publication,
     "train_eval": q_train_eval,
     "test_scores": q_test_scores,
     "logged_metrics": q_logged_metrics,
     "score_leads": q_score_leads,
     "scored_leads": q_scored_leads,
     "feature_importance": q_feature_importance,
+    "stored_model_scores": q_stored_model_scores,
+    "early_stopping": q_early_stopping,
 }

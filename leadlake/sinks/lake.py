@@ -43,6 +43,19 @@ def export_with_run_date(df: DataFrame, base: str, run_date: str | dt.date,
     return f"{base.rstrip('/')}/{column}={d.isoformat()}"
 
 
+def new_version_path(base: str) -> str:
+    """A version folder's path: names start with the UTC time, so the greatest is the newest."""
+    stamp = dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f")
+    return f"{base.rstrip('/')}/version={stamp}-{uuid.uuid4().hex[:8]}"
+
+
+def commit_version(spark: SparkSession, base: str, version: str) -> str:
+    """Make a completely written version the current one: its path is appended to ``_log``."""
+    spark.range(1).select(F.lit(version).alias("path")) \
+        .write.mode("append").text(f"{base.rstrip('/')}/_log")
+    return version
+
+
 def write_table_version(df: DataFrame, base: str) -> str:
     """Full refresh without overwriting the folder being read.
 
@@ -52,13 +65,9 @@ def write_table_version(df: DataFrame, base: str) -> str:
     unreferenced folder and the previous version stays current. Single writer
     per table. Returns the version path.
     """
-    stamp = dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f")
-    version = f"{base.rstrip('/')}/version={stamp}-{uuid.uuid4().hex[:8]}"
+    version = new_version_path(base)
     df.write.mode("errorifexists").parquet(version)
-    spark = df.sparkSession
-    spark.range(1).select(F.lit(version).alias("path")) \
-        .write.mode("append").text(f"{base.rstrip('/')}/_log")
-    return version
+    return commit_version(df.sparkSession, base, version)
 
 
 def current_table_version(spark: SparkSession, base: str) -> str | None:

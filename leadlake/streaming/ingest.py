@@ -52,8 +52,12 @@ def run_bronze_ingest(spark: SparkSession, source: MessageSource, bronze_path: s
                       ingestion_date_override: str | dt.date | None = None,
                       timeout_seconds: float | None = None, poll_seconds: float = 0.1) -> int:
     """Run until caught up, then stop. Returns the rows written by this run."""
-    query = start_bronze_ingest(spark, source, bronze_path, checkpoint_path,
-                                ingestion_date_override, available_now=True)
+    return finish(start_bronze_ingest(spark, source, bronze_path, checkpoint_path, ingestion_date_override,
+                                      available_now=True), timeout_seconds, poll_seconds)
+
+
+def finish(query: StreamingQuery, timeout_seconds: float | None = None, poll_seconds: float = 0.1) -> int:
+    """Wait until an available-now query has caught up; the messages it took."""
     # Spark keeps only the latest progress records: they are added up by batch
     # id while the query runs, so a long backlog is counted whole.
     rows: dict[int, int] = {}

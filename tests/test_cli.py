@@ -1,21 +1,33 @@
+import pytest
+
 from leadlake.__main__ import main
 from leadlake.fixtures import lead_messages
+from leadlake.sinks.lake import current_table_version
 
 
 def test_cli_end_to_end(spark, sf_small, tmp_path):
     p = {k: str(tmp_path / k) for k in
-         ("landing", "bronze", "ckpt", "silver", "gold", "export", "tracking", "reporting")}
+         ("landing", "bronze", "ckpt", "silver", "gold", "export", "tracking", "reporting", "model", "scores", "split", "dead")}
     lead_messages(spark, sf_small).write.parquet(p["landing"])
     assert main(["ingest", "--files", p["landing"], "--bronze", p["bronze"],
                  "--checkpoint", p["ckpt"]], spark) == 0
     assert main(["parity", "--files", p["landing"], "--bronze", p["bronze"]], spark) == 0
+    assert main(["parity", "--files", p["landing"], "--bronze", p["bronze"], "--checkpoint", p["ckpt"]], spark) == 0
+    assert main(["ingest", "--files", p["landing"], "--bronze", p["split"], "--dead-letters", p["dead"],
+                 "--checkpoint", p["ckpt"] + "2"], spark) == 0
     assert main(["silver", "--bronze", p["bronze"], "--out", p["silver"],
                  "--run-date", "2024-01-30"], spark) == 0
-    assert main(["gold", "--silver", p["silver"], "--out", p["gold"], "--export", p["export"],
+    assert main(["gold", "--silver", p["silver"], "--out", p["gold"], "--export", p["export"], "--audit",
                  "--run-date", "2024-01-30"], spark) == 0
     # total_visits has NULLs in silver: the not-null test fails, as in the original
     assert main(["test", "--silver", p["silver"], "--gold", p["gold"]], spark) == 1
-    assert main(["train", "--gold", p["gold"], "--tracking", p["tracking"]], spark) == 0
+    assert main(["train", "--gold", p["gold"], "--tracking", p["tracking"], "--model", p["model"]], spark) == 0
+    assert main(["score", "--model", p["model"], "--silver", p["silver"], "--out", p["scores"]], spark) == 0
+    scores = spark.read.parquet(current_table_version(spark, p["scores"]))
+    gold = spark.read.parquet(current_table_version(spark, p["gold"]))
+    assert scores.columns == ["Lead Number", "probability", "prediction"] and scores.count() == gold.count()
+    with pytest.raises(FileNotFoundError):
+        main(["score", "--model", p["landing"] + "-none", "--silver", p["silver"], "--out", p["scores"]], spark)
     assert main(["verify", "--reporting", p["reporting"]], spark) == 2  # not synced yet
     assert main(["sync-metrics", "--tracking", p["tracking"], "--reporting", p["reporting"]],
                 spark) == 0

@@ -3,7 +3,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from leadlake.operators import ml
+from leadlake.operators import ml, split
 
 
 def brute_auc(pairs):
@@ -18,11 +18,11 @@ def test_auc_matches_brute_force_across_buckets(spark):
     data = [(g, round(rng.random(), 2), int(rng.random() < 0.3 + 0.4 * (g == "b")))
             for g in ("a", "b") for _ in range(400)]
     df = spark.createDataFrame(data, "g string, s double, y int")
-    got = {r["g"]: r["auc"] for r in ml.auc_by_group(df, "y", "s", "g", buckets=8).collect()}
+    got = {r["g"]: r["auc"] for r in ml.auc_by_group(df, "y", "s", "g").collect()}
     for g in ("a", "b"):
         want = brute_auc([(s, y) for gg, s, y in data if gg == g])
         assert abs(got[g] - want) < 1e-12
-    whole = ml.auc_by_group(df, "y", "s", buckets=5).collect()[0]["auc"]
+    whole = ml.auc_by_group(df, "y", "s").collect()[0]["auc"]
     assert abs(whole - brute_auc([(s, y) for _, s, y in data])) < 1e-12
 
 
@@ -67,14 +67,11 @@ def test_small_gbt_train_score_importance(spark):
     assert {r["key"] for r in log["latest_metrics"].collect()} >= {"tp", "precision"}
 
 
-def test_auc_plan_has_no_unpartitioned_window(spark):
-    from leadlake.plans.inspect import plan_text
-    df = spark.range(1000).selectExpr("id % 2 AS y", "(id % 97) / 97.0 AS s")
-    plan = plan_text(ml.auc_by_group(df, "y", "s"))
-    windows = [line for line in plan.splitlines() if line.startswith("Arguments: [sum(")]
-    assert windows, "expected window operators"
-    assert "SinglePartition" not in plan.split("===== Subqueries =====")[0] or \
-        plan.count("SinglePartition") <= 2  # only for the one-row-per-group aggregates
+def test_auc_plan_has_four_exchanges_and_no_join(spark):
+    from leadlake.plans.inspect import main_plan
+    df = spark.range(1000).selectExpr("id % 3 AS g", "id % 2 AS y", "(id % 97) / 97.0 AS s")
+    tree = main_plan(ml.auc_by_group(df, "y", "s", "g")).split("\n\n")[0]
+    assert tree.count("Exchange") <= 4 and "Join" not in tree and "SinglePartition" not in tree
 
 
 def test_pivot_aggregates_metrics_before_join(spark):
@@ -116,3 +113,36 @@ def test_experiment_is_logged_once(spark, tmp_path):
         ml.append_run_log(ml.run_log(spark, "exp", {"x": 1}, metrics, run), str(tmp_path))
     assert spark.read.parquet(str(tmp_path / "experiments")).count() == 1
     assert spark.read.parquet(str(tmp_path / "runs")).count() == 3
+
+
+def _materialize(tmp_path):
+    def write(df):
+        path = str(tmp_path / f"t{len(list(tmp_path.iterdir()))}")
+        df.write.parquet(path)
+        return df.sparkSession.read.parquet(path)
+    return write
+
+
+def test_exact_split_takes_exactly_its_share(spark, tmp_path):
+    """Unique keys, one key for all rows, equal rows, NULL keys, shares of 0 and 1, no rows."""
+    write = _materialize(tmp_path)
+    unique = spark.range(1003).withColumnRenamed("id", "key")
+    for df, share in ((unique, 0.8), (unique, 0.0), (unique, 1.0), (unique.limit(1), 0.8), (unique.limit(0), 0.8),
+                      (unique.withColumn("key", F.lit(7)), 0.8), (unique.withColumn("key", F.lit(None).cast("long")), 0.5),
+                      (unique.withColumn("key", F.col("key") % 3), 0.37)):
+        n = df.count()
+        out = split.exact_split(df, "key", share, write)
+        assert out.columns == ["key", "split"]
+        assert (out.where("split = 'train'").count(), out.count()) == (int(share * n), n)
+    tied = unique.selectExpr("if(key % 4 = 0, NULL, key) AS key", "key AS other")
+    a, b = (split.exact_split(t, "key", 0.9, write, ties=["other"]) for t in (tied, tied.repartition(7)))
+    assert a.exceptAll(b).count() == 0 and a.where("split = 'train'").count() == int(0.9 * 1003)
+
+
+def test_exact_split_is_the_front_of_the_hash_order(spark, tmp_path):
+    import hashlib
+    keys = [str(i) for i in range(500)]
+    df = spark.createDataFrame([(k,) for k in keys], "key string")
+    got = {r["key"] for r in split.exact_split(df, "key", 0.3, _materialize(tmp_path), seed=9).where("split = 'train'").collect()}
+    order = sorted(keys, key=lambda k: hashlib.md5(f"9|{k}".encode()).hexdigest()[:15])
+    assert got == set(order[:150])

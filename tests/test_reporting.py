@@ -1,8 +1,13 @@
 import datetime as dt
 import uuid
 
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
 from leadlake.operators import reporting
 from leadlake.schemas import REPORTING_SCHEMA
+from leadlake.sinks import bucketed
 
 
 def tracking(spark):
@@ -79,7 +84,7 @@ def test_upsert_rejects_a_batch_that_repeats_a_key(spark, tmp_path):
     base = str(tmp_path / "reporting")
     batch = reporting.to_reporting_rows(reporting.pivot_run_metrics(*tracking(spark)), dt.datetime(2024, 2, 1))
     reporting.upsert_table(spark, base, batch)
-    with pytest.raises(ValueError, match="repeats"):
+    with pytest.raises(ValueError, match="repeated"):
         reporting.upsert_table(spark, base, batch.union(batch))
     assert reporting.read_reporting_table(spark, base).count() == 2
 
@@ -101,10 +106,53 @@ def test_empty_reporting_table_is_created_once(spark, tmp_path):
     base = str(tmp_path / "reporting")
     first = reporting.ensure_reporting_table(spark, base)
     assert reporting.ensure_reporting_table(spark, base) == first
-    assert spark.read.parquet(first).count() == 0
+    assert bucketed.manifest(spark, base) == (bucketed.BUCKETS, {})
     assert reporting.dashboard_view(reporting.read_reporting_table(spark, base)).collect() == []
 
 
+def _files(base):
+    return {str(p.relative_to(base)) for p in base.rglob("part-*.parquet") if "_bucket=" in str(p)}
+
+
+def test_upsert_writes_only_the_buckets_it_touches(spark, tmp_path):
+    """A sync of a few runs writes their buckets' files; the other buckets stay the same files, old versions readable."""
+    base = tmp_path / "t"
+    schema = T.StructType([T.StructField("k", T.StringType()), T.StructField("v", T.LongType())])
+    rows = spark.range(2000).selectExpr("cast(id AS string) AS k", "id AS v")
+    first = bucketed.upsert(spark, str(base), rows, ["k"], schema, n_buckets=16)
+    before = _files(base)
+    few = spark.createDataFrame([("7", -7), ("new", -1)], schema)
+    second = bucketed.upsert(spark, str(base), few, ["k"], schema)
+    written = {f.split("_bucket=")[1].split("/")[0] for f in _files(base) - before}
+    touched = {str(r[0]) for r in few.select(bucketed.bucket_of(["k"], 16)).collect()}
+    assert written == touched and before <= _files(base)
+    now = {r["k"]: r["v"] for r in bucketed.read(spark, str(base), schema).collect()}
+    assert now == {**{str(i): i for i in range(2000)}, "7": -7, "new": -1}
+    assert bucketed.read(spark, str(base), schema, version=first).count() == 2000 and second != first
+    assert bucketed.upsert(spark, str(base), few.limit(0), ["k"], schema) == second  # nothing to do
+
+
+def test_upsert_rejects_a_batch_without_key(spark, tmp_path):
+    base = str(tmp_path / "reporting")
+    batch = reporting.to_reporting_rows(reporting.pivot_run_metrics(*tracking(spark)), dt.datetime(2024, 2, 1))
+    reporting.upsert_table(spark, base, batch)
+    for _ in range(2):
+        with pytest.raises(ValueError, match="no or repeated"):
+            reporting.upsert_table(spark, base, batch.limit(1).withColumn("run_id", F.lit(None).cast("string")))
+    assert reporting.read_reporting_table(spark, base).count() == 2
+
+
+def test_lost_upsert_leaves_the_old_version(spark, tmp_path):
+    base = str(tmp_path / "t")
+    schema = T.StructType([T.StructField("k", T.StringType()), T.StructField("v", T.LongType())])
+    bucketed.upsert(spark, base, spark.createDataFrame([("a", 1), ("b", 2)], schema), ["k"], schema, n_buckets=4)
+    broken = spark.createDataFrame([("a", 9), ("c", 3)], schema).select(
+        "k", F.when(F.col("k") == "c", F.raise_error(F.lit("boom")).cast("long")).otherwise(F.col("v")).alias("v"))
+    with pytest.raises(Exception, match="boom"):
+        bucketed.upsert(spark, base, broken, ["k"], schema)
+    assert sorted(tuple(r) for r in bucketed.read(spark, base, schema).collect()) == [("a", 1), ("b", 2)]
+
+
 def test_newest_runs_first(spark):
     rows = reporting.pivot_run_metrics(*tracking(spark))
     assert [r["run_uuid"] for r in reporting.newest_first(rows).collect()] == ["r2", "r1"]
