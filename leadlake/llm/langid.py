@@ -8,11 +8,13 @@ predicted. The piece probabilities come from expectation-maximisation over word
 counts of labelled documents, whose E step (a forward and a backward pass per
 distinct word) runs as a Spark job over (language, word) rows.
 
-The fit takes at most about ``rows_per_lang`` labelled rows of each language,
-chosen by a hash of the id: a documented bound on a classifier's sample. It learns
-from all their words, however long, and of up to 1000 languages; more are an error,
-as none may be left out unsaid. Scoring covers every whole text. Words and their scores are cached within a task, up to
-``cache_words`` of them.
+The fit takes the ``rows_per_lang`` labelled rows of each language (or all, if fewer)
+that come first by a hash of id and text: a documented bound on a classifier's sample.
+Rows without an id or with a repeated one are told apart by their texts, and of equal
+rows as many are taken as are needed, counted rather than read again. The fit learns
+from all their words, however long, and of up to 256 languages; more are an error,
+as none may be left out unsaid. Scoring covers every whole text. Words and their scores
+are cached within a task; cache and batches are sized by a budget of bytes.
 
 Defined results: a null text, or one without letters, gives ``und`` and score 0;
 so does everything if no row is labelled; equal log probabilities go to the
@@ -30,10 +32,10 @@ import ahocorasick
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from leadlake.llm.common import id_text, in_fold, map_texts, ship_code, written
+from leadlake.llm.common import id_text, in_fold, map_texts, ship_code, whole_text, written
 
 VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 MARK = "▁"
@@ -41,7 +43,6 @@ UNDETERMINED = "und"
 _WORDS = re.compile(r"[^\W\d_]+")
 _UNKNOWN = 1e-7  # of a letter that no piece covers
 _SCALE = math.log(1e100)
-_DRAW_BITS = 60
 
 
 def words_of(text: str | None) -> list[str]:
@@ -131,26 +132,27 @@ class Model:
 
 
 def training_words(docs: DataFrame, rows_per_lang: int, id_col: str, text_col: str, lang_col: str,
-                   most_langs: int = 1000) -> DataFrame:
-    """(lang, word, n) over a hash-chosen sample of about ``rows_per_lang`` labelled rows per language."""
-    labelled = docs.where(F.col(lang_col).isNotNull() & ~in_fold(id_col, 4, 2))
-    per_lang = {r["_lang"]: r["n"] for r in labelled.groupBy(F.col(lang_col).alias("_lang"))
-                .agg(F.count(F.lit(1)).alias("n")).limit(most_langs + 1).collect()}
-    if len(per_lang) > most_langs:
+                   most_langs: int = 256) -> DataFrame:
+    """(lang, word, n) over the sample of ``rows_per_lang`` labelled rows per language."""
+    labelled = docs.where(F.col(lang_col).isNotNull() & ~in_fold(id_col, 4, 2)).select(
+        F.col(lang_col).alias("lang"), F.xxhash64(F.lit("langid"), id_text(id_col), whole_text(text_col)).alias("draw"),
+        F.col(text_col).alias("_text"))
+    # The limit works within each task before anything is shuffled; what is left is a row per sampled row at most.
+    first = Window.partitionBy("lang").orderBy("draw")
+    taken = (labelled.select("lang", "draw", F.row_number().over(first).alias("_n")).where(F.col("_n") <= rows_per_lang)
+             .groupBy("lang", "draw").agg(F.count(F.lit(1)).alias("times")))
+    taken = written(taken, "langid-sample")
+    if taken.select("lang").distinct().limit(most_langs + 1).count() > most_langs:
         raise ValueError(f"more than {most_langs} languages are labelled")
-    if not per_lang:
-        return docs.sparkSession.createDataFrame([], "lang string, word string, n long")
-    # Fine enough for any number of rows: the share of a language is never rounded to nothing.
-    draw = F.shiftrightunsigned(F.xxhash64(F.lit("langid"), id_text(id_col)), 64 - _DRAW_BITS)
-    share = F.coalesce(*[F.when(F.col(lang_col) == lang, F.lit((min(rows_per_lang, n) << _DRAW_BITS) // n).cast("long"))
-                         for lang, n in per_lang.items()])
-    rows = labelled.where(draw < share).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("_text"))
+    # At most rows_per_lang x most_langs rows. Equal rows are one, counted as often as they were taken.
+    rows = (labelled.join(F.broadcast(taken), ["lang", "draw"]).groupBy("lang", "draw")
+            .agg(F.first("_text").alias("_text"), F.first("times").alias("times")))
 
     def count():
         return lambda texts: [[(w, c) for w, c in Counter(words_of(t)).items()] for t in texts]
 
     return (map_texts(rows, count, {"word": "string", "n": "long"}, many=True)
-            .groupBy("lang", "word").agg(F.sum("n").alias("n")))
+            .groupBy("lang", "word").agg(F.sum(F.col("n") * F.col("times")).alias("n")))
 
 
 def fit(docs: DataFrame, vocabulary: str = VOCABULARY, rows_per_lang: int = 200, rounds: int = 2,
@@ -166,34 +168,38 @@ def fit(docs: DataFrame, vocabulary: str = VOCABULARY, rows_per_lang: int = 200,
     known, place = set(vocab), {lang: k for k, lang in enumerate(langs)}
     if not langs:
         return model
+    row = {p: k for k, p in enumerate(vocab)}
     for _ in range(rounds):
         def expect(batches, model=model):
+            sums: Counter = Counter()  # at most languages x vocabulary
             for batch in batches:
-                sums: Counter = Counter()
                 for lang, word, n in zip(*(batch.column(c).to_pylist() for c in ("lang", "word", "n"))):
                     for piece, e in model.expected_pieces(word, place[lang]).items():
                         if piece in known:
-                            sums[lang, piece] += e * n
-                keys = sorted(sums)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()),
-                     pa.array([sums[k] for k in keys], pa.float64())], ["lang", "piece", "e"])
+                            sums[place[lang], row[piece]] += e * n
+            keys = sorted(sums)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([k[0] for k in keys], pa.int32()), pa.array([k[1] for k in keys], pa.int32()),
+                 pa.array([sums[k] for k in keys], pa.float64())], ["lang", "piece", "e"])
 
         got = (words.repartition(words.sparkSession.sparkContext.defaultParallelism)
-               .mapInArrow(expect, "lang string, piece string, e double")
-               .groupBy("lang", "piece").agg(F.sum("e").alias("e")).collect())
-        counts = {(r["lang"], r["piece"]): r["e"] for r in got}
-        total = {lang: smoothing * len(vocab) + sum(e for (x, _), e in counts.items() if x == lang) for lang in langs}
-        model = Model(langs, {p: tuple((smoothing + counts.get((lang, p), 0.0)) / total[lang] for lang in langs)
-                              for p in vocab})
+               .mapInArrow(expect, "lang int, piece int, e double")
+               .groupBy("lang", "piece").agg(F.sum("e").alias("e")).toPandas())
+        counts = np.full((len(langs), len(vocab)), smoothing)
+        counts[got["lang"].to_numpy(), got["piece"].to_numpy()] += got["e"].to_numpy()
+        counts /= counts.sum(axis=1, keepdims=True)
+        model = Model(langs, {p: tuple(x) for p, x in zip(vocab, counts.T.tolist())})
     return model
 
 
 class Scorer:
     """Predictions for texts; word scores are kept up to a bound."""
 
-    def __init__(self, model: Model, cache_words: int = 250_000, short: int = 40):
-        self.model, self.most, self.short = model, cache_words, short
+    def __init__(self, model: Model, cache_bytes: int = 64 << 20, batch_bytes: int = 32 << 20, short: int = 40):
+        word = 8 * max(1, len(model.langs))  # bytes of a word's scores
+        self.model, self.most, self.short = model, max(1000, min(250_000, cache_bytes // word)), short
+        self.step = max(1000, min(100_000, batch_bytes // word))
+        self.at_once = max(16, min(4096, batch_bytes // (word * (short + 2))))
         self.place: dict[str, int] = {}
         self.table = np.zeros((1024, max(1, len(model.langs))))
         self.chances = np.array([*model.pieces.values(), model.unknown]).reshape(len(model.pieces) + 1, -1)
@@ -232,7 +238,7 @@ class Scorer:
 
     def _learn(self, words: set[str]) -> None:
         new = [w for w in words if len(w) <= self.short]
-        logs = [self.scores(new[k:k + 4096]) for k in range(0, len(new), 4096)]
+        logs = [self.scores(new[k:k + self.at_once]) for k in range(0, len(new), self.at_once)]
         for w in words:
             if len(w) > self.short:
                 new.append(w)
@@ -260,8 +266,8 @@ class Scorer:
                 out.append((UNDETERMINED, 0.0))
                 continue
             logs = np.zeros(len(langs))
-            for k in range(0, len(words), 100_000):  # bounds the memory of a very long text
-                part = words[k:k + 100_000]
+            for k in range(0, len(words), self.step):  # bounds the memory of a very long text
+                part = words[k:k + self.step]
                 logs += self.table[np.fromiter(map(place, part), np.int64, len(part))].sum(axis=0)
             best = int(logs.argmax())
             out.append((langs[best], float(1.0 / np.exp(np.minimum(logs - logs[best], 0.0)).sum())))

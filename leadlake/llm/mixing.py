@@ -3,8 +3,9 @@
 Sizes are summed per source, targets follow from the weights and the cap, and
 ``rate = target / source size``. A document is emitted ``floor(rate)`` times,
 plus once more with probability ``rate - floor(rate)``, decided by a hash of
-(seed, id): reruns and other partitionings give the same mix, and no row waits
-for another one, so a hot source needs no window and no single task.
+(seed, id, text): reruns and other partitionings give the same mix, and no row waits
+for another one, so a hot source needs no window and no single task. Rows without an id,
+or with a repeated one, are told apart by their texts.
 
 Defined results: a null or blank text has size 0; the null source is a source of
 its own, last in order; a source of size 0 has target 0 and gives nothing; rows
@@ -18,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from leadlake.llm.common import WORD, hex_long, seeded_hex, whole_text, written
+from leadlake.llm.common import WORD, hex_long, id_text, whole_text, written
 
 SEED = "mix-1"
 
@@ -65,7 +66,7 @@ def _with_copies(rows: DataFrame, targets: DataFrame, id_col: str, seed: str) ->
     # session's threshold, and else joins by shuffle with skew splitting.
     t = targets.select(F.col("source").alias("_source"), "source_size", "target")
     rate = F.coalesce(F.col("target") / F.nullif(F.col("source_size"), F.lit(0)), F.lit(0.0))
-    draw = hex_long(seeded_hex(seed, id_col), 13) / F.lit(float(16 ** 13))
+    draw = hex_long(F.md5(F.concat(F.lit(f"{seed}:"), id_text(id_col), F.lit(":"), F.col("_hash"))), 13) / F.lit(float(16 ** 13))
     return (rows.join(t, rows["_src"].eqNullSafe(t["_source"])).drop("_source")
             .withColumn("_copies", copies(rate, draw)))
 
@@ -75,6 +76,7 @@ def mix_plan(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), share: float =
              source_col: str = "source") -> DataFrame:
     """A decision for every document: doc_id, size, source_size, target, taken, copies."""
     narrow = written(docs.select(F.col(id_col).alias("_id"), F.col(source_col).alias("_src"),
+                                 F.md5(whole_text(text_col)).alias("_hash"),
                                  word_count(whole_text(text_col)).alias("size")), "mix-sizes")
     targets = written(source_targets(narrow.select(F.col("_src").alias("source"), "size"), weights, share, cap),
                       "mix-targets")
@@ -90,7 +92,7 @@ def mix(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), share: float = 1.5,
         docs.select(F.col(source_col).alias("source"), word_count(whole_text(text_col)).alias("size")),
         weights, share, cap), "mix-targets")
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
-                       F.col(id_col).alias("_id"), F.col(source_col).alias("_src"))
+                       F.col(id_col).alias("_id"), F.col(source_col).alias("_src"), F.md5(whole_text(text_col)).alias("_hash"))
     out = _with_copies(rows, targets, "_id", seed).where("_copies > 0")
     out = out.select("_row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
     return out.select(*[F.col("_row").getField(c).alias(c) for c in docs.columns])

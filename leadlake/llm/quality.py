@@ -109,13 +109,16 @@ def train(rows: list[np.ndarray], labels: list[int], bits: int, c: float = 1.0,
 
 def fit(docs: DataFrame, labels: DataFrame, bits: int = 18, sample_rows: int = 4000, sample_chars: int = 100_000,
         id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", **options) -> Model:
-    """The model from labelled rows that aren't held out."""
+    """The model from labelled rows that aren't held out: ``sample_rows`` ids that have a document to learn from,
+    the first by a hash. Of several documents of an id one is taken."""
+    texts = (docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+             .where(F.coalesce(F.length("_text"), F.lit(0)) <= sample_chars))
     drawn = (labels.where(F.col(label_col).isNotNull() & ~in_fold(id_col, 3, 1))
              .groupBy(F.col(id_col).alias("_id")).agg(F.max(label_col).cast("int").alias("_label"))
+             .join(texts.select("_id").distinct(), "_id", "left_semi")
              .orderBy(F.xxhash64(F.lit("quality"), id_text("_id")), "_id").limit(sample_rows))
-    rows = (docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-            .where(F.coalesce(F.length("_text"), F.lit(0)) <= sample_chars)
-            .join(F.broadcast(drawn), "_id"))  # at most sample_rows narrow rows
+    rows = (texts.join(F.broadcast(drawn), "_id")  # at most sample_rows narrow rows
+            .groupBy("_id", "_label").agg(F.min_by("_text", F.xxhash64("_text")).alias("_text")))
 
     def features():
         of = Featurizer(bits)

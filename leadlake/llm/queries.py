@@ -24,7 +24,7 @@ from leadlake.llm.warc_archive import archived_pages
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup(table(spark, sf_dir, "documents"), edits=2, least_chars=24)
+    return line_dedup(table(spark, sf_dir, "documents"), bands=((12, 2), (6, 1)))
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -197,22 +197,22 @@ seen AS (
 long AS MATERIALIZED (
   SELECT line, length(line) AS n,
          translate(line, 'éèÍÊñÄâÉßêçÇíÈÑîáóöüÖÓäÜú', '') AS b
-  FROM seen WHERE length(line) >= 24 GROUP BY line),
+  FROM seen WHERE length(line) >= 6 GROUP BY line),
 links AS MATERIALIZED (
   SELECT x.line AS u, y.line AS v FROM long x JOIN long y ON x.line <> y.line AND abs(x.n - y.n) <= 2
   WHERE (starts_with(y.b, x.b[:x.n // 3]) OR ends_with(y.b, x.b[x.n - x.n // 3 + 1:])
          OR contains(y.b, x.b[x.n // 3 + 1:x.n - x.n // 3]))
-    AND levenshtein(x.b, y.b) <= 2),
+    AND levenshtein(x.b, y.b) <= CASE WHEN least(x.n, y.n) >= 12 THEN 2 ELSE 1 END),
 reach(u, v) AS (SELECT u, v FROM links UNION SELECT r.u, k.v FROM reach r JOIN links k ON r.v = k.u),
 firsts AS (
   SELECT line, min({'d': doc_id, 'n': line_no}) AS f, any_value(length(line)) AS n_chars FROM seen GROUP BY line),
 classed AS (
-  SELECT f.line, f.n_chars, least(f.f, coalesce(min(g.f), f.f)) AS c,
-         (SELECT count(*) FROM links k WHERE k.u = f.line) AS n_links
-  FROM firsts f LEFT JOIN reach r ON r.u = f.line LEFT JOIN firsts g ON g.line = r.v GROUP BY f.line, f.n_chars, f.f)
-SELECT s.doc_id, s.line_no, c.n_chars, c.c.d AS class_doc_id, c.c.n AS class_line_no, c.n_links,
+  SELECT f.line, f.n_chars, least(f.f, coalesce(min(g.f), f.f)) AS c, greatest(count(DISTINCT r.v), 1) AS class_lines
+  FROM firsts f LEFT JOIN reach r ON r.u = f.line LEFT JOIN firsts g ON g.line = r.v GROUP BY f.line, f.n_chars, f.f),
+first_links AS (SELECT f.f, count(k.v) AS n_links FROM firsts f LEFT JOIN links k ON k.u = f.line GROUP BY f.f)
+SELECT s.doc_id, s.line_no, c.n_chars, c.c.d AS class_doc_id, c.c.n AS class_line_no, c.class_lines, k.n_links,
        s.doc_id = c.c.d AND s.line_no = c.c.n AS kept
-FROM seen s JOIN classed c USING (line)""",
+FROM seen s JOIN classed c USING (line) JOIN first_links k ON k.f = c.c""",
     "op5_minhash_near_dedup": r"""
 WITH RECURSIVE worded AS (
   SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
@@ -251,7 +251,8 @@ ranked AS (
 SELECT * FROM ranked WHERE rank <= 10""",
     "op9_mixing": r"""
 WITH sized AS (
-  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents),
+  SELECT doc_id, source, md5(coalesce(text, '')) AS hash,
+         len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents),
 src AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS place
   FROM sized GROUP BY source),
@@ -270,7 +271,7 @@ aimed AS (
 drawn AS (
   SELECT s.doc_id, s.size, a.source_size, a.target,
          coalesce(a.target / nullif(a.source_size, 0), 0) AS rate,
-         ('0x' || substr(md5('mix-1:' || coalesce(CAST(s.doc_id AS VARCHAR), '')), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS draw
+         ('0x' || substr(md5('mix-1:' || coalesce(CAST(s.doc_id AS VARCHAR), '') || ':' || s.hash), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS draw
   FROM sized s JOIN aimed a ON s.source IS NOT DISTINCT FROM a.source)
 SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
        CAST((floor(rate) + CASE WHEN draw < rate - floor(rate) THEN 1 ELSE 0 END) * size AS BIGINT) AS taken

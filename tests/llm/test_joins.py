@@ -37,6 +37,24 @@ def distance(a, b):
     return row[-1]
 
 
+def within(a, b, most):
+    """Whether the distance is at most ``most``: only cells near the diagonal count."""
+    while a and b and a[-1] == b[-1]:
+        n = 64 if a[-64:] == b[-64:] else 1
+        a, b = a[:-n], b[:-n]
+    far = most + 1
+    row = {j: j for j in range(min(len(b), most) + 1)}
+    for i, x in enumerate(a, 1):
+        new = {}
+        for j in range(max(0, i - most), min(len(b), i + most) + 1):
+            same = row.get(j - 1, far) + (b[j - 1] != x) if j else far
+            new[j] = min(same, row.get(j, far) + 1, new.get(j - 1, far) + 1) if i or j else 0
+        if not new or min(new.values()) > most:
+            return False
+        row = new
+    return row.get(len(b), far) <= most
+
+
 def edited(rng, s, times, letters="abé"):
     out = list(s)
     for _ in range(times):
@@ -92,29 +110,108 @@ def test_banded_distance(spark):
         assert all(min(r.d, edits + 1) == min(distance(r.a, r.b), edits + 1) for r in got)
 
 
-@pytest.mark.parametrize("edits", [1, 2, 3])
-def test_line_links_brute_force(docs_of, edits):
-    rng, lines = random.Random(edits), []
-    for _ in range(25):
-        base = "".join(rng.choice("abé \U0001f600") for _ in range(rng.randint(20, 40)))
-        lines += [base, *(edited(rng, base, rng.randint(0, edits + 2)) for _ in range(5))]
-    docs = docs_of([(i, "\n".join(lines[i::20])) for i in range(20)] + [(90, None), (91, ""), (92, "\n\n"), (93, lines[0])])
-    docs = docs.withColumn("line", F.lit("clash")).withColumn("hash", F.lit("clash"))
-    got = ld.line_dedup(docs, edits=edits, least_chars=24).collect()
+def allowed(x, y, bands):
+    """The edits two lines may differ by, from the shorter one's length."""
+    return max((e for least, e in bands if min(len(x), len(y)) >= least), default=0)
+
+
+def brute_lines(docs, bands):
+    """{(place, class, class_lines, n_links, kept)} of (doc_id, text) rows."""
     where = {}
-    for d in docs.collect():
-        for n, x in enumerate((d.text or "").split("\n")):
-            where.setdefault(x, []).append((d.doc_id, n))
-    first = {x: min(v) for x, v in where.items()}
-    u, degree = Union(first.values()), dict.fromkeys(first, 0)
+    for doc_id, text in docs:
+        for n, x in enumerate((text or "").split("\n")):
+            where.setdefault(x, []).append((doc_id, n))
+    low = lambda p: (p[0] is not None, p)  # noqa: E731  a null id comes first
+    first = {x: min(v, key=low) for x, v in where.items()}
+    u, links = Union(first), {x: set() for x in first}
+    names = sorted(first)
+    for i, x in enumerate(names):
+        for y in names[i + 1:]:
+            if abs(len(x) - len(y)) <= allowed(x, y, bands) and within(x, y, allowed(x, y, bands)):
+                links[x].add(y)
+                links[y].add(x)
+                u.join(x, y)
+    groups = {}
     for x in first:
-        for y in first:
-            if x != y and min(len(x), len(y)) >= 24 and distance(x, y) <= edits:
-                degree[x] += 1
-                u.join(first[x], first[y])
-    want = {(p, u.find(first[x]), degree[x], p == u.find(first[x])) for x, v in where.items() for p in v}
-    assert {((r.doc_id, r.line_no), (r.class_doc_id, r.class_line_no), r.n_links, r.kept) for r in got} == want
-    assert len(got) == len(want) and any(degree.values())
+        groups.setdefault(u.find(x), []).append(x)
+    out = set()
+    for members in groups.values():
+        kept = min(members, key=lambda x: low(first[x]))
+        for x in members:
+            out |= {(p, first[kept], len(members), len(links[kept]), p == first[kept]) for p in where[x]}
+    return out, sum(map(len, links.values()))
+
+
+def found_lines(docs, **options):
+    rows = ld.line_dedup(docs, **options).collect()
+    return {((r.doc_id, r.line_no), (r.class_doc_id, r.class_line_no), r.class_lines, r.n_links, r.kept) for r in rows}, len(rows)
+
+
+@pytest.mark.parametrize("bands, shortest, longest", [(((24, 1),), 20, 40), (((24, 2),), 20, 40), (((24, 3),), 20, 40),
+                                                      (((12, 2), (6, 1)), 3, 16)])
+def test_line_links_brute_force(docs_of, bands, shortest, longest):
+    """Also lines around the bands' borders, letters of one to four bytes, clashing columns."""
+    rng, lines = random.Random(len(bands) + bands[0][1]), []
+    for _ in range(40):
+        base = "".join(rng.choice("abé \U0001f600" if shortest > 5 else "abcdé ") for _ in range(rng.randint(shortest, longest)))
+        lines += [base, *(edited(rng, base, rng.randint(0, bands[0][1] + 2)) for _ in range(5))]
+    rows = [(i, "\n".join(lines[i::20])) for i in range(20)] + [(90, None), (91, ""), (92, "\n\n"), (93, lines[0])]
+    docs = docs_of(rows).withColumn("line", F.lit("clash")).withColumn("hash", F.lit("clash")).withColumn("k", F.lit(1))
+    want, links = brute_lines(rows, bands)
+    assert found_lines(docs, bands=bands) == (want, len(want)) and links > 40
+
+
+def test_lines_with_null_ids_repeats_and_a_very_long_line(docs_of):
+    long = "word " * 20_000 + "end of it"
+    text = "a line that is long enough\n\nanother line of the text"
+    rows = [(None, text), (None, text), (5, text.replace("line", "lime")), (5, text), (7, ""), (8, long), (9, long.replace("it", "at")),
+            (8, long), (10, "Subscribe to our mail"), (11, "Subscribe to our mails"), (12, "abcdef"), (13, "abcdeg"), (14, "abcde"), (15, "abcdf")]
+    got, _ = found_lines(docs_of(rows))
+    assert got == brute_lines(rows, ld.BANDS)[0]
+
+
+def variants(rng, words, n, edits_each):
+    for _ in range(n):
+        out = list(words)
+        for _ in range(edits_each):
+            out[rng.randrange(len(out))] = "".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 8)))
+        yield " ".join(out)
+
+
+def test_large_groups_of_variants_are_not_paired_with_each_other(spark, docs_of):
+    """Hundreds of variants of one line, most unlinked, and a group that is linked throughout: the links are
+    found, few pairs are verified."""
+    rng = random.Random(8)
+    base = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 9))) for _ in range(60)]
+    lines = list(variants(rng, base, 300, 3)) + [f"Page {i:03d} of the whole collection of pages" for i in range(150)]
+    lines += [edited(rng, lines[i], 2, "abc") for i in range(40)]
+    rows = [(i, x) for i, x in enumerate(lines)]
+    got, _ = found_lines(docs_of(rows))
+    assert got == brute_lines(rows, ld.BANDS)[0]
+    nodes, entries = ld.meeting_lines(docs_of(rows), ld.BANDS)
+    links = ld.verified(ld.pivot_pairs(entries), nodes, ld.BANDS)
+    pairs = ld.cross_pairs(entries, nodes, connected_components(links), ld.BANDS).count()
+    assert ld.pivot_pairs(entries).count() <= entries.count() and pairs < 10 * len(lines)
+
+
+def test_within_is_the_distance():
+    rng = random.Random(1)
+    for _ in range(3000):
+        a = "".join(rng.choice("ab") for _ in range(rng.randint(0, 9)))
+        b = edited(rng, a, rng.randint(0, 4), "ab")
+        for most in (1, 2):
+            assert within(a, b, most) == (distance(a, b) <= most)
+
+
+def test_word_parity_changes_by_three_bits_an_edit(spark):
+    rng = random.Random(6)
+    rows = []
+    for _ in range(400):
+        a = "".join(rng.choice("ab  é") for _ in range(rng.randint(6, 40)))
+        rows.append((a, edited(rng, a, 1, "ab ")))
+    df = spark.createDataFrame(rows, "a string, b string")
+    worst = df.select(F.max(F.bit_count(ld.word_parity(F.col("a")).bitwiseXOR(ld.word_parity(F.col("b")))))).first()[0]
+    assert 0 < worst <= 3
 
 
 def test_drop_repeated_lines(docs_of):

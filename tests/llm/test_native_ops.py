@@ -125,3 +125,12 @@ def test_mix_emits_what_the_plan_says(docs_of):
     mixed = mix(docs.withColumn("_row", F.lit(0)))
     assert mixed.columns == [*docs.columns, "_row"]
     assert Counter(r.doc_id for r in mixed.collect()) == Counter({k: v for k, v in plan.items() if v})
+
+
+@pytest.mark.parametrize("doc_id", [None, 7])
+def test_mixing_draws_apart_where_ids_are_null_or_repeated(docs_of, doc_id):
+    """Texts of one id don't share a draw: the taken words come near the target."""
+    rows = [(doc_id, f"some five words here {i}", None, source) for source, n in (("a", 400), ("b", 400)) for i in range(n)]
+    got = mix_plan(docs_of(rows), weights=(1, 2), share=1.0).groupBy("target").agg(F.sum("taken").alias("t"), F.first("source_size").alias("s"))
+    found = got.collect()
+    assert len(found) == 2 and all(abs(r.t - r.target) < 0.1 * r.target for r in found)

@@ -78,7 +78,8 @@ def test_mixing_copies(outputs):
     want = Counter()
     for r in before:
         rate = min(2 * per_source[r.source], high * weight[r.source]) / per_source[r.source]
-        draw = int(hashlib.md5(f"mix-1:{'' if r.doc_id is None else r.doc_id}".encode()).hexdigest()[:13], 16) / 16 ** 13
+        key = f"mix-1:{'' if r.doc_id is None else r.doc_id}:{hashlib.md5((r.text or '').encode()).hexdigest()}"
+        draw = int(hashlib.md5(key.encode()).hexdigest()[:13], 16) / 16 ** 13
         whole = math.floor(rate + 1e-9)
         want[r] = whole + (draw < rate - whole)
     assert Counter(after) == Counter({k: v for k, v in want.items() if v})
@@ -117,3 +118,20 @@ def test_empty_documents(spark, sf_dir):
     for _, stage in pipeline.STAGES:
         docs = stage(spark, docs, sf_dir)
     assert docs.collect() == []
+
+
+@pytest.mark.parametrize("doc_id", [None, 7])
+def test_a_corpus_with_one_id_comes_through(spark, sf_dir, doc_id):
+    """All rows share an id or have none: texts tell them apart in every stage."""
+    docs = table(spark, sf_dir, "documents").withColumn("doc_id", F.lit(doc_id).cast("long"))
+    counts = [docs.count()]
+    for name, stage in pipeline.STAGES[:4]:
+        docs = written(stage(spark, docs, sf_dir), name)
+        counts.append(docs.count())
+    assert counts[1] > 0.9 * counts[0] and counts[2] == docs_distinct(spark, sf_dir) and counts[3] > 0.5 * counts[2]
+    assert counts[4] > counts[3] and docs.select("text").distinct().count() > 0.5 * counts[3]
+
+
+def docs_distinct(spark, sf_dir):
+    texts = table(spark, sf_dir, "documents").select("text").distinct()
+    return texts.where(F.regexp_like("text", F.lit("\\p{L}"))).count()

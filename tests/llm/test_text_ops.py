@@ -92,7 +92,38 @@ def test_language_sample_of_a_very_large_language(spark):
     # The share of rows, 5 in about 7.5 million, is below a millionth.
     docs = spark.range(10_000_000).select(F.col("id").alias("doc_id"), F.lit("word").alias("text"), F.lit("en").alias("lang"))
     sampled = langid.training_words(docs, 5, "doc_id", "text", "lang").collect()
-    assert [(r.lang, r.word) for r in sampled] == [("en", "word")] and 1 <= sampled[0].n <= 15
+    assert [(r.lang, r.word, r.n) for r in sampled] == [("en", "word", 5)]
+
+
+@pytest.mark.parametrize("doc_id", [None, 7])
+def test_language_id_learns_where_ids_are_null_or_repeated(docs_of, doc_id):
+    rows = [(doc_id, f"the and of that {i}" if i % 2 else f"les des une que {i}", "en" if i % 2 else "fr") for i in range(3000)]
+    docs = docs_of(rows)
+    got = langid.language_id(docs).join(docs.select("doc_id").limit(0), "doc_id", "left")
+    assert {r.lang_pred for r in got.collect()} == {"en", "fr"}
+    assert langid.keep_identified(docs).count() == 3000
+    # Equal rows are taken as often as they are needed, and no other language is learnt from less.
+    same = docs_of([(doc_id, "the and of", "en")] * 500 + [(doc_id, "les des", "fr")] * 3)
+    sample = {(r.lang, r.word): r.n for r in langid.training_words(same, 200, "doc_id", "text", "lang").collect()}
+    assert sample == {**{("en", w): 200 for w in ("the", "and", "of")}, **{("fr", w): 3 for w in ("les", "des")}}
+
+
+def test_language_id_of_many_languages(docs_of):
+    """Sixty languages of one word each; too many are an error, not left out."""
+    letters = "abcdefghijklmnopqrst"
+    rows = [(4 * i + k, f"{letters[i // 20]}{letters[i % 20] * 3} " * 5, f"l{i:02d}") for i in range(60) for k in range(3)]
+    got = {r.doc_id: r.lang_pred for r in langid.language_id(docs_of(rows)).collect()}
+    assert sum(got[d] == lang for d, _, lang in rows) >= 0.9 * len(rows)
+    with pytest.raises(ValueError, match="more than 59"):
+        langid.training_words(docs_of(rows), 200, "doc_id", "text", "lang", most_langs=59)
+
+
+def test_scorer_sizes_its_memory_by_languages():
+    few, many = (langid.Scorer(langid.Model([f"l{i}" for i in range(n)], {"▁a": (0.1,) * n})) for n in (4, 256))
+    for s in (few, many):
+        n = len(s.model.langs)
+        assert 8 * n * s.most <= 64 << 20 and 8 * n * s.at_once * (s.short + 2) <= 32 << 20 and 8 * n * s.step <= 32 << 20
+    assert np.allclose(many.predict(["a " * 300_000])[0][1], 1 / 256)
 
 
 def test_expected_pieces_of_long_runs():
@@ -239,6 +270,25 @@ def test_quality_held_out(spark, sf_dir):
     assert auc([r.score for r in held], [labels[r.doc_id] for r in held]) > 0.95
 
 
+def test_quality_fit_takes_one_row_of_an_id_and_only_ids_with_documents(spark, docs_of):
+    """A labelled id repeated very often reaches the driver once; missing and too long documents don't use up the sample."""
+    rows = [(i, f"good text {i} indeed" if i % 2 else f"buy now {i} !!!") for i in range(40)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1000)], "doc_id long, quality int")
+    seen = []
+
+    def train(x, y, bits, **options):
+        seen.append((len(x), len(y)))
+        return original(x, y, bits, **options)
+
+    original, quality.train = quality.train, train
+    try:
+        for docs in (docs_of(rows), docs_of(rows + rows * 50 + [(i, "long " * 30_000) for i in range(40, 80)])):
+            quality.fit(docs, labels, sample_rows=25)
+    finally:
+        quality.train = original
+    assert seen == [(25, 25)] * 2
+
+
 def test_quality_odd_rows(spark, docs_of):
     docs = docs_of([*ODD, *((100 + i, "good words here" if i % 2 else "BAD!! BAD!! STUFF!!") for i in range(60))])
     labels = spark.createDataFrame([(100 + i, i % 2, 0) for i in range(60)] + [(101, 0, 0), (50_001, None, None), (None, 1, 0)],
