@@ -113,14 +113,15 @@ def maybe_among(df: DataFrame, key, wanted: DataFrame, bits: int = 25) -> DataFr
     Wanted keys are hashed into a bitmap of 2 ** bits bits, 4 MB by default
     whatever the number of keys, which is what gets broadcast; an exact join on
     the rows left is up to the caller. Saves shuffling whole texts for a few."""
-    def places(k):
-        p = F.pmod(F.xxhash64(k), F.lit(1 << bits))
-        return F.floor(p / 32768).cast("long"), (p % 32768).cast("long")
-
-    group, bit = places(F.col(f"`{wanted.columns[0]}`"))
-    maps = wanted.groupBy(group.alias("_map_group")).agg(F.bitmap_construct_agg(bit).alias("_map"))
-    group, bit = places(key)
-    byte = F.expr("cast(conv(hex(substring(_map, cast(_map_bit div 8 as int) + 1, 1)), 16, 10) as int)")
-    there = byte.bitwiseAND(F.expr("shiftleft(1, cast(_map_bit % 8 as int))")) != 0
-    return (df.withColumn("_map_group", group).withColumn("_map_bit", bit)
-            .join(F.broadcast(maps), "_map_group").where(there).drop("_map_group", "_map_bit", "_map"))
+    bit = F.pmod(F.xxhash64(F.col(f"`{wanted.columns[0]}`")), F.lit(1 << bits))
+    # 512 words of 64 bits a row.
+    words = wanted.select(bit.alias("b")).selectExpr(
+        "shiftright(b, 15) AS _map_group", "cast(shiftright(b, 6) & 511 AS int) AS w", "shiftleft(1L, cast(b & 63 AS int)) AS v")
+    words = words.groupBy("_map_group", "w").agg(F.bit_or("v").alias("v")).groupBy("_map_group").agg(
+        F.map_from_entries(F.collect_list(F.struct("w", "v"))).alias("m"))
+    maps = words.select("_map_group", F.transform(F.sequence(F.lit(0), F.lit(511)), lambda w: F.coalesce(
+        F.try_element_at("m", w), F.lit(0).cast("long"))).alias("_map"))
+    there = F.expr("(shiftrightunsigned(get(_map, cast(shiftright(_map_bit, 6) & 511 AS int)), cast(_map_bit & 63 AS int)) & 1) = 1")
+    marked = df.withColumn("_map_bit", F.pmod(F.xxhash64(key), F.lit(1 << bits)))
+    return (marked.withColumn("_map_group", F.shiftright("_map_bit", 15)).join(F.broadcast(maps), "_map_group")
+            .where(there).drop("_map_group", "_map_bit", "_map"))
