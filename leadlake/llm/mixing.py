@@ -16,10 +16,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leadlake.llm.common import WORD, hex_long, id_text, whole_text, written
+from leadlake.llm.ranks import ranked
 
 SEED = "mix-1"
 
@@ -34,26 +35,23 @@ def source_targets(sizes: DataFrame, weights: Sequence[int] = (3, 1, 2), share:
 
     Weights repeat over the sources in code point order, null last. Every target
     is ``min(cap x size, level x weight)``; the level is what resharing the excess
-    by weight ends in, read off the sources sorted by size per weight. The
-    windows run over one row per source."""
-    per_source = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
-    by_name = Window.orderBy(F.col("source").asc_nulls_last())
-    weight = F.element_at(F.array(*[F.lit(int(w)) for w in weights]),
-                          ((F.row_number().over(by_name) - 1) % len(weights) + 1).cast("int"))
-    s = per_source.select("source", "source_size", weight.alias("weight"),
-                          F.row_number().over(by_name).alias("place"),
-                          (F.lit(cap) * F.col("source_size")).alias("limit"))
-    order = Window.orderBy(F.col("limit") / F.col("weight"), "place")
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    onward = order.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    everything = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    level = ((F.lit(share) * F.sum("source_size").over(everything) - F.coalesce(F.sum("limit").over(before), F.lit(0.0)))
-             / F.sum("weight").over(onward))
-    s = s.withColumn("level_here", level)
-    reached = F.when(F.col("level_here") * F.col("weight") <= F.col("limit"), F.col("level_here"))
-    s = s.withColumn("level", F.first(reached, ignorenulls=True).over(everything))
+    by weight ends in, read off the sources sorted by size per weight. Both orders
+    are found by ranges and offsets: there may be as many sources as sites."""
+    per_source = written(sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
+                         .withColumn("_last", F.col("source").isNull()), "mix-sources")
+    named = ranked(per_source, [], ["_last", "source"], "place", kind="mix-names")
+    weight = F.element_at(F.array(*[F.lit(int(w)) for w in weights]), (F.col("place") % len(weights) + 1).cast("int"))
+    s = written(named.select("source", "source_size", weight.alias("weight"), "place",
+                             (F.lit(cap) * F.col("source_size")).alias("limit"))
+                .withColumn("filled_at", F.col("limit") / F.col("weight")), "mix-weights")
+    s = ranked(s, [], ["filled_at", "place"], "_at", {"limits": "limit", "weights": "weight"}, kind="mix-levels")
+    total = per_source.agg(F.sum("source_size")).scalar()
+    level = (F.lit(share) * total - F.col("limits")) / (named.select(weight.alias("w")).agg(F.sum("w")).scalar() - F.col("weights"))
+    s = written(s.withColumn("level_here", level), "mix-here")
+    # The first source, in that order, whose limit the level there does not reach.
+    reached = s.where(F.col("level_here") * F.col("weight") <= F.col("limit")).agg(F.min_by("level_here", "_at")).scalar()
     return s.select("source", "source_size",
-                    F.least("limit", F.coalesce(F.col("level") * F.col("weight"), F.col("limit"))).alias("target"))
+                    F.least("limit", F.coalesce(reached * F.col("weight"), F.col("limit"))).alias("target"))
 
 
 def copies(rate: Column, draw: Column) -> Column:

@@ -26,7 +26,7 @@ def ranked(rows: DataFrame, group: Sequence[str], order: Sequence[str], name: st
     ranges = max(1, -(-rows.count() // rows_per_range))
     # Written, as the range bounds come from a sample: both readers below must see the same ones.
     dealt = written(rows.repartitionByRange(ranges, *group, *order).withColumn("_range", F.spark_partition_id()), kind)
-    sums = {"_n": F.count(F.lit(1))} | {f"_sum_{k}": F.sum(c) for k, c in (running or {}).items()}
+    sums = {"_before_all": F.count(F.lit(1))} | {f"_sum_{k}": F.sum(c) for k, c in (running or {}).items()}
     totals = dealt.groupBy(*group, "_range").agg(*[v.alias(k) for k, v in sums.items()])
     earlier = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     if not group:  # a row per range
@@ -37,6 +37,6 @@ def ranked(rows: DataFrame, group: Sequence[str], order: Sequence[str], name: st
     out = dealt.withColumns({name: F.row_number().over(inside) - 1}
                             | {k: F.coalesce(F.sum(c).over(before), F.lit(0)) for k, c in (running or {}).items()})
     out = out.join(offsets, [*group, "_range"])
-    return out.withColumns({name: (F.col(name) + F.col("_n")).cast("long")}
+    return out.withColumns({name: (F.col(name) + F.col("_before_all")).cast("long")}
                            | {k: F.col(k) + F.col(f"_sum_{k}") for k in running or {}}
                            ).drop("_range", *sums)

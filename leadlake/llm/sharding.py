@@ -5,10 +5,9 @@ gets the fractional rank (2r - 1) / 2n. Sorting all rows by it interleaves the
 sources in proportion, and cutting the sequence into equal runs gives every
 shard the mixture of the whole. Law ``rows``: counts differ by at most one.
 
-Ranks and positions are found in two steps, so that neither a hot source nor
-the global order ends in one task: rows are ranked inside hash (or fraction)
-buckets of about ``bucket_rows`` rows, and the small table of bucket counts
-gives each bucket its offset.
+Ranks and positions are found by ranges and offsets (``ranks``), so that neither a hot
+source nor the global order nor a large tie ends in one task: rows equal in everything
+else are in the order of the table they were written to.
 
 Defined results: a null text has no bytes (size 1); the null source is a source
 of its own; a null id shuffles as the empty id; rows equal in all these are
@@ -18,26 +17,16 @@ in the law ``rows``: they go where their rows' order puts them.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leadlake.llm.common import hex_long, seeded_hex, whole_text, written
+from leadlake.llm.ranks import ranked
 
 SEED = "shard-1"
 
 
-def _ranked(rows: DataFrame, group: list[str], bucket: str, order: list[str], name: str) -> DataFrame:
-    """``rows`` with ``name``: 0-based place within ``group`` by (bucket, order). Keys are not null."""
-    keys = [*group, bucket]
-    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*group).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*keys, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    inside = Window.partitionBy(*keys).orderBy(*order)
-    return (rows.join(offsets, keys)
-            .withColumn(name, F.col("_offset") + F.row_number().over(inside) - 1).drop("_offset"))
-
-
-def interleaved_shards(docs: DataFrame, shards: int = 16, seed: str = SEED, bucket_rows: int = 50_000,
+def interleaved_shards(docs: DataFrame, shards: int = 16, seed: str = SEED, rows_per_range: int = 200_000,
                        id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """doc_id, size, text_crc32, source, fraction, position, shard, slot for every row."""
     text = whole_text(text_col)
@@ -45,20 +34,15 @@ def interleaved_shards(docs: DataFrame, shards: int = 16, seed: str = SEED, buck
     rows = written(docs.select(
         F.col(id_col).alias("_id"), source.isNull().alias("_none"), F.coalesce(source, F.lit("")).alias("_src"),
         (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
-        hex_long(seeded_hex(seed, id_col)).alias("_key")), "shard-rows")
-    sources = written(rows.groupBy("_none", "_src").agg(F.count(F.lit(1)).alias("_of")), "shard-sources")
+        hex_long(seeded_hex(seed, id_col)).alias("_key"), F.monotonically_increasing_id().alias("_n")), "shard-rows")
     total = rows.count()
-    buckets = max(1, -(-total // bucket_rows))
-    width = 16 ** 15 // buckets + 1
-    rows = rows.withColumn("_bucket", F.expr(f"_key div {width}L"))
-    ranked = _ranked(rows, ["_none", "_src"], "_bucket", ["_key", "_id", "text_crc32", "size"], "_rank")
-    ranked = written(
-        ranked.join(sources, ["_none", "_src"])
-        .withColumn("fraction", (2 * F.col("_rank") + 1) / (2 * F.col("_of")))
-        .drop("_bucket", "_rank", "_of"), "shard-ranks")
-    ranked = ranked.withColumn("_part", F.floor(F.col("fraction") * F.lit(float(buckets))).cast("long"))
-    placed = _ranked(ranked, [], "_part", ["fraction", "_none", "_src", "_key", "_id", "text_crc32", "size"],
-                     "position")
+    ties = ["_key", "_id", "text_crc32", "size", "_n"]
+    sources = written(rows.groupBy("_none", "_src").agg(F.count(F.lit(1)).alias("_of")), "shard-sources")
+    in_source = ranked(rows, ["_none", "_src"], ties, "_rank", rows_per_range=rows_per_range, kind="shard-ranks")
+    shares = written(in_source.join(sources, ["_none", "_src"])
+                     .withColumn("fraction", (2 * F.col("_rank") + 1) / (2 * F.col("_of"))).drop("_rank", "_of"), "shard-fractions")
+    placed = ranked(shares, [], ["fraction", "_none", "_src", *ties], "position", rows_per_range=rows_per_range,
+                    kind="shard-positions")
     rows_in_all = max(total, 1)
     return (placed.withColumn("shard", F.expr(f"cast(position * {shards} div {rows_in_all}L as int)"))
             .withColumn("slot", F.expr(f"position - (shard * {rows_in_all}L + {shards - 1}) div {shards}"))

@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -9,9 +10,11 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
+from leadlake.llm.common import written
 from leadlake.llm.exact_dedup import exact_dedup, keep_one
 from leadlake.llm.mixing import mix, mix_plan
 from leadlake.llm.queries import ORACLES, QUERIES
+from leadlake.llm.ranks import ranked
 from leadlake.llm.sharding import interleaved_shards
 
 ODD = [(1, "a b", "en", "s1"), (2, "a b", "en", "s2"), (3, "", None, None), (4, None, "fr", None),
@@ -63,11 +66,11 @@ def test_empty_tables(docs_of):
         assert op(docs_of([])).collect() == []
 
 
-@pytest.mark.parametrize("bucket_rows", [3, 50_000])
-def test_shards_brute_force(docs_of, bucket_rows):
+@pytest.mark.parametrize("rows_per_range", [9, 200_000])
+def test_shards_brute_force(docs_of, rows_per_range):
     docs = docs_of([*ODD, *((i, f"t{i}", None, f"s{i % 4 if i % 3 else 0}") for i in range(20, 300))])
     docs = docs.withColumn("fraction", F.lit("clash")).withColumn("_src", F.lit("clash"))
-    got = interleaved_shards(docs, shards=16, bucket_rows=bucket_rows).collect()
+    got = interleaved_shards(docs, shards=16, rows_per_range=rows_per_range).collect()
     by_source = defaultdict(list)
     for r in docs.collect():
         key = int(hashlib.md5(f"shard-1:{'' if r.doc_id is None else r.doc_id}".encode()).hexdigest()[:15], 16)
@@ -134,3 +137,35 @@ def test_mixing_draws_apart_where_ids_are_null_or_repeated(docs_of, doc_id):
     got = mix_plan(docs_of(rows), weights=(1, 2), share=1.0).groupBy("target").agg(F.sum("taken").alias("t"), F.first("source_size").alias("s"))
     found = got.collect()
     assert len(found) == 2 and all(abs(r.t - r.target) < 0.1 * r.target for r in found)
+
+
+def test_targets_of_many_sources(docs_of):
+    """As many sources as rows, some empty: targets as by filling them one after another."""
+    rows = [(i, "w " * (i % 7), None, f"site{i:03d}" if i else None) for i in range(150)]
+    got = {r.doc_id: (r.source_size, r.target) for r in mix_plan(docs_of(rows)).collect()}
+    names = sorted((r[3] for r in rows), key=lambda s: (s is None, s or ""))
+    weight = {s: (3, 1, 2)[k % 3] for k, s in enumerate(names)}
+    size = {r[3]: r[0] % 7 for r in rows}
+    low, high = 0.0, 1e6
+    for _ in range(200):
+        mid = (low + high) / 2
+        low, high = (mid, high) if sum(min(2 * size[s], mid * weight[s]) for s in names) < 1.5 * sum(size.values()) else (low, mid)
+    for r in rows:
+        assert got[r[0]][0] == size[r[3]] and abs(got[r[0]][1] - min(2 * size[r[3]], high * weight[r[3]])) < 1e-6
+
+
+def test_ranked_over_many_ranges(spark):
+    """Ranks and running sums equal the sorted list's, with ties, nulls and a group that holds most rows."""
+    rng = random.Random(3)
+    rows = [(rng.choice(["hot"] * 8 + ["a", "b", "z"]), rng.choice([None, 1, 1, 2, 5]), i, rng.randint(0, 9)) for i in range(200)]
+    df = written(spark.createDataFrame(rows, "g string, x int, n long, w long").repartition(5), "ranked-test")
+    got = {r.n: (r.place, r.before) for r in ranked(df, ["g"], ["x", "n"], "place", {"before": "w"}, rows_per_range=13).collect()}
+    whole = {r.n: (r.place, r.before) for r in ranked(df, [], ["g", "x", "n"], "place", {"before": "w"}, rows_per_range=13).collect()}
+    order = sorted(rows, key=lambda r: (r[0], r[1] is not None, r[1] or 0, r[2]))
+    place, before = Counter(), Counter()
+    for k, (g, _, n, w) in enumerate(order):
+        assert got[n] == (place[g], before[g]) and whole[n] == (k, sum(r[3] for r in order[:k]))
+        place[g] += 1
+        before[g] += w
+    assert len(got) == len(whole) == 200
+    assert ranked(df.limit(0), ["g"], ["x"], "place", {"before": "w"}).collect() == []
