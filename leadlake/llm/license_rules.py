@@ -5,9 +5,10 @@ literals of which one must occur for the name to match (the gates, split by "|")
 an SPDX id regex and the gates and regex of a home URL. Every row yields ordered
 rules of several kinds; together with the clause rules they make some three hundred.
 
-Gates are sought in the text with every run of white space as one space, so a
-space in a gate stands for any ``\\s+``. Every alternative of a regex must contain
-one of its gates (a test generates wordings from all rules).
+Regexes and gates meet a text with every run of white space, and comment marks at the
+beginning of a line, as one space, so wrapped headers match. Every alternative of a regex
+must contain one of its gates (a test generates wordings from all rules). A group named
+``at`` is the place of a detection; without one it is the whole match.
 """
 
 from __future__ import annotations
@@ -24,15 +25,18 @@ class Rule(NamedTuple):
 
 
 _V = r",?\s+(?:version\s+|v\.?\s*)?"
+_GPL = r"(?<!lesser )(?<!library )(?<!affero )(?:gnu\s+)?general\s+public\s+licen[sc]e"
+_SHORT = r"[\s-]?(?:version\s+|v\.?\s*)"  # GPLv2, LGPL version 2.1
 #: label, name, gates, SPDX id, URL gates, URL
 _FAMILIES = [
-    ("agpl-3.0", rf"(?:gnu\s+)?affero\s+general\s+public\s+licen[sc]e{_V}3(?:\.0)?", "affero", r"agpl-3\.0(?:-only|-or-later)?", "gnu.org/licenses/agpl", r"gnu\.org/licenses/agpl"),
+    ("agpl-3.0", rf"(?:gnu\s+)?affero\s+general\s+public\s+licen[sc]e{_V}3(?:\.0)?|(?:gnu\s+)?agpl{_SHORT}3(?:\.0)?", "affero|agpl", r"agpl-3\.0(?:-only|-or-later)?", "gnu.org/licenses/agpl", r"gnu\.org/licenses/agpl"),
     ("agpl", r"(?:gnu\s+)?affero\s+general\s+public\s+licen[sc]e", "affero", r"agpl(?:-1\.0)?", "affero.org", r"affero\.org/oagpl"),
-    ("lgpl-2.1", rf"(?:gnu\s+)?lesser\s+general\s+public\s+licen[sc]e{_V}2\.1", "lesser general", r"lgpl-2\.1(?:-only|-or-later)?", "lgpl-2.1", r"gnu\.org/licenses/(?:old-licenses/)?lgpl-2\.1"),
-    ("lgpl-3.0", rf"(?:gnu\s+)?lesser\s+general\s+public\s+licen[sc]e{_V}3(?:\.0)?", "lesser general", r"lgpl-3\.0(?:-only|-or-later)?", "lgpl-3.0", r"gnu\.org/licenses/lgpl-3\.0"),
+    ("lgpl-2.1", rf"(?:gnu\s+)?lesser\s+general\s+public\s+licen[sc]e{_V}2\.1|(?:gnu\s+)?lgpl{_SHORT}2\.1", "lesser general|lgpl", r"lgpl-2\.1(?:-only|-or-later)?", "lgpl-2.1", r"gnu\.org/licenses/(?:old-licenses/)?lgpl-2\.1"),
+    ("lgpl-3.0", rf"(?:gnu\s+)?lesser\s+general\s+public\s+licen[sc]e{_V}3(?:\.0)?|(?:gnu\s+)?lgpl{_SHORT}3(?:\.0)?", "lesser general|lgpl", r"lgpl-3\.0(?:-only|-or-later)?", "lgpl-3.0", r"gnu\.org/licenses/lgpl-3\.0"),
+    ("lgpl-2.0", rf"(?:gnu\s+)?(?:lesser|library)\s+general\s+public\s+licen[sc]e{_V}2(?:\.0)?(?!\.\d)|(?:gnu\s+)?lgpl{_SHORT}2(?:\.0)?(?!\.\d)", "general public|lgpl", r"lgpl-2\.0(?:-only|-or-later)?", "lgpl-2.0", r"gnu\.org/licenses/(?:old-licenses/)?lgpl-2\.0"),
     ("lgpl", r"(?:gnu\s+)?(?:lesser|library)\s+general\s+public\s+licen[sc]e", "general public", r"lgpl", "lgpl.html", r"gnu\.org/licenses/lgpl\.html"),
-    ("gpl-2.0", rf"(?:gnu\s+)?general\s+public\s+licen[sc]e{_V}2(?:\.0)?(?!\.1)", "general public", r"gpl-2\.0(?:-only|-or-later)?", "gpl-2.0", r"gnu\.org/licenses/(?:old-licenses/)?gpl-2\.0"),
-    ("gpl-3.0", rf"(?:gnu\s+)?general\s+public\s+licen[sc]e{_V}3(?:\.0)?", "general public", r"gpl-3\.0(?:-only|-or-later)?", "gpl-3.0", r"gnu\.org/licenses/gpl-3\.0"),
+    ("gpl-2.0", rf"{_GPL}{_V}2(?:\.0)?(?!\.\d)|(?:gnu\s+)?gpl{_SHORT}2(?:\.0)?(?!\.\d)", "general public|gpl", r"gpl-2\.0(?:-only|-or-later)?", "gpl-2.0", r"gnu\.org/licenses/(?:old-licenses/)?gpl-2\.0"),
+    ("gpl-3.0", rf"{_GPL}{_V}3(?:\.0)?|(?:gnu\s+)?gpl{_SHORT}3(?:\.0)?", "general public|gpl", r"gpl-3\.0(?:-only|-or-later)?", "gpl-3.0", r"gnu\.org/licenses/gpl-3\.0"),
     ("gfdl", r"gnu\s+free\s+documentation\s+licen[sc]e", "free documentation", r"gfdl-1\.[123](?:-only|-or-later)?", "fdl", r"gnu\.org/(?:copyleft|licenses)/fdl"),
     ("apache-2.0", rf"apache\s+(?:software\s+)?licen[sc]e{_V}2(?:\.0)?", "apache", r"apache-2\.0", "apache.org/licenses/license-2.0", r"apache\.org/licenses/license-2\.0"),
     ("apache-1.1", rf"apache\s+(?:software\s+)?licen[sc]e{_V}1\.1", "apache", r"apache-1\.1", "apache.org/licenses/license-1.1", r"apache\.org/licenses/license-1\.1"),
@@ -93,7 +97,7 @@ _FAMILIES = [
     ("vim", r"vim\s+licen[sc]e", "vim", r"vim", "vimdoc.sourceforge", r"vimdoc\.sourceforge\.net/.{0,40}license"),
     ("curl", r"curl\s+licen[sc]e", "curl", r"curl", "curl.se/docs/copyright", r"curl\.se/docs/copyright"),
     ("openrail", r"(?:creativeml\s+)?open\s?rail(?:-[ms]|\+\+-m)?\s+licen[sc]e", "rail", r"(?:creativeml-)?openrail(?:-m)?", "huggingface.co/spaces", r"huggingface\.co/spaces/.{0,60}license"),
-    ("gpl", r"(?:gnu\s+)?general\s+public\s+licen[sc]e|gnu\s+gpl", "general public|gnu gpl", r"gpl", "gnu.org/licenses", r"gnu\.org/licenses/(?:gpl\.html|\s|$)"),
+    ("gpl", rf"{_GPL}|gnu\s+gpl", "general public|gnu gpl", r"gpl", "gnu.org/licenses", r"gnu\.org/licenses/(?:gpl\.html|\s|$)"),
     ("apache", r"apache\s+(?:software\s+)?licen[sc]e|apache\s+licensed", "apache", r"apache", "apache.org/licenses", r"apache\.org/licenses/?(?:\s|$)"),
     ("cc-by", r"creative\s+commons\s+attribution|cc[\s-]by", "creative commons|cc by|cc-by", r"cc-by", "licenses/by", r"creativecommons\.org/licenses/by(?:\s|$|/(?![34]\.0))"),
     ("mit", r"mit\s+licen[sc]e|mit\s+licensed", "mit", r"mit", "licenses/mit", r"opensource\.org/licenses/mit"),
@@ -111,7 +115,7 @@ _CLAUSES = [
     ("apache-2.0", 75, "you may not use this file except", r"you\s+may\s+not\s+use\s+this\s+file\s+except\s+in\s+compliance\s+with\s+the\s+license"),
     ("mpl-2.0", 75, "this source code form is subject", r"this\s+source\s+code\s+form\s+is\s+subject\s+to\s+the\s+terms\s+of\s+the\s+mozilla"),
     ("bsl-1.0", 75, "machine-executable object code", r"machine-executable\s+object\s+code\s+generated\s+by\s+a\s+source\s+language\s+processor"),
-    ("public-domain", 40, "public domain", r"(?:released|dedicated|placed|is)\s+(?:in)?to?\s*(?:the\s+)?public\s+domain"),
+    ("public-domain", 40, "public domain", r"(?:released|dedicated|placed|put|is)\s+(?:(?:in|into|to)\s+)?(?:the\s+)?public\s+domain"),
     ("all-rights-reserved", 35, "all rights reserved", r"all\s+rights\s+reserved"),
     ("proprietary", 45, "proprietary and confidential|confidential and proprietary", r"proprietary\s+and\s+confidential|confidential\s+and\s+proprietary"),
     ("non-commercial", 30, "non-commercial", r"(?:for\s+)?non-commercial\s+(?:use|purposes)(?:\s+only)?"),
@@ -119,6 +123,9 @@ _CLAUSES = [
 ]
 _GRANT = r"(?:licen[sc]ed|released|distributed|available|published|provided|covered)\s+(?:under|by)\s+(?:the\s+)?(?:terms\s+of\s+(?:the\s+)?)?"
 
+#: A tag, with the operands of an expression that stand before the one sought.
+_TAG = r"spdx-license-identifier:\s*(?:[\w.+()-]+\s+(?:and|or|with)\s+)*\(*"
+
 
 def rules() -> list[Rule]:
     """All rules, the strongest first."""
@@ -127,7 +134,7 @@ def rules() -> list[Rule]:
         # Versions are more specific than their family; longer ids than shorter ones.
         own = 1 if label[-1].isdigit() else 0
         out += [
-            Rule(label, 98 + own, ("spdx-license-identifier",), re.compile(rf"spdx-license-identifier:\s*(?:{spdx})(?![\w.-])")),
+            Rule(label, 98 + own, ("spdx-license-identifier",), re.compile(rf"{_TAG}(?P<at>(?:{spdx})\+?)(?![\w.-])")),
             Rule(label, 88 + own, tuple(gates.split("|")), re.compile(rf"{_GRANT}(?:{name})(?!\w)")),
             Rule(label, 68 + own, tuple(url_gates.split("|")), re.compile(url)),
             Rule(label, 58 + own, tuple(gates.split("|")), re.compile(rf"(?<!\w)(?:{name})(?!\w)")),

@@ -1,7 +1,7 @@
 """Licence detection: ordered signature rules behind a keyword gate.
 
-A text, white space collapsed, passes one keyword automaton; only rules of whose
-literals one occurred run their regex, on the text as it is. Detections are taken
+A text, white space collapsed and comment marks at line beginnings taken off, passes one
+keyword automaton; only rules of whose literals one occurred run their regex. Detections are taken
 in the order of priority, then length, then start; one that lies inside a kept
 detection of the same or a higher priority is suppressed. The kept labels are the method's own; the base labels (places where
 a phrase's words stand consecutively) are always kept.
@@ -48,6 +48,14 @@ def base_places(lowered: bytes) -> tuple[int, list[tuple[int, str]]]:
     return len(words), sorted(places)
 
 
+_COMMENT = re.compile(r"[\r\n]\s*(?:(?:[*#;%!>]|//|--)+(?=\s|$))?")
+
+
+def flat(text: str) -> str:
+    """The text on one line: white space, and comment marks that begin a line, become single spaces."""
+    return " ".join(_COMMENT.sub(" ", text).split())
+
+
 class Scanner:
     """The rules with their gate, built once per task."""
 
@@ -63,12 +71,16 @@ class Scanner:
         self.gate.make_automaton()
 
     def active(self, text: str) -> list[int]:
-        """The rules that may match in lower-cased ``text``; regexes and split() know the same white space."""
-        return sorted({k for _, ks in self.gate.iter(" ".join(text.split())) for k in ks})
+        """The rules that may match in the flat, lower-cased text."""
+        return sorted({k for _, ks in self.gate.iter(text) for k in ks})
 
     def detect(self, text: str) -> list[tuple[int, int, Rule]]:
-        """Kept detections (start, end, rule) in lower-cased ``text``, the strongest first."""
-        found = [(m.start(), m.end(), self.rules[k]) for k in self.active(text) for m in self.rules[k].pattern.finditer(text)]
+        """Kept detections (start, end, rule) in the flat lower-cased text, the strongest first."""
+        text = flat(text)
+        found = []
+        for k in self.active(text):
+            place = "at" if "at" in self.rules[k].pattern.groupindex else 0
+            found += [(*m.span(place), self.rules[k]) for m in self.rules[k].pattern.finditer(text)]
         found.sort(key=lambda d: (-d[2].priority, d[0] - d[1], d[0], d[2].label))
         kept: list[tuple[int, int, Rule]] = []
         near: dict[int, list[tuple[int, int]]] = {}  # kept intervals by the stretches of 256 characters they touch

@@ -305,3 +305,21 @@ def test_one_representative_of_copies_that_share_an_id(docs_of):
     assert [k[0] for k in kept] == [-1, 1, 1, 4]
     assert kept[0][1] in other and ("a text that is like none of them" in {t for _, t in kept[1:3]})
     assert len({t for _, t in kept} & set(near[:2])) == 1
+
+
+def test_recall_of_the_candidate_rule_near_the_threshold():
+    """Pairs of sets of a similarity of 0.80 to 0.85, by the hash family in use: half of the signature agrees."""
+    shingler, rng = minhash.Shingler(2, 40), random.Random(12)
+    missed = n = 0
+    for _ in range(4000):
+        size = rng.randint(40, 300)
+        both = -(-80 * 2 * size // 180) + rng.randint(0, max(1, size // 40))  # similar from 0.80 on
+        own = size - both
+        pool = [rng.getrandbits(64) for _ in range(both + 2 * own)]
+        x, y = (shingler.signature(minhash.np.unique(minhash.np.array(s, minhash.np.uint64)))
+                for s in (pool[:size], pool[:both] + pool[size:]))
+        similarity = both / (2 * size - both)
+        if 0.80 <= similarity <= 0.85:
+            n += 1
+            missed += int((x == y).sum()) < 20
+    assert n > 3000 and missed <= 2

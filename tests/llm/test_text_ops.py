@@ -205,6 +205,31 @@ def test_best_fit_keeps_every_constraint(rule, capacities):
         assert where.max() + 1 <= -(-lengths.sum() // 1024) + 2
 
 
+@pytest.mark.parametrize("rule", ["norm", "dot"])
+@pytest.mark.parametrize("capacities", [(1024.0, 1024.0, 1024.0 ** 2), (1024.0, 4.0, 200_000.0)])
+def test_best_fit_takes_the_best_bin_of_all(rule, capacities):
+    """Replayed piece by piece over all bins: no other one that fits scores better, a new one is opened only if none fits."""
+    rng, weights = np.random.default_rng(3), (1.0, 0.3, 0.2)
+    lengths = np.sort(np.r_[rng.integers(1, 600, 250), rng.integers(1, 40, 150)])[::-1]
+    where, _ = packing.best_fit(lengths, capacities, weights, rule)
+    left = []
+    for t, b in zip(map(float, lengths), where):
+        need, scores = (t, 1.0, t * t), {}
+        for k, free in enumerate(left):
+            if all(f >= n for f, n in zip(free, need)):
+                parts = zip(weights, free, need, capacities)
+                if rule == "norm":
+                    scores[k] = sum(w * ((f - n) / c) ** 2 for w, f, n, c in parts)
+                else:
+                    scores[k] = -sum(w * (n / c) * (f / c) for w, f, n, c in parts)
+        if b == len(left):
+            assert not scores
+            left.append(list(capacities))
+        else:
+            assert math.isclose(scores[b], min(scores.values()), rel_tol=1e-9, abs_tol=1e-12)
+        left[b] = [f - n for f, n in zip(left[b], need)]
+
+
 def test_packing_whole_table(spark, sf_dir, docs_of):
     docs = table(spark, sf_dir, "documents").unionByName(docs_of(ODD)).withColumn("length", F.lit("clash"))
     got = packing.best_fit_packing(docs).collect()
@@ -390,7 +415,7 @@ def test_license_gate_misses_nothing(spark, sf_dir):
     texts += [f"licensed under the {x}" for x in (
         "gnu gpl", "cc0 1.0", "cc-by", "cc by-sa", "cc by nd", "creative commons zero", "general public license",
         "3-clause bsd license", "creative commons attribution-noncommercial-sharealike")]
-    for t in texts:
+    for t in map(license_scan.flat, texts):
         ungated = {r.label for r in scan.rules if r.pattern.search(t)}
         active = {k for _, ks in scan.gate.iter(t) for k in ks}
         assert ungated == {scan.rules[k].label for k in active if scan.rules[k].pattern.search(t)}
@@ -432,6 +457,7 @@ def test_license_gate_opens_for_every_wording_of_every_rule():
     for k, r in enumerate(scan.rules):
         for _ in range(60):
             t = f"see {wordings(r.pattern.pattern, rng, lambda: rng.choice([' ', chr(10), chr(9), chr(0xa0), chr(0x85)]))} ."
+            t = license_scan.flat(t)
             if r.pattern.search(t):  # look-arounds may forbid a wording
                 seen.add(k)
                 assert k in scan.active(t), (r.label, t)
@@ -448,3 +474,47 @@ def test_license_alternative_and_wrapped_wordings():
     assert label("huggingface.co/spaces/a/license") == ["openrail"]
     assert "cc-by-nc-sa" in label("attribution-noncommercial-sharealike")
     assert label("opendatacommons.org/licenses/by") == ["odc-by"]
+
+
+#: Headers and clauses as they stand in files, and the labels of their own rules.
+REAL = [
+    ("This file is in the public domain.", {"public-domain"}), ("It was placed in the public domain by its author.", {"public-domain"}),
+    ("released into the public domain", {"public-domain"}), ("dedicated to the public domain", {"public-domain"}),
+    ("/* Neither the name of the University nor the names of its\n * contributors may be used to endorse or promote products\n */", {"bsd-3-clause"}),
+    ("# University of Illinois/NCSA\n# Open Source License\n", {"ncsa"}),
+    ("// SPDX-License-Identifier: MIT OR Apache-2.0", {"mit", "apache-2.0"}),
+    ("SPDX-License-Identifier: (MIT OR GPL-2.0-only)", {"mit", "gpl-2.0"}),
+    ("SPDX-License-Identifier: (MIT AND BSD-3-Clause) OR LGPL-2.1-or-later", {"mit", "bsd-3-clause", "lgpl-2.1"}),
+    ("SPDX-License-Identifier: GPL-2.0+", {"gpl-2.0"}), ("SPDX-License-Identifier: GPL-2.0 WITH Classpath-exception-2.0", {"gpl-2.0"}),
+    ("Licensed under GPLv3", {"gpl-3.0"}), ("LGPLv2.1 applies", {"lgpl-2.1"}), ("under the GNU GPL v2.", {"gpl-2.0"}), ("AGPLv3", {"agpl-3.0"}),
+    ("GNU Library General Public License version 2", {"lgpl-2.0"}), ("GNU Lesser General Public License, version 3", {"lgpl-3.0"}),
+    ("dnl\n;; This program is free software; you can redistribute it\n;; and/or modify it under the terms of the GNU General\n"
+     ";; Public License as published by the Free Software\n;; Foundation; version 2", {"gpl"}),
+    (" * Licensed under the Apache License,\n * Version 2.0 (the \"License\");\n * you may not use this file except in\n"
+     " * compliance with the License.\n", {"apache-2.0"}),
+    ("Permission is hereby granted, free of\n-- charge, to any person\n-- obtaining a copy of this software", {"mit"}),
+    ("The public domain tax is a proposal", set()), ("gplv is no licence", set()), ("spdx-license-identifier: none", set()),
+]
+
+
+@pytest.mark.parametrize("text, labels", REAL)
+def test_license_headers_as_they_stand(text, labels):
+    assert {d[2].label for d in license_scan.Scanner().detect(text.lower())} == labels
+
+
+def test_license_suppression_against_brute_force(spark, sf_dir):
+    """Priority, length, start; a detection inside a kept one goes. All rules, no gate, no index of intervals."""
+    scan, rng = license_scan.Scanner(), random.Random(9)
+    texts = [r.text.lower() for r in table(spark, sf_dir, "documents").collect()][:80]
+    texts += [" ".join(rng.sample([t for t, _ in REAL], 6)).lower() for _ in range(60)]
+    for t in texts:
+        line = license_scan.flat(t)
+        every = []
+        for r in scan.rules:
+            for m in r.pattern.finditer(line):
+                every.append((*(m.span("at") if "at" in r.pattern.groupindex else m.span()), r))
+        kept = []
+        for d in sorted(every, key=lambda d: (-d[2].priority, -(d[1] - d[0]), d[0], d[2].label)):
+            if all(not (k[0] <= d[0] and d[1] <= k[1]) for k in kept):
+                kept.append(d)
+        assert [(a, b, r.label) for a, b, r in scan.detect(t)] == [(a, b, r.label) for a, b, r in kept]
