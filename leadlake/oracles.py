@@ -451,6 +451,21 @@ SELECT key AS kafka_key, timestamp AS kafka_timestamp, CAST(timestamp AS DATE) A
   CASE n WHEN 3 THEN md5(left(v, length(v) - 5)) WHEN 5 THEN md5(encode(v) || '\\xFF'::BLOB) WHEN 7 THEN NULL WHEN 11 THEN md5('')
          ELSE md5(v) END AS value_md5
 FROM faulty""",
+    "partition_files": f"""WITH {bronze_cte()}
+SELECT ingestion_date, count(DISTINCT kafka_key::BIGINT % 2) AS n_files, count(*) AS n_rows, true AS schema_ok
+FROM bronze GROUP BY ingestion_date""",
+    "relation_check": f"""{DASHBOARD}
+SELECT run_id, true AS exists, (SELECT count(*) FROM view) AS n_rows, 'ok' AS status FROM view ORDER BY run_id LIMIT 5""",
+    "retried_read": f"WITH {GOLD_FEATURES} SELECT 3 AS tries, count(*) AS n_rows FROM gold",
+    "table_if_absent": f"""WITH {TRACKING}
+SELECT experiment_name, count(*) AS n_rows, true AS created_empty, true AS typed, true AS newer_version_kept
+FROM pivoted GROUP BY experiment_name""",
+    "assembled_vectors": f"""WITH {GOLD_FEATURES}
+SELECT "Lead Number", """ + ", ".join(
+        f"CAST(coalesce({_q(c)}, {0 if c in GOLD_DUMMY_NAMES else repr('NaN')}::DOUBLE) AS DOUBLE) AS f{k}"
+        for k, c in enumerate(GOLD_FEATURE_NAMES)) + f", {len(GOLD_FEATURE_NAMES)} AS n_features FROM gold",
+    "importance_facts": f"""SELECT {len(GOLD_FEATURE_NAMES)} AS n_features, true AS known_features, true AS shares_of_one,
+  true AS largest_first, true AS top_is_the_front""",
     "parity_pending": f"""WITH {MSGS},
 counted AS (
   SELECT CAST(timestamp AS DATE) AS ingestion_date, count(*) FILTER (WHERE key::BIGINT % 2 = 0) AS taken,

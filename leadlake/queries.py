@@ -9,6 +9,7 @@ from collections.abc import Callable
 from functools import reduce
 
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,17 +26,17 @@ from leadlake.operators.silver import dedup_latest, parse_messages
 from leadlake.operators.split import exact_split
 from leadlake.plans import lakehouse as lh
 from leadlake.plans import catalog, publish
-from leadlake.plans.checks import check_parity, verify_export
+from leadlake.plans.checks import check_parity, validate_partition, verify_export
 from leadlake.plans import streaming as stream_plan
 from leadlake.plans import training
 from leadlake.plans.gold import NUMERIC, TEXT, gold_base, gold_inference, gold_typed
-from leadlake.schemas import (CITY_WEIGHTS, CONVERTED_WEIGHTS, GOLD_ACCEPTED, GOLD_FEATURES, GOLD_ID,
+from leadlake.schemas import (BRONZE_SCHEMA, CITY_WEIGHTS, CONVERTED_WEIGHTS, GOLD_ACCEPTED, GOLD_FEATURES, GOLD_ID,
                               GOLD_LABEL, GOLD_NOT_NULL, INFERENCE_NOT_NULL, LEAD_ORIGIN_WEIGHTS,
-                              OCCUPATION_KEEP, OCCUPATION_OTHER, SILVER_NOT_NULL, TAGS_KEEP, TAGS_OTHER,
-                              UNKNOWN)
+                              OCCUPATION_KEEP, OCCUPATION_OTHER, REPORTING_SCHEMA, SILVER_NOT_NULL, TAGS_KEEP,
+                              TAGS_OTHER, UNKNOWN)
 from leadlake.sinks.lake import current_table_version, export_with_run_date
 from leadlake.sinks.models import load_model
-from leadlake.sources.lake import read_immutable_parquet, read_partition, trailing_window
+from leadlake.sources.lake import read_immutable_parquet, read_partition, trailing_window, with_retry
 from leadlake.sources.messages import MessageSource, read_message_batch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -177,6 +178,42 @@ def q_parity_override(spark, sf):
                         date_override="2024-01-15")
 
 
+def q_partition_files(spark, sf):
+    """File count, rows and schema verdict by date of a table that two loads wrote, a file per date each."""
+    base, parts = lh.new_table_path(spark, "bronze_files"), lh.bronze_table(spark, sf).select(*BRONZE_COLS)
+    even = F.col("kafka_key").cast("bigint") % 2 == 0
+    for rows in (parts.where(even), parts.where(~even)):
+        rows.repartition("ingestion_date").write.mode("append").partitionBy("ingestion_date").parquet(base)
+    found = spark.read.parquet(base)
+    one = validate_partition(spark, base, lh.run_date(spark, sf))
+    return quality.partition_report(found).select(
+        "ingestion_date", F.col("n_files").cast("bigint").alias("n_files"), "n_rows",
+        F.lit(quality.schema_matches(found, BRONZE_SCHEMA) and one["schema_ok"]).alias("schema_ok"))
+
+
+def q_relation_check(spark, sf):
+    """Existence, row count and a repeatable sample of the dashboard view."""
+    view = reporting.dashboard_view(reporting.read_reporting_table(spark, reporting_table(spark, sf)))
+    found = quality.relation_check(view, ["run_id"], n=5)
+    sample = view.where(F.col("run_id").isin([r["run_id"] for r in found["sample"]]))
+    return sample.select("run_id", F.lit(found["exists"]).alias("exists"), F.lit(found["count"]).cast("bigint").alias("n_rows"),
+                         F.lit(found["status"]).alias("status"))
+
+
+def q_retried_read(spark, sf):
+    """A table that another job has not finished writing: read again until it is there."""
+    base, tries = lh.new_table_path(spark, "gold_late"), []
+
+    def read():
+        tries.append(1)
+        if len(tries) == 3:  # the other job is done
+            lh.gold(spark, sf).write.parquet(base)
+        return spark.read.parquet(base).count()
+
+    n = with_retry(read, tries=5, wait_seconds=0)
+    return spark.range(1).select(F.lit(len(tries)).alias("tries"), F.lit(n).cast("bigint").alias("n_rows"))
+
+
 def q_parity_pending(spark, sf):
     """Parity with what the stream has consumed: messages that arrived since are pending, not lost."""
     return stream_plan.parity_while_messages_arrive(spark, sf)
@@ -291,6 +328,19 @@ def q_runs_newest_first(spark, sf):
     return reporting.rank_newest(_pivot(spark, sf)).select("run_uuid", "experiment_name", "start_time", "newest_rank")
 
 
+def q_table_if_absent(spark, sf):
+    """The typed reporting table is created empty where there is none; where there is one, it and its rows stay."""
+    base = lh.new_table_path(spark, "reporting_new")
+    first = reporting.ensure_reporting_table(spark, base)
+    empty = reporting.read_reporting_table(spark, base)
+    rows = reporting.upsert_table(spark, base, reporting.to_reporting_rows(lh.materialize(spark, _pivot(spark, sf), "run_pivot"), BATCH_SYNC))
+    again = reporting.ensure_reporting_table(spark, base)
+    facts = {"created_empty": empty.isEmpty(), "typed": empty.schema == REPORTING_SCHEMA == rows.schema,
+             "newer_version_kept": first != again}
+    return rows.groupBy("experiment_name").agg(F.count(F.lit(1)).alias("n_rows")).select(
+        "experiment_name", "n_rows", *[F.lit(v).alias(k) for k, v in facts.items()])
+
+
 def q_sync_default_time(spark, sf):
     """Without a given sync time, rows carry the time of the sync."""
     rows = reporting.to_reporting_rows(_pivot(spark, sf))
@@ -455,6 +505,27 @@ def q_logged_metrics(spark, sf):
         "key", F.when(F.col("key").endswith("_iteration"), rounds).otherwise(agrees).alias("ok"))
 
 
+def q_assembled_vectors(spark, sf):
+    """The elements of every feature vector, in order."""
+    matrix = ml.training_matrix(lh.gold(spark, sf), GOLD_ID, GOLD_LABEL, GOLD_FEATURES)
+    vector = vector_to_array(F.col("features"))
+    return ml.assemble(matrix, GOLD_FEATURES).withColumn("v", vector).select(
+        GOLD_ID, *[F.get("v", F.lit(k)).alias(f"f{k}") for k in range(len(GOLD_FEATURES))],
+        F.size("v").alias("n_features"))
+
+
+def q_importance_facts(spark, sf):
+    """What holds of the importances whatever was learnt: every feature once, shares of one, the largest first."""
+    run = training.train_and_evaluate(spark, sf)
+    values = [(r["feature"], r["importance"]) for r in run.importance.collect()]
+    top = ml.feature_importance(spark, run.model, GOLD_FEATURES, 3).collect()
+    facts = {"n_features": len({f for f, _ in values}), "known_features": {f for f, _ in values} <= set(GOLD_FEATURES),
+             "shares_of_one": abs(sum(v for _, v in values) - 1) < 1e-9 and all(v >= 0 for _, v in values),
+             "largest_first": values == sorted(values, key=lambda x: (-x[1], x[0])),
+             "top_is_the_front": [r["feature"] for r in top] == [f for f, _ in values[:3]]}
+    return spark.range(1).select(*[F.lit(v).alias(k) for k, v in facts.items()])
+
+
 def q_train_eval(spark, sf):
     return training.train_and_evaluate(spark, sf).run_metrics
 
@@ -516,6 +587,9 @@ QUERIES: dict[str, Query] = {
     "parity_check": q_parity_check,
     "parity_override": q_parity_override,
     "table_sample": q_table_sample,
+    "partition_files": q_partition_files,
+    "relation_check": q_relation_check,
+    "retried_read": q_retried_read,
     "gold_export": q_gold_export,
     "export_check": q_export_check,
     "distinct_categories": q_distinct_categories,
@@ -530,12 +604,14 @@ QUERIES: dict[str, Query] = {
     "metrics_pivot": q_metrics_pivot,
     "runs_newest_first": q_runs_newest_first,
     "sync_default_time": q_sync_default_time,
+    "table_if_absent": q_table_if_absent,
     "upsert_metrics": q_upsert_metrics,
     "dashboard_view": q_dashboard_view,
     "dashboard_by_name": q_dashboard_by_name,
     "feature_profile": q_feature_profile,
     "profile_window": q_profile_window,
     "training_matrix": q_training_matrix,
+    "assembled_vectors": q_assembled_vectors,
     "train_test_split": q_train_test_split,
     "exact_split": q_exact_split,
     "confusion_metrics": q_confusion_metrics,
@@ -553,6 +629,7 @@ QUERIES: dict[str, Query] = {
     "score_leads": q_score_leads,
     "scored_leads": q_scored_leads,
     "feature_importance": q_feature_importance,
+    "importance_facts": q_importance_facts,
     "stored_model_scores": q_stored_model_scores,
     "early_stopping": q_early_stopping,
 }
