@@ -132,9 +132,10 @@ class Model:
 
 
 def training_words(docs: DataFrame, rows_per_lang: int, id_col: str, text_col: str, lang_col: str,
-                   most_langs: int = 256) -> DataFrame:
+                   most_langs: int = 256, from_all: bool = False) -> DataFrame:
     """(lang, word, n) over the sample of ``rows_per_lang`` labelled rows per language."""
-    labelled = docs.where(F.col(lang_col).isNotNull() & ~in_fold(id_col, 4, 2)).select(
+    learnt_from = F.lit(True) if from_all else ~in_fold(id_col, 4, 2)
+    labelled = docs.where(F.col(lang_col).isNotNull() & learnt_from).select(
         F.col(lang_col).alias("lang"), F.xxhash64(F.lit("langid"), id_text(id_col), whole_text(text_col)).alias("draw"),
         F.col(text_col).alias("_text"))
     # The limit works within each task before anything is shuffled; what is left is a row per sampled row at most.
@@ -156,13 +157,14 @@ def training_words(docs: DataFrame, rows_per_lang: int, id_col: str, text_col: s
 
 
 def fit(docs: DataFrame, vocabulary: str = VOCABULARY, rows_per_lang: int = 200, rounds: int = 2,
-        smoothing: float = 0.1, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
-    """Piece probabilities of every labelled language.
+        smoothing: float = 0.1, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+        from_all: bool = False) -> Model:
+    """Piece probabilities of every labelled language; ``from_all`` learns from held-out rows, too.
 
     What reaches the driver is bounded by languages x vocabulary."""
     vocab = read_vocabulary(vocabulary)
     ship_code(docs.sparkSession)
-    words = written(training_words(docs, rows_per_lang, id_col, text_col, lang_col), "langid-words")
+    words = written(training_words(docs, rows_per_lang, id_col, text_col, lang_col, from_all=from_all), "langid-words")
     langs = sorted(r["lang"] for r in words.select("lang").distinct().collect())
     model = Model(langs, dict.fromkeys(vocab, (1.0 / len(vocab),) * len(langs)))
     known, place = set(vocab), {lang: k for k, lang in enumerate(langs)}
@@ -296,8 +298,12 @@ def language_id(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def keep_identified(docs: DataFrame, least_score: float = 0.5, text_col: str = "text", lang_col: str = "lang",
                     id_col: str = "doc_id", **fit_options) -> DataFrame:
-    """The rows whose language can be told: not ``und``, and a posterior of ``least_score`` or more."""
+    """The rows whose language can be told: not ``und``, and a posterior of ``least_score`` or more.
+
+    Where all labelled rows are held out (they share an id), it learns from them all the same: a filter has no test part."""
     model = fit(docs, id_col=id_col, text_col=text_col, lang_col=lang_col, **fit_options)
+    if not model.langs:
+        model = fit(docs, id_col=id_col, text_col=text_col, lang_col=lang_col, from_all=True, **fit_options)
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     found = identify(docs.select(row.alias("_row"), F.col(text_col)), model, text_col=text_col, carry=["_row"])
     found = found.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= least_score))

@@ -95,16 +95,16 @@ def test_language_sample_of_a_very_large_language(spark):
     assert [(r.lang, r.word, r.n) for r in sampled] == [("en", "word", 5)]
 
 
-@pytest.mark.parametrize("doc_id", [None, 7])
+@pytest.mark.parametrize("doc_id", [None, 1, 7])
 def test_language_id_learns_where_ids_are_null_or_repeated(docs_of, doc_id):
     rows = [(doc_id, f"the and of that {i}" if i % 2 else f"les des une que {i}", "en" if i % 2 else "fr") for i in range(3000)]
     docs = docs_of(rows)
-    got = langid.language_id(docs).join(docs.select("doc_id").limit(0), "doc_id", "left")
-    assert {r.lang_pred for r in got.collect()} == {"en", "fr"}
+    held_out = doc_id is not None and zlib.crc32(str(doc_id).encode()) % 4 == 2  # by the contract's fold: then nothing may be learnt, but the filter still works
+    assert {r.lang_pred for r in langid.language_id(docs).collect()} == ({"und"} if held_out else {"en", "fr"})
     assert langid.keep_identified(docs).count() == 3000
     # Equal rows are taken as often as they are needed, and no other language is learnt from less.
     same = docs_of([(doc_id, "the and of", "en")] * 500 + [(doc_id, "les des", "fr")] * 3)
-    sample = {(r.lang, r.word): r.n for r in langid.training_words(same, 200, "doc_id", "text", "lang").collect()}
+    sample = {(r.lang, r.word): r.n for r in langid.training_words(same, 200, "doc_id", "text", "lang", from_all=held_out).collect()}
     assert sample == {**{("en", w): 200 for w in ("the", "and", "of")}, **{("fr", w): 3 for w in ("les", "des")}}
 
 
@@ -308,10 +308,10 @@ def test_quality_fit_takes_one_row_of_an_id_and_only_ids_with_documents(spark, d
     original, quality.train = quality.train, train
     try:
         for docs in (docs_of(rows), docs_of(rows + rows * 50 + [(i, "long " * 30_000) for i in range(40, 80)])):
-            quality.fit(docs, labels, sample_rows=25)
+            quality.fit(docs, labels, sample_rows=15)
     finally:
         quality.train = original
-    assert seen == [(25, 25)] * 2
+    assert seen == [(15, 15)] * 2
 
 
 def test_quality_odd_rows(spark, docs_of):
