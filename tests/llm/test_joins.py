@@ -214,6 +214,36 @@ def test_word_parity_changes_by_three_bits_an_edit(spark):
     assert 0 < worst <= 3
 
 
+def test_characters_parity_changes_by_two_bits_a_place(spark):
+    rng = random.Random(16)
+    rows = [(a, edited(rng, a, 1, "ab ")) for a in ("".join(rng.choice("ab  é\U0001f600") for _ in range(rng.randint(6, 40))) for _ in range(400))]
+    df = spark.createDataFrame(rows, "a string, b string")
+    for size in (1, 2):
+        apart = F.bit_count(ld.char_parity(F.col("a"), size).bitwiseXOR(ld.char_parity(F.col("b"), size)))
+        assert 0 < df.select(F.max(apart)).first()[0] <= 2 * size
+
+
+def test_a_line_makes_few_keys(spark):
+    """One try per shift and class of lengths, not one per length a match may have."""
+    rows = [("x" * n, n) for n in range(100, 400)]
+    keys = ld.keyed(spark.createDataFrame(rows, "line string, n0 int"), ld.BANDS)
+    assert keys.count() <= 6 * len(rows) and keys.where("posted").count() == 3 * len(rows)
+
+
+def test_variants_with_an_inserted_part_are_told_apart(docs_of):
+    """Copies of a line with four letters inserted share most of their segments; few pairs of them are verified."""
+    rng = random.Random(18)
+    base = " ".join("".join(rng.choice("abcdefghijklmnopqrstuvw") for _ in range(rng.randint(2, 9))) for _ in range(55))
+    lines = []
+    for _ in range(150):
+        at = rng.randrange(len(base))
+        lines.append(base[:at] + "".join(rng.choice("abcdefghijklmnopqrstuvw") for _ in range(4)) + base[at:])
+    nodes, entries = ld.meeting_lines(docs_of(list(enumerate(lines))), ld.BANDS)
+    links = ld.verified(ld.pivot_pairs(entries), nodes, ld.BANDS)
+    pairs = ld.cross_pairs(entries, nodes, connected_components(links), ld.BANDS).count()
+    assert pairs < 4 * len(lines)
+
+
 def test_drop_repeated_lines(docs_of):
     docs = docs_of([(2, "a line that comes more than once\nown line of the second"),
                     (1, "a line that comes more than onze\nx\nx"), (3, "x"), (4, None)])
