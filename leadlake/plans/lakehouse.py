@@ -47,9 +47,10 @@ def once(spark: SparkSession, kind: str, sf_dir: str, build) -> str:
 def message_topic(spark: SparkSession, sf_dir: str) -> str:
     """The message log (``key, value, timestamp`` files) the producer side
     publishes once; every consumer -- batch snapshot, stream, parity --
-    reads it. Returns its folder (the file stand-in for a Kafka topic)."""
+    reads it. Returns its folder (the file stand-in for a Kafka topic), whose
+    files are as bounded as a topic's segments: a stream batch takes whole files."""
     return once(spark, "topic", sf_dir,
-                lambda p: fixtures.lead_messages(spark, sf_dir).write.parquet(p))
+                lambda p: fixtures.lead_messages(spark, sf_dir).write.option("maxRecordsPerFile", 500_000).parquet(p))
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,6 +19,11 @@ class MessageSource:
     ``topic`` is subscribed from the earliest offset.
     ``kind="files"``: ``path`` is a folder of ``fmt`` files (parquet by
     default) with the message schema; new files are new messages.
+
+    A micro-batch of a file stream takes files up to ``max_bytes_per_trigger`` (at
+    least one), unless ``max_files_per_trigger`` bounds it, and one of a Kafka
+    stream up to ``max_offsets_per_trigger`` messages: a task's memory follows the
+    batch, not the backlog.
     """
     kind: str
     topic: str | None = None
@@ -26,6 +31,8 @@ class MessageSource:
     fmt: str = "parquet"
     options: dict[str, str] = field(default_factory=dict)
     max_files_per_trigger: int | None = None
+    max_bytes_per_trigger: int = 64 * 1024 * 1024
+    max_offsets_per_trigger: int = 2_000_000
 
     def __post_init__(self):
         if self.kind == "kafka" and not self.topic:
@@ -40,13 +47,16 @@ def read_message_stream(spark: SparkSession, source: MessageSource) -> DataFrame
     """Unbounded read from the earliest message."""
     if source.kind == "kafka":
         reader = (spark.readStream.format("kafka").option("subscribe", source.topic)
-                  .option("startingOffsets", "earliest"))
+                  .option("startingOffsets", "earliest")
+                  .option("maxOffsetsPerTrigger", str(source.max_offsets_per_trigger)))
         for k, v in source.options.items():
             reader = reader.option(k, v)
         return reader.load()
     reader = spark.readStream.schema(MESSAGE_SCHEMA).format(source.fmt)
     if source.max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(source.max_files_per_trigger))
+    elif not {"maxfilespertrigger", "maxbytespertrigger"} & {k.lower() for k in source.options}:
+        reader = reader.option("maxBytesPerTrigger", str(source.max_bytes_per_trigger))
     for k, v in source.options.items():
         reader = reader.option(k, v)
     return reader.load(source.path)

@@ -69,3 +69,17 @@ def test_many_input_files_make_few_files_per_date(spark, tmp_path):
         files = [f for f in os.listdir(f"{bronze}/ingestion_date={date}") if f.endswith(".parquet")]
         assert len(files) <= 2
     assert spark.read.parquet(bronze).count() == 120
+
+
+def test_a_backlog_is_taken_in_batches_of_bounded_bytes(spark, tmp_path):
+    from leadlake.streaming.ingest import start_bronze_ingest
+    landing, bronze, ckpt = (str(tmp_path / n) for n in ("landing", "bronze", "ckpt"))
+    for start in (0, 10, 20):
+        write_messages(spark, landing, start, 10)
+    src = MessageSource("files", path=landing, max_bytes_per_trigger=1)  # at least one file a batch
+    query = start_bronze_ingest(spark, src, bronze, ckpt, "2023-12-31")
+    query.awaitTermination(120)
+    batches = [int(p["numInputRows"]) for p in query.recentProgress if int(p["numInputRows"])]
+    assert len(batches) >= 3 and max(batches) <= 10 and sum(batches) == 30
+    assert spark.read.parquet(bronze).count() == 30
+    assert 0 < MessageSource("files", path=landing).max_bytes_per_trigger < 1 << 30
